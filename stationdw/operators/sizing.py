@@ -1,0 +1,27 @@
+"""Size checks and size-checked joins.
+
+A side is broadcast only after a bounded check proves it small: ``limit(n + 1).count()`` stops
+after n + 1 rows, so the check costs at most one small job. Otherwise the join is left to the
+planner (sort-merge, with AQE converting it at runtime when the measured size allows).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows we are willing to ship to every executor for a dimension-style lookup.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def at_most(df: DataFrame, n: int) -> bool:
+    """True when ``df`` has no more than ``n`` rows (reads at most n + 1 rows)."""
+    return df.limit(n + 1).count() <= n
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join with ``small`` broadcast when it is proven to hold at most ``max_rows`` rows."""
+    if at_most(small, max_rows):
+        small = F.broadcast(small)
+    return big.join(small, on, how)
