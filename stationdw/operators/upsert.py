@@ -94,9 +94,13 @@ def upsert_dim(current: DataFrame | None, incoming: DataFrame, natural_key: str,
     return untouched.select(surrogate_key, natural_key, *attrs).unionByName(assigned)
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table at ``path`` (partition columns typed by ``schema``), or None if absent."""
     try:
-        return spark.read.parquet(path)
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        df = reader.parquet(path)
+        df.schema  # noqa: B018 - resolves the path now
+        return df
     except AnalysisException:
         return None
 
@@ -113,7 +117,9 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     Returns the number of rows written to the touched partitions.
     """
     spark = incoming.sparkSession
-    current = _read_or_none(spark, path)
+    table_cols = [c for c in incoming.columns if c not in order_cols]
+    schema = incoming.select(*table_cols).schema
+    current = _read_or_none(spark, path, schema)
     if current is None:
         merged = upsert_latest(None, incoming, keys, order_cols, keep_first)
     else:
@@ -123,7 +129,7 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     stage = scratch_dir(spark, "merge")
     merged.repartition(partition_col).write.mode("overwrite").partitionBy(partition_col) \
         .parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(merged.schema).parquet(stage)
     written = staged.count()
     (staged.repartition(partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))

@@ -112,3 +112,33 @@ NOT_NULL = {
     "fact": ["date_key", "station_key"],
     "monthly_summary": SUMMARY_GROUP,
 }
+
+# ---- fixed values: keyed monthly-summary messages --------------------------------------------
+# Field names the summary topic may use (upper case as the stream-SQL engine writes them,
+# lower case, with and without the ``_V`` value copies), in the order they are tried.
+SUMMARY_VALUE_ALIASES = {
+    "station_id": ["STATION_ID_V", "station_id_v", "STATION_ID", "station_id"],
+    "station_name": ["STATION_NAME_V", "station_name_v", "STATION_NAME", "station_name"],
+    "norm_month": ["NORM_MONTH_V", "norm_month_v", "NORM_MONTH", "norm_month",
+                   "OBS_MONTH_V", "obs_month_v", "OBS_MONTH", "obs_month"],
+    "year_num": ["YEAR_NUM_V", "year_num_v", "YEAR_NUM", "year_num"],
+    "month_num": ["MONTH_NUM_V", "month_num_v", "MONTH_NUM", "month_num"],
+    "num_days": ["NUM_DAYS", "num_days", "COUNT", "count"],
+    "avg_dly_tmin_normal": ["AVG_DLY_TMIN_NORMAL", "avg_dly_tmin_normal",
+                            "AVG_TMIN_NORMAL", "avg_tmin_normal", "AVG_TMIN", "avg_tmin"],
+    "avg_dly_tmax_normal": ["AVG_DLY_TMAX_NORMAL", "avg_dly_tmax_normal",
+                            "AVG_TMAX_NORMAL", "avg_tmax_normal", "AVG_TMAX", "avg_tmax"],
+    "month_end_prcp_normal": ["MONTH_END_PRCP_NORMAL", "month_end_prcp_normal",
+                              "MAX_MTD_PRCP_NORMAL", "max_mtd_prcp_normal",
+                              "MAX_PRCP_NORMAL", "max_prcp_normal",
+                              "MTD_PRCP_NORMAL", "mtd_prcp_normal"],
+}
+SUMMARY_KEY_ALIASES = {
+    "station_id": ["STATION_ID", "station_id"],
+    "station_name": ["STATION_NAME", "station_name"],
+    "norm_month": ["NORM_MONTH", "norm_month", "OBS_MONTH", "obs_month"],
+    "year_num": ["YEAR_NUM", "year_num"],
+    "month_num": ["MONTH_NUM", "month_num"],
+}
+
+SUMMARY_COLUMNS_ORDER = [f.name for f in MONTHLY_SUMMARY.fields]
