@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stationdw.functions.numeric import col_of, strip_ws
+from stationdw.functions.numeric import col_of
 
 
 def parse_yyyymmdd(c: Column | str) -> Column:
-    """Strict ``yyyyMMdd`` text -> DATE; anything else (short, non-digit, 20100230) -> null."""
-    text = strip_ws(col_of(c).cast("string"))
-    return F.when(text.rlike(r"^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
+    """Strict ``yyyyMMdd`` text (surrounding whitespace allowed) -> DATE; anything else
+    (short, non-digit, 20100230) -> null."""
+    digits = F.regexp_extract(col_of(c).cast("string"), r"^\s*([0-9]{8})\s*$", 1)
+    return F.when(digits != F.lit(""), F.try_to_date(digits, "yyyyMMdd"))
 
 
 def date_key(d: Column | str) -> Column:

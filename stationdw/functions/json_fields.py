@@ -1,28 +1,46 @@
-"""Field access on schema-less JSON text."""
+"""Field access on schema-less JSON text.
+
+Messages are parsed **once** per row: ``json_fields`` adds every wanted field with one
+``json_tuple`` generator (a plan node, so later filters on the fields cannot be pushed below it
+and re-parse the text), and ``json_keys`` lists the keys of a JSON object (null for anything
+that is not an object), which tells a present-but-null field from an absent one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationdw.functions.numeric import col_of
 
-_MAP = "map<string,string>"
 
+def json_keys(text: Column | str) -> Column:
+    """Keys of the outermost JSON object; null for arrays, scalars, blank or broken text."""
+    return F.json_object_keys(col_of(text))
+
+
+def json_fields(df: DataFrame, text: Column | str, names: Sequence[str], prefix: str
+                ) -> tuple[DataFrame, dict[str, Column]]:
+    """Add one text column per field name, parsing the JSON once.
 
-def json_map(text: Column | str) -> Column:
-    """JSON object text -> map of field name to field text; non-objects and bad text -> null."""
-    return F.from_json(col_of(text), _MAP, {"mode": "PERMISSIVE"})
+    Returns the frame and a map from field name to its column. Columns are numbered
+    (``<prefix>0`` ...) because field names may differ only by case (JSON is case-sensitive,
+    Spark column resolution is not).
+    """
+    names = list(dict.fromkeys(names))
+    outs = [f"{prefix}{i}" for i in range(len(names))]
+    out = df.select("*", F.json_tuple(col_of(text), *names).alias(*outs))
+    return out, {n: F.col(o) for n, o in zip(names, outs)}
 
 
-def first_present(m: Column, names: Sequence[str]) -> Column:
-    """Value of the first name present in the map, even when that value is null."""
+def first_present(keys: Column, values: dict[str, Column], names: Sequence[str]) -> Column:
+    """Value of the first name present among ``keys``, even when that value is null."""
     expr = None
     for name in names:
-        has = F.coalesce(F.map_contains_key(m, F.lit(name)), F.lit(False))
-        expr = F.when(has, m[name]) if expr is None else expr.when(has, m[name])
+        has = F.coalesce(F.array_contains(keys, F.lit(name)), F.lit(False))
+        expr = F.when(has, values[name]) if expr is None else expr.when(has, values[name])
     return expr
 
 

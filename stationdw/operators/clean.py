@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationdw.functions.dates import month_key
-from stationdw.functions.json_fields import first_present, json_map, pick_or
+from stationdw.functions.json_fields import first_present, json_fields, json_keys, pick_or
 
 
 def clean_readings(df: DataFrame) -> DataFrame:
@@ -58,18 +58,27 @@ def pick_fields(df: DataFrame, value_aliases: Mapping[str, Sequence[str]],
     For each output field: the first alias *present* in the value object (even if null), then
     ``or`` the first alias present in the key object, so null, "", 0 and false in the value fall
     back to the key. Non-object key or value counts as empty. Output fields are text; a
-    ``tombstone`` flag marks messages whose value is null.
+    ``tombstone`` flag marks messages whose value is null. Key and value are parsed once each.
     """
     key_aliases = key_aliases or {}
-    v = json_map(F.col(value_col))
-    k = json_map(F.col(key_col)) if key_col in df.columns else F.lit(None)
+    has_key = key_col in df.columns
+    extra = [c for c in df.columns if c.startswith("_")]
+    v_names = [a for aliases in value_aliases.values() for a in aliases]
+    k_names = [a for aliases in key_aliases.values() for a in aliases]
+    base = df.select(F.col(value_col).alias("_value"), json_keys(value_col).alias("_vkeys"),
+                     (F.col(key_col) if has_key else F.lit(None).cast("string")).alias("_key"),
+                     (json_keys(key_col) if has_key else F.lit(None).cast("array<string>"))
+                     .alias("_kkeys"), *extra)
+    parsed, v_cols = json_fields(base, "_value", v_names, "_v")
+    k_cols = {}
+    if k_names:
+        parsed, k_cols = json_fields(parsed, "_key", k_names, "_k")
     out = []
     for name, aliases in value_aliases.items():
-        primary = first_present(v, list(aliases))
+        primary = first_present(F.col("_vkeys"), v_cols, list(aliases))
         if name in key_aliases:
-            fallback = first_present(k, list(key_aliases[name]))
+            fallback = first_present(F.col("_kkeys"), k_cols, list(key_aliases[name]))
             out.append(pick_or(primary, fallback).alias(name))
         else:
             out.append(primary.alias(name))
-    extra = [c for c in df.columns if c.startswith("_")]
-    return df.select(*out, F.col(value_col).isNull().alias("tombstone"), *extra)
+    return parsed.select(*out, F.col("_value").isNull().alias("tombstone"), *extra)

@@ -25,3 +25,19 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     if at_most(small, max_rows):
         small = F.broadcast(small)
     return big.join(small, on, how)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-partitioned batch input before CPU-heavy per-row work.
+
+    A single large file without row-group splits arrives as one partition, so per-row parsing
+    would run on one core. When the frame has fewer partitions than the cluster's default
+    parallelism it is repartitioned (a cheap shuffle of raw rows); inputs that are already
+    split (the normal case at scale) and streaming frames are returned unchanged.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

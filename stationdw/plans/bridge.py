@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationdw.operators.sizing import join_small
+from stationdw.operators.sizing import join_small, spread
 from stationdw.sources.messages import to_raw_messages
 from stationdw.sources.tables import read_table
 
@@ -65,8 +65,9 @@ def event_readings(spark: SparkSession, sf_dir: str, events: DataFrame | None =
                    ) -> DataFrame:
     """Message-shaped rows of the events table, with ``_arrival`` = event_id."""
     if events is None:
-        events = read_table(spark, sf_dir, "events",
-                            ["event_id", "ts", "user_id", "event_type", "value", "props"])
+        events = spread(read_table(spark, sf_dir, "events",
+                                   ["event_id", "ts", "user_id", "event_type", "value",
+                                    "props"]))
     k = F.get_json_object("props", "$.k")
     return events.select(
         F.col("user_id").cast("string").alias("station_id"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationdw.functions.dates import parse_yyyymmdd
-from stationdw.functions.json_fields import json_map
+from stationdw.functions.json_fields import json_fields, json_keys
 from stationdw.schemas import RAW_MESSAGE, STAGING
 
 _STAGING_TYPES = {f.name: f.dataType for f in STAGING.fields}
@@ -109,19 +109,24 @@ def _staging_select(field, is_object):
     ]
 
 
+_FIELDS = ("station_id", "station_name", "elevation", "latitude", "longitude", "norm_date",
+           "dly_tmin_normal", "dly_tmax_normal", "mtd_prcp_normal")
+
+
 def decode_staging(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Decode raw messages the way the staging consumer does, with a ``reject_reason``.
 
     Reasons (first that applies): ``not an object`` (blank, broken or non-object JSON),
     ``bad <field>`` (a number that does not convert to its staging decimal),
     ``missing <field>`` (station_id, station_name or a valid yyyyMMdd norm_date absent).
-    The raw text is kept in ``raw_value`` for the quarantine table.
+    The raw text is kept in ``raw_value`` for the quarantine table. Each message is parsed once.
     """
-    text = F.trim(F.col(value_col))
-    m = json_map(F.when(text.startswith("{"), text))
     extra = [c for c in df.columns if c.startswith("_")]
-    return df.select(*_staging_select(lambda name: m[name], m.isNotNull()),
-                     F.col(value_col).alias("raw_value"), *extra)
+    base = df.select(F.col(value_col).alias("raw_value"),
+                     json_keys(F.col(value_col)).alias("_keys"), *extra)
+    fields, cols = json_fields(base, "raw_value", _FIELDS, "_j")
+    return fields.select(*_staging_select(lambda name: cols[name], F.col("_keys").isNotNull()),
+                         "raw_value", *extra)
 
 
 def stage_typed(df: DataFrame) -> DataFrame:
