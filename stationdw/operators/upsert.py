@@ -28,14 +28,18 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -
 
 def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
                   order_cols: Sequence[str], keep_first: Sequence[str] = (),
-                  drop_order: bool = True) -> DataFrame:
+                  drop_order: bool = True, incoming_unique: bool = False) -> DataFrame:
     """ON DUPLICATE KEY UPDATE: the latest incoming row per key replaces the current row.
 
     ``keep_first`` columns (e.g. a load timestamp) keep the value of the first insert.
     Incoming rows need ``order_cols``; the result drops them unless ``drop_order=False``.
+    ``incoming_unique`` declares the incoming keys unique (e.g. read from a keyed table), so a
+    first load needs no aggregation at all.
     """
     columns = [c for c in incoming.columns if c not in order_cols or not drop_order]
     if current is None:
+        if incoming_unique:
+            return incoming.select(*columns)
         merged = keep_latest(incoming, keys, order_cols)
         return merged.select(*columns)
     value_cols = [c for c in columns if c not in keys]

@@ -82,7 +82,9 @@ def load_star(staging: DataFrame, current: Mapping[str, DataFrame] | None = None
         dim_station = dim_station.checkpoint(eager=True)
         dim_date = dim_date.checkpoint(eager=True)
     incoming = fact_rows(staging, dim_station).withColumn("_order", F.lit(1))
-    fact = upsert_latest(current.get("fact"), incoming, FACT_KEY, ["_order"])
+    # Staging is keyed by (station, date), so its fact rows are unique by (station_key, date_key).
+    fact = upsert_latest(current.get("fact"), incoming, FACT_KEY, ["_order"],
+                         incoming_unique=True)
     return {"dim_station": dim_station, "dim_date": dim_date, "fact": fact}
 
 
