@@ -23,7 +23,8 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(*[F.col(c) for c in order_cols])
     latest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    return latest.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    return latest.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c)
+                           for c in df.columns])
 
 
 def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
@@ -56,8 +57,8 @@ def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence
     aggs += [F.min_by(F.col(c), F.struct(F.col("_prio"), *[F.col(o) for o in order_cols]))
              .alias(c) for c in keep_first]
     merged = both.groupBy(*keys).agg(*aggs)
-    return merged.select(*keys, *[F.col("_row")[c].alias(c) if c in replace else F.col(c)
-                                  for c in value_cols])
+    return merged.select(*[F.col("_row")[c].alias(c) if c in replace else F.col(c)
+                           for c in columns])
 
 
 def insert_ignore(current: DataFrame | None, incoming: DataFrame, keys: Sequence[str]

@@ -18,6 +18,7 @@ from stationdw.functions.dates import date_key, month_name
 from stationdw.operators.sizing import join_small
 from stationdw.operators.upsert import insert_ignore, upsert_dim, upsert_latest
 from stationdw.schemas import FACT_KEY, MEASURES, STATION_ATTRS
+from stationdw.sources.tables import materialize as write_and_read
 
 
 def distinct_stations(df: DataFrame, key: str = "station_id", order_col: str = "norm_date",
@@ -68,8 +69,8 @@ def load_star(staging: DataFrame, current: Mapping[str, DataFrame] | None = None
               materialize: bool = False) -> dict[str, DataFrame]:
     """Load (or re-load) the star from staging. Returns dim_station, dim_date and fact.
 
-    ``materialize`` checkpoints the two dimensions to the shared checkpoint folder, so that
-    their size checks and the later joins read small files instead of re-running the lineage.
+    ``materialize`` writes the two dimensions as Parquet tables in the shared checkpoint folder,
+    so their size checks and the later joins read small files instead of re-running the lineage.
     An empty staging leaves the current tables untouched.
     """
     current = dict(current or {})
@@ -79,8 +80,8 @@ def load_star(staging: DataFrame, current: Mapping[str, DataFrame] | None = None
     dim_station = upsert_dim(current.get("dim_station"), stations, "station_id", "station_key")
     dim_date = insert_ignore(current.get("dim_date"), build_dim_date(staging), ["date_key"])
     if materialize:
-        dim_station = dim_station.checkpoint(eager=True)
-        dim_date = dim_date.checkpoint(eager=True)
+        dim_station = write_and_read(dim_station, "dim_station")
+        dim_date = write_and_read(dim_date, "dim_date")
     incoming = fact_rows(staging, dim_station).withColumn("_order", F.lit(1))
     # Staging is keyed by (station, date), so its fact rows are unique by (station_key, date_key).
     fact = upsert_latest(current.get("fact"), incoming, FACT_KEY, ["_order"],

@@ -18,3 +18,18 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor re-reads files instead of re-running
+    the plan), and unlike a checkpoint the result is a Parquet scan: later queries get column
+    pruning, filter pushdown to row groups and file-size statistics for join planning.
+    """
+    from stationdw.session import scratch_dir
+
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    write_table(df, path, partition_by)
+    return spark.read.schema(df.schema).parquet(path)
