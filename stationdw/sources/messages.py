@@ -39,9 +39,10 @@ def read_raw_stream(spark: SparkSession, source: str, options: dict | None = Non
 
     ``source="kafka"``: needs the Kafka connector on the classpath; starts at the earliest offset
     unless told otherwise; arrival order = (partition, offset).
-    ``source="files"``: JSON-lines text files in ``options["path"]``; arrival order = file name
-    and line position are not exposed by Spark, so the writer must put an ``_arrival`` field
-    in the message or use ``options["arrival_field"]`` (default: none -> null).
+    ``source="files"``: JSON-lines text files in ``options["path"]``. Spark does not expose a
+    line position, so arrival order comes from fields the producer puts in each message:
+    ``(_published, _seq)`` by default (see ``sinks.write_messages``), or the single field
+    ``options["arrival_field"]``.
     """
     options = dict(options or {})
     if source == "kafka":
@@ -58,9 +59,11 @@ def read_raw_stream(spark: SparkSession, source: str, options: dict | None = Non
         if "maxFilesPerTrigger" in options:
             reader = reader.option("maxFilesPerTrigger", options.pop("maxFilesPerTrigger"))
         arrival = options.pop("arrival_field", None)
+        fields = [arrival] if arrival else ["_published", "_seq"]
         df = reader.load(path)
-        arrival_col = (F.get_json_object("value", f"$.{arrival}").cast("long")
-                       if arrival else F.lit(None).cast("long"))
+        parts = [F.get_json_object("value", f"$.{f}").cast("long") for f in fields]
+        arrival_col = parts[0] if len(parts) == 1 else F.struct(
+            *[p.alias(f) for p, f in zip(parts, fields)])
         return df.select(F.lit(None).cast("string").alias("key"), F.col("value"),
                          arrival_col.alias("_arrival"))
     raise ValueError(f"unknown source {source!r}")

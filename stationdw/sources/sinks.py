@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,15 +19,24 @@ def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_messages(df: DataFrame, target: str, sink: str = "files",
                    options: dict | None = None) -> None:
-    """Publish rows as JSON messages: ``files`` writes JSON-lines text, ``kafka`` a topic.
+    """Publish rows as JSON messages: ``files`` appends JSON-lines text, ``kafka`` a topic.
 
+    A file topic has no offsets, so each message also carries its arrival order: ``_published``
+    (the publish run's time in milliseconds) and ``_seq`` (increasing within the run, by
+    partition then row). Consumers ignore fields they do not know.
     For Kafka, ``options`` carries ``kafka.bootstrap.servers`` and the topic is ``target``
-    (needs the Kafka connector on the classpath).
+    (needs the Kafka connector on the classpath); arrival order is the offset there.
     """
-    msgs = to_raw_messages(df).select("value", *[c for c in ("key",) if c in df.columns])
     if sink == "files":
-        msgs.select("value").write.mode("append").text(target)
-    elif sink == "kafka":
+        stamped = df.select(*[F.col(c) for c in df.columns if not c.startswith("_")],
+                            F.lit(int(time.time() * 1000)).alias("_published"),
+                            F.monotonically_increasing_id().alias("_seq"))
+        opts = {"ignoreNullFields": "false"}
+        stamped.select(F.to_json(F.struct(*stamped.columns), opts).alias("value")) \
+            .write.mode("append").text(target)
+        return
+    msgs = to_raw_messages(df)
+    if sink == "kafka":
         msgs.write.format("kafka").options(**(options or {})).option("topic", target).save()
     else:
         raise ValueError(f"unknown sink {sink!r}")
