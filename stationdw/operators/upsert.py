@@ -112,14 +112,13 @@ def _read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | No
 
 def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
                     order_cols: Sequence[str], partition_col: str,
-                    keep_first: Sequence[str] = ()) -> int:
+                    keep_first: Sequence[str] = ()) -> None:
     """Upsert ``incoming`` into the Parquet table at ``path``, partitioned by ``partition_col``.
 
     Only the partitions the batch touches are read (a semi join on the partition column, which
     dynamic partition pruning turns into a partition filter at the scan), merged, staged under
     the shared checkpoint folder, then swapped in with dynamic partition overwrite. The table is
     never overwritten by a plan that reads it. ``partition_col`` must be a function of the key.
-    Returns the number of rows written to the touched partitions.
     """
     spark = incoming.sparkSession
     table_cols = [c for c in incoming.columns if c not in order_cols]
@@ -135,7 +134,5 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     merged.repartition(partition_col).write.mode("overwrite").partitionBy(partition_col) \
         .parquet(stage)
     staged = spark.read.schema(merged.schema).parquet(stage)
-    written = staged.count()
     (staged.repartition(partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    return written

@@ -71,10 +71,17 @@ def read_raw_stream(spark: SparkSession, source: str, options: dict | None = Non
 
 def parse_raw(df: DataFrame, schema: T.StructType = RAW_MESSAGE,
               value_col: str = "value") -> DataFrame:
-    """Declare ``schema`` over the JSON value (field names are case-sensitive)."""
-    parsed = F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"})
+    """Declare ``schema`` over the JSON value: one field per column, matched by exact
+    (case-sensitive) name; a value that does not fit its declared type becomes null.
+
+    The text is parsed once per row (``json_tuple``); later filters cannot re-parse it.
+    """
     extra = [c for c in df.columns if c.startswith("_")]
-    return df.select(*[parsed[f.name].alias(f.name) for f in schema.fields], *extra)
+    names = [f.name for f in schema.fields]
+    parsed, cols = json_fields(df.select(F.col(value_col).alias("_raw"), *extra), "_raw",
+                               names, "_f")
+    return parsed.select(*[cols[f.name].try_cast(f.dataType).alias(f.name)
+                           for f in schema.fields], *extra)
 
 
 _NUMERIC = ("elevation", "latitude", "longitude",
