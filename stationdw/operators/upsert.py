@@ -71,12 +71,17 @@ def insert_ignore(current: DataFrame | None, incoming: DataFrame, keys: Sequence
 
 
 def upsert_dim(current: DataFrame | None, incoming: DataFrame, natural_key: str,
-               surrogate_key: str) -> DataFrame:
+               surrogate_key: str, stage_incoming: bool = True) -> DataFrame:
     """SCD type 1: attributes overwritten, surrogate keys kept; new members get new keys.
 
     ``incoming`` holds one row per natural key. New keys continue after the current maximum,
     in natural-key order (stable and dense; they need not copy any AUTO_INCREMENT numbering).
+    ``stage_incoming`` first writes the (dimension-sized) incoming rows as Parquet under the
+    checkpoint folder, so the size checks and key assignment do not re-run its lineage.
     """
+    if stage_incoming:
+        from stationdw.sources.tables import materialize
+        incoming = materialize(incoming, "dim-incoming")
     attrs = [c for c in incoming.columns if c != natural_key]
     if current is None:
         start = 0

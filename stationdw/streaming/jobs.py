@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationdw.operators.aggregate import monthly_summary
 from stationdw.operators.clean import clean_readings, split_valid
+from stationdw.operators.sizing import spread
 from stationdw.operators.upsert import merge_into_path
 from stationdw.schemas import (MONTHLY_SUMMARY, PRCP, STAGING_KEY, SUMMARY_KEY, TEMP)
 from stationdw.sources.messages import decode_staging, parse_raw
@@ -77,9 +78,9 @@ def write_clean_stream(raw: DataFrame, path: str, checkpoint: str, available_now
     return _trigger(writer, available_now, processing_time).start()
 
 
-def staging_rows(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+def staging_rows(batch: DataFrame, decoded: bool = False) -> tuple[DataFrame, DataFrame]:
     """Decode one batch of raw messages into (valid staging rows, rejected rows)."""
-    decoded = decode_staging(batch)
+    decoded = batch if decoded else decode_staging(batch)
     valid, rejected = split_valid(decoded, REQUIRED)
     valid = (valid.drop("raw_value")
              .withColumn("created_at", F.current_timestamp())
@@ -97,11 +98,17 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
     """
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        valid, rejected = staging_rows(batch)
-        rejected.withColumn("_epoch", F.lit(epoch_id)).write.mode("append") \
-            .parquet(quarantine_path)
-        merge_into_path(valid, table_path, STAGING_KEY, ["_arrival"], "norm_month",
-                        keep_first=["created_at"])
+        # The batch feeds two writes: decode it once (persisted; a lost block is recomputed
+        # from the replayable source batch) and spread a single-split batch over the cores.
+        decoded = decode_staging(spread(batch)).persist()
+        try:
+            valid, rejected = staging_rows(decoded, decoded=True)
+            rejected.withColumn("_epoch", F.lit(epoch_id)).write.mode("append") \
+                .parquet(quarantine_path)
+            merge_into_path(valid, table_path, STAGING_KEY, ["_arrival"], "norm_month",
+                            keep_first=["created_at"])
+        finally:
+            decoded.unpersist()
 
     writer = (raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert))
     return _trigger(writer, available_now, processing_time).start()
