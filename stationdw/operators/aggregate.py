@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stationdw.functions.numeric import half
 from stationdw.functions.season import season_name, season_order
-from stationdw.operators.ranking import top1_per_group
+from stationdw.operators.ranking import rank_within, top1_per_group
 
 MONTHLY_MEASURES = ["monthly_avg_temperature_f", "monthly_max_temperature_f",
                     "monthly_min_temperature_f", "monthly_total_precipitation_in"]
@@ -98,14 +98,13 @@ def compare_entities(monthly: DataFrame, entity_col: str, left: str, right: str,
 
 
 def annual_profile(monthly: DataFrame, entity_cols: Sequence[str], id_col: str,
-                   year_col: str = "year_num", month_col: str = "month_num") -> DataFrame:
+                   year_col: str = "year_num", month_col: str = "month_num",
+                   distributed: bool | None = None) -> DataFrame:
     """Yearly profile per entity with its wettest month and the range rank within the year.
 
     Wettest month: largest month total, ties to the earlier month (top-1 per entity-year).
-    Rank: RANK() OVER (PARTITION BY year ORDER BY range DESC).
+    Rank: RANK() OVER (PARTITION BY year ORDER BY range DESC), distributed for large inputs.
     """
-    from pyspark.sql import Window
-
     annual = monthly.groupBy(*entity_cols, year_col).agg(
         F.round(F.avg("monthly_avg_temperature_f"), 2).alias("annual_avg_temperature"),
         F.round(F.max("monthly_max_temperature_f"), 2).alias("annual_max_temperature"),
@@ -123,5 +122,5 @@ def annual_profile(monthly: DataFrame, entity_cols: Sequence[str], id_col: str,
     ).select(id_col, year_col, F.col("month_name").alias("wettest_month_name"),
              F.col("monthly_total_precipitation_in").alias("wettest_month_precipitation"))
     joined = annual.join(wettest, [id_col, year_col])
-    w = Window.partitionBy(year_col).orderBy(F.col("annual_temperature_range").desc_nulls_last())
-    return joined.withColumn("annual_temperature_range_rank", F.rank().over(w))
+    return rank_within(joined, [year_col], ["annual_temperature_range"], [False],
+                       "annual_temperature_range_rank", distributed=distributed)

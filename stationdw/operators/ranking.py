@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationdw.operators.sizing import at_most
+from stationdw.operators.sizing import BROADCAST_MAX_ROWS, at_most
 from stationdw.session import checkpoint_root
 
 LOCAL_WINDOW_MAX_ROWS = 200_000
@@ -74,10 +74,47 @@ def global_rank(df: DataFrame, keys: Sequence[Column | str], ascending: Sequence
     counts = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_w"))
     ranks = _rank_distinct(counts, names, ascending, "_w", out)
     cond = [keyed[n].eqNullSafe(ranks[n]) for n in names]
+    # One row per distinct key: broadcast when a bounded check allows (a hot key on the large
+    # side then costs nothing), else a sort-merge join whose skewed partitions AQE splits.
+    if at_most(ranks, BROADCAST_MAX_ROWS):
+        ranks = F.broadcast(ranks)
     joined = keyed.join(ranks, cond, "inner")
     return joined.select(*[keyed[c] for c in df.columns], ranks[out].cast("long").alias(out))
 
 
+def rank_within(df: DataFrame, partition: Sequence[str], keys: Sequence[Column | str],
+                ascending: Sequence[bool], out: str = "rank",
+                distributed: bool | None = None) -> DataFrame:
+    """RANK() OVER (PARTITION BY partition ORDER BY keys) without one task per group.
+
+    A window puts each group into one task, so a group holding a third of all rows would be
+    sorted by a single core. The distributed form ranks the whole frame by (partition, keys)
+    with ``global_rank`` and subtracts, per group, the rank of its first row minus one (one
+    row per group, joined back behind a size check). ``distributed=None`` decides by a
+    bounded row count.
+    """
+    if distributed is None:
+        distributed = not at_most(df, LOCAL_WINDOW_MAX_ROWS)
+    if not distributed:
+        w = Window.partitionBy(*partition).orderBy(
+            *_sort_orders([f"_rw{i}" for i in range(len(keys))], ascending))
+        keyed = df.select("*", *[(F.col(k) if isinstance(k, str) else k).alias(f"_rw{i}")
+                                 for i, k in enumerate(keys)])
+        return keyed.withColumn(out, F.rank().over(w)).drop(
+            *[f"_rw{i}" for i in range(len(keys))])
+    ranked = global_rank(df, [*partition, *keys], [True] * len(partition) + list(ascending),
+                         "_grank", distributed=True)
+    names = [f"_gp{i}" for i in range(len(partition))]
+    first = ranked.groupBy(*[F.col(c).alias(n) for c, n in zip(partition, names)]) \
+        .agg(F.min("_grank").alias("_gfirst"))
+    if at_most(first, BROADCAST_MAX_ROWS):
+        first = F.broadcast(first)
+    cond = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition, names)]
+    joined = ranked.join(first, cond, "inner")
+    return joined.select(*df.columns,
+                         (F.col("_grank") - F.col("_gfirst") + 1).cast("int").alias(out))
+
+
 def dense_index(keys: DataFrame, key_cols: Sequence[str], out: str, start_after: int = 0,
                 distributed: bool | None = None) -> DataFrame:
     """Number the **distinct** keys 1..n in key order, shifted by ``start_after``."""

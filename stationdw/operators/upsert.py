@@ -135,9 +135,11 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
         touched = incoming.select(partition_col).distinct()
         current = current.join(touched, partition_col, "left_semi")
         merged = upsert_latest(current, incoming, keys, order_cols, keep_first)
+    # No repartition by the partition column before writing: a month holding a third of the
+    # rows would then be written by one task. The merge output is spread by key instead and each
+    # task writes its share of every touched month.
     stage = scratch_dir(spark, "merge")
-    merged.repartition(partition_col).write.mode("overwrite").partitionBy(partition_col) \
-        .parquet(stage)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
     staged = spark.read.schema(merged.schema).parquet(stage)
-    (staged.repartition(partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))

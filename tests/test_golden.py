@@ -62,8 +62,9 @@ def test_q4_gap_rank(four_station, distributed):
     assert_rows(rows, golden("query4.csv"))
 
 
-def test_q5_annual_profile(four_station):
-    rows = olap.q5_annual_profile(four_station["monthly"]).collect()
+@pytest.mark.parametrize("distributed", [False, True])
+def test_q5_annual_profile(four_station, distributed):
+    rows = olap.q5_annual_profile(four_station["monthly"], distributed=distributed).collect()
     assert_rows(rows, golden("query5.csv"))
 
 

@@ -11,7 +11,7 @@ from stationdw.functions.season import season_name, season_order
 from stationdw.operators import checks
 from stationdw.operators.aggregate import compare_entities, monthly_summary
 from stationdw.operators.clean import pick_fields, split_valid
-from stationdw.operators.ranking import dense_index, global_rank, top1_per_group
+from stationdw.operators.ranking import dense_index, global_rank, rank_within, top1_per_group
 from stationdw.operators.sizing import at_most, join_small, spread
 from stationdw.operators.upsert import insert_ignore, keep_latest, upsert_dim, upsert_latest
 from stationdw.schemas import SUMMARY_KEY_ALIASES, SUMMARY_VALUE_ALIASES
@@ -90,6 +90,19 @@ def test_global_rank_ties_nulls_and_hot_key(spark):
     assert top_null == df.where(F.col("x").isNotNull()).count() + 1
 
 
+def test_rank_within_hot_group(spark):
+    # Group 0 holds a third of the rows; ties and nulls inside groups.
+    df = spark.range(0, 3000).select(
+        F.col("id"), (F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7)).alias("g"),
+        F.when(F.col("id") % 101 == 0, None).otherwise(F.col("id") % 13).alias("x"))
+    dist = rank_within(df, ["g"], ["x"], [False], "r", distributed=True)
+    w = Window.partitionBy("g").orderBy(F.col("x").desc_nulls_last())
+    expect = df.withColumn("r", F.rank().over(w))
+    assert rows(dist, "id", "r") == rows(expect, "id", "r")
+    local = rank_within(df, ["g"], ["x"], [False], "r", distributed=False)
+    assert rows(local, "id", "r") == rows(expect, "id", "r")
+
+
 def test_top1_per_group_tie_to_earlier_month_and_nulls_last(spark):
     df = spark.createDataFrame(
         [("A", 2010, 1, Decimal("3.0")), ("A", 2010, 2, Decimal("3.0")),
