@@ -20,8 +20,8 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from stationdw.operators import checks  # noqa: E402
-from stationdw.operators.clean import pick_fields, split_valid  # noqa: E402
 from stationdw.operators.aggregate import monthly_summary  # noqa: E402
+from stationdw.operators.clean import clean_readings, pick_fields, split_valid  # noqa: E402
 from stationdw.operators.ranking import global_rank, top1_per_group  # noqa: E402
 from stationdw.operators.upsert import insert_ignore, upsert_dim  # noqa: E402
 from stationdw.plans import olap  # noqa: E402
@@ -30,11 +30,11 @@ from stationdw.plans.output import plain_types  # noqa: E402
 from stationdw.plans.star import (build_dim_date, distinct_stations, load_report,  # noqa: E402
                                   load_star)
 from stationdw.plans.warehouse import event_staging, orders_warehouse  # noqa: E402
-from stationdw.schemas import (COORD, ELEVATION, MONTHLY_SUMMARY, PRCP, SUMMARY_COLUMNS_ORDER,  # noqa: E402
-                               SUMMARY_KEY_ALIASES, SUMMARY_VALUE_ALIASES, TEMP)
+from stationdw.schemas import (COORD, ELEVATION, MONTHLY_SUMMARY, PRCP,  # noqa: E402
+                               SUMMARY_COLUMNS_ORDER, SUMMARY_KEY_ALIASES,
+                               SUMMARY_VALUE_ALIASES, TEMP)
 from stationdw.session import scratch_dir  # noqa: E402
 from stationdw.sources.messages import parse_raw  # noqa: E402
-from stationdw.operators.clean import clean_readings  # noqa: E402
 from stationdw.sources.tables import read_table  # noqa: E402
 from stationdw.streaming.jobs import (write_clean_stream, write_staging_stream,  # noqa: E402
                                       write_summary_stream)

@@ -1,6 +1,5 @@
 """Operators on tiny inputs: upserts, keys, ranks, top-1, checks, pick, seasons, aggregates."""
 
-import datetime as dt
 from decimal import Decimal
 
 import pytest
