@@ -78,3 +78,18 @@ def watch(stream_df: DataFrame, name: str, output_mode: str = "append") -> Strea
     for interactive inspection of small results only)."""
     return (stream_df.writeStream.format("memory").queryName(name).outputMode(output_mode)
             .start())
+
+
+def stream_report(query: StreamingQuery) -> DataFrame:
+    """Per-micro-batch load report of a streaming query: batch id, input rows, rows per second
+    and state rows (from ``StreamingQueryProgress``; bounded by the progress history kept)."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    rows = []
+    for p in query.recentProgress:
+        state = sum(op.numRowsTotal for op in (p.stateOperators or []))
+        rows.append((int(p.batchId), int(p.numInputRows), float(p.processedRowsPerSecond or 0.0),
+                     int(state)))
+    return spark.createDataFrame(
+        rows, "batch_id long, input_rows long, rows_per_second double, state_rows long")
