@@ -122,5 +122,10 @@ def annual_profile(monthly: DataFrame, entity_cols: Sequence[str], id_col: str,
     ).select(id_col, year_col, F.col("month_name").alias("wettest_month_name"),
              F.col("monthly_total_precipitation_in").alias("wettest_month_precipitation"))
     joined = annual.join(wettest, [id_col, year_col])
+    if distributed is None:
+        # Decide by size on a written copy: the check and the rank then read the small annual
+        # table instead of re-running the monthly rollup behind it.
+        from stationdw.sources.tables import materialize
+        joined = materialize(joined, "annual")
     return rank_within(joined, [year_col], ["annual_temperature_range"], [False],
                        "annual_temperature_range_rank", distributed=distributed)

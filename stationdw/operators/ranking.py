@@ -102,15 +102,18 @@ def rank_within(df: DataFrame, partition: Sequence[str], keys: Sequence[Column |
                                  for i, k in enumerate(keys)])
         return keyed.withColumn(out, F.rank().over(w)).drop(
             *[f"_rw{i}" for i in range(len(keys))])
+    names = [f"_gp{i}" for i in range(len(partition))]
+    # Rank of each group's first row = 1 + rows in groups ordered before it: a prefix sum over
+    # the (few, distinct) group values weighted by group size.
+    sizes = df.groupBy(*[F.col(c).alias(n) for c, n in zip(partition, names)]) \
+        .agg(F.count(F.lit(1)).alias("_w"))
+    firsts = _rank_distinct(sizes, names, [True] * len(names), "_w", "_gfirst")
+    if at_most(firsts, BROADCAST_MAX_ROWS):
+        firsts = F.broadcast(firsts)
     ranked = global_rank(df, [*partition, *keys], [True] * len(partition) + list(ascending),
                          "_grank", distributed=True)
-    names = [f"_gp{i}" for i in range(len(partition))]
-    first = ranked.groupBy(*[F.col(c).alias(n) for c, n in zip(partition, names)]) \
-        .agg(F.min("_grank").alias("_gfirst"))
-    if at_most(first, BROADCAST_MAX_ROWS):
-        first = F.broadcast(first)
     cond = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition, names)]
-    joined = ranked.join(first, cond, "inner")
+    joined = ranked.join(firsts, cond, "inner")
     return joined.select(*df.columns,
                          (F.col("_grank") - F.col("_gfirst") + 1).cast("int").alias(out))
 

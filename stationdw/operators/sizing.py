@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we are willing to ship to every executor for a dimension-style lookup.
-BROADCAST_MAX_ROWS = 2_000_000
+# Rows we are willing to ship to every executor for a dimension-style lookup (a date dimension
+# holds ~36k rows per century, a station dimension ~10^5 stations).
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def at_most(df: DataFrame, n: int) -> bool:

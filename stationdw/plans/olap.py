@@ -54,8 +54,13 @@ def q3_season(monthly: DataFrame, station_ids: Sequence[str]) -> DataFrame:
 
 
 def q4_gap_rank(monthly: DataFrame, first: str, second: str, first_label: str,
-                second_label: str, distributed: bool | None = None) -> DataFrame:
-    """Two stations per month, ranked by the absolute (unrounded) average-temperature gap."""
+                second_label: str, distributed: bool = False) -> DataFrame:
+    """Two stations per month, ranked by the absolute (unrounded) average-temperature gap.
+
+    The ranked frame holds one row per calendar month of the two stations, a bound set by the
+    date range and not by the data volume, so the single-partition window is the right plan
+    by default (``distributed=True`` switches to the range-partitioned rank).
+    """
     A, B = first_label, second_label
     paired = compare_entities(
         monthly, "station_id", first, second,
