@@ -71,10 +71,26 @@ def write_summary_stream(raw: DataFrame, table_path: str, checkpoint: str,
 
 
 def write_clean_stream(raw: DataFrame, path: str, checkpoint: str, available_now: bool = False,
-                       processing_time: str | None = None) -> StreamingQuery:
-    """Derived stream of cleaned readings appended to Parquet files (exactly-once file sink)."""
-    writer = (clean_stream(raw).writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint).option("path", path))
+                       processing_time: str | None = None, fmt: str = "parquet",
+                       options: dict | None = None) -> StreamingQuery:
+    """Derived stream of cleaned readings.
+
+    ``fmt="parquet"``: a table (exactly-once file sink); ``"json"``: a file topic of JSON lines;
+    ``"kafka"``: topic ``path`` with each reading as a JSON ``value`` (Kafka connector needed,
+    ``options`` carries ``kafka.bootstrap.servers``).
+    """
+    clean = clean_stream(raw)
+    writer = clean.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if fmt == "kafka":
+        value = F.to_json(F.struct(*[c for c in clean.columns if not c.startswith("_")]),
+                          {"ignoreNullFields": "false"})
+        writer = (clean.select(value.alias("value")).writeStream.outputMode("append")
+                  .option("checkpointLocation", checkpoint).format("kafka")
+                  .options(**(options or {})).option("topic", path))
+    else:
+        writer = writer.format(fmt).option("path", path)
+        if fmt == "json":
+            writer = writer.option("ignoreNullFields", "false")
     return _trigger(writer, available_now, processing_time).start()
 
 

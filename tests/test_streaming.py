@@ -169,3 +169,15 @@ def test_summary_stream_equals_batch_any_split(spark, tmp_path, parts):
     assert table_rows(summary_table(spark, table)) == table_rows(batch_summary(spark, folder))
     report = stream_report(q).collect()
     assert sum(r.input_rows for r in report) == 365 and len(report) == parts
+
+
+def test_clean_stream_as_json_topic(spark, topic):
+    from stationdw.streaming.jobs import write_clean_stream
+    out = scratch_dir(spark, "clean-topic")
+    run_to_end(write_clean_stream(stream(spark, topic), out, scratch_dir(spark, "ck"),
+                                  available_now=True, fmt="json"))
+    rows = spark.read.json(out)
+    assert rows.count() == 365
+    first = rows.where("norm_date = '20100101'").first()
+    assert (first.year_num, first.month_num, first.norm_month) == (2010, 1, "201001")
+    assert first.dly_tmin_normal == -33.0
