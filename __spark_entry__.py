@@ -264,6 +264,25 @@ def stream_monthly(spark, sf):
                        .select(*SUMMARY_COLUMNS_ORDER))
 
 
+def stream_changelog(spark, sf):
+    """Monthly aggregate emitted as a keyed JSON changelog, then loaded back into the summary
+    table by alias picking (value first, key fallback) with later messages winning."""
+    from stationdw.plans.jobs import load_summary_changelog
+    from stationdw.sources.sinks import write_changelog_stream
+    summary = monthly_summary(clean_readings(parse_raw(_event_stream(spark, sf))))
+    changelog = scratch_dir(spark, "changelog")
+    q = write_changelog_stream(summary, ["station_id", "station_name", "norm_month",
+                                         "year_num", "month_num"],
+                               scratch_dir(spark, "changelog-ck"), target=changelog)
+    q.processAllAvailable()
+    q.stop()
+    table = scratch_dir(spark, "summary-from-changelog")
+    load_summary_changelog(spark, changelog, table,
+                           scratch_dir(spark, "load-ck")).awaitTermination()
+    return plain_types(spark.read.schema(MONTHLY_SUMMARY).parquet(table)
+                       .select(*SUMMARY_COLUMNS_ORDER))
+
+
 def stream_clean(spark, sf):
     out = scratch_dir(spark, "clean")
     q = write_clean_stream(_event_stream(spark, sf), out, scratch_dir(spark, "clean-ck"),
@@ -320,6 +339,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_clean": stream_clean,
         "stream_monthly": stream_monthly,
         "stream_staging": stream_staging,
+        "stream_changelog": stream_changelog,
     }
 
 

@@ -390,4 +390,6 @@ all_dates AS (SELECT norm_date FROM staging UNION SELECT norm_date FROM ev_stagi
     "stream_monthly": _with(EVENTS) + SUMMARY_TABLE_SELECT,
 
     "stream_staging": _with(EVENTS) + STAGING_SELECT,
+
+    "stream_changelog": _with(EVENTS) + SUMMARY_TABLE_SELECT,
 }

@@ -162,7 +162,10 @@ def load_summary_changelog(spark: SparkSession, changelog_dir: str, table_path:
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         rows, _ = summary_from_changelog(batch)
-        rows = rows.withColumn("_order", F.struct(F.col("_epoch"), F.lit(epoch_id)))
+        # Arrival order: the loader's batch first (a restarted producer begins its epochs at 0
+        # again), then the producer's epoch within one batch.
+        rows = rows.withColumn("_order", F.struct(F.lit(epoch_id).alias("batch"),
+                                                  F.col("_epoch").alias("epoch")))
         merge_into_path(rows.drop("_epoch"), table_path, SUMMARY_KEY, ["_order"],
                         "norm_month")
 
