@@ -22,7 +22,7 @@ if _HERE not in sys.path:
 from stationdw.operators import checks  # noqa: E402
 from stationdw.operators.aggregate import monthly_summary  # noqa: E402
 from stationdw.operators.clean import clean_readings, pick_fields, split_valid  # noqa: E402
-from stationdw.operators.ranking import global_rank, top1_per_group  # noqa: E402
+from stationdw.operators.ranking import global_rank, first_per_group  # noqa: E402
 from stationdw.operators.upsert import insert_ignore, upsert_dim  # noqa: E402
 from stationdw.plans import olap  # noqa: E402
 from stationdw.plans.bridge import event_messages  # noqa: E402
@@ -134,10 +134,10 @@ def check_fk_star(spark, sf):
     return plain_types(bad_station.unionByName(bad_date))
 
 
-def top1_q(spark, sf):
+def first_per_group_q(spark, sf):
     monthly = _monthly(spark, sf).select("station_id", "year_num", "month_num", "month_name",
                                          "monthly_total_precipitation_in")
-    top = top1_per_group(monthly, ["station_id", "year_num"],
+    top = first_per_group(monthly, ["station_id", "year_num"],
                          [("monthly_total_precipitation_in", False), ("month_num", True)])
     return plain_types(top)
 
@@ -324,7 +324,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_domain": check_domain_q,
         "check_fk": check_fk_q,
         "check_fk_star": check_fk_star,
-        "top1_per_group": top1_q,
+        "first_per_group": first_per_group_q,
         "global_rank": global_rank_q,
         "staging_upsert": staging_upsert,
         "split_valid_ok": split_valid_ok,

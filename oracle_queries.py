@@ -309,7 +309,7 @@ WHERE o.o_custkey IS NOT NULL
 
     "check_fk_star": _with(ORDERS) + FACT_ROWS + " WHERE d.station_key IS NULL",
 
-    "top1_per_group": _with(ORDERS) + """
+    "first_per_group": _with(ORDERS) + """
 SELECT station_id, year_num, month_num, month_name,
        CAST(prcp AS DOUBLE) AS monthly_total_precipitation_in
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY station_id, year_num

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stationdw.functions.numeric import half
 from stationdw.functions.season import season_name, season_order
-from stationdw.operators.ranking import rank_within, top1_per_group
+from stationdw.operators.ranking import rank_within, first_per_group
 
 MONTHLY_MEASURES = ["monthly_avg_temperature_f", "monthly_max_temperature_f",
                     "monthly_min_temperature_f", "monthly_total_precipitation_in"]
@@ -102,7 +102,7 @@ def annual_profile(monthly: DataFrame, entity_cols: Sequence[str], id_col: str,
                    distributed: bool | None = None) -> DataFrame:
     """Yearly profile per entity with its wettest month and the range rank within the year.
 
-    Wettest month: largest month total, ties to the earlier month (top-1 per entity-year).
+    Wettest month: largest month total, ties to the earlier month (first row per entity-year).
     Rank: RANK() OVER (PARTITION BY year ORDER BY range DESC), distributed for large inputs.
     """
     annual = monthly.groupBy(*entity_cols, year_col).agg(
@@ -114,7 +114,7 @@ def annual_profile(monthly: DataFrame, entity_cols: Sequence[str], id_col: str,
         F.round(F.sum("monthly_total_precipitation_in"), 2)
         .alias("annual_total_precipitation"),
     )
-    wettest = top1_per_group(
+    wettest = first_per_group(
         monthly.select(id_col, year_col, month_col, "month_name",
                        "monthly_total_precipitation_in"),
         [id_col, year_col],

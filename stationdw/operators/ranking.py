@@ -133,7 +133,7 @@ def dense_index(keys: DataFrame, key_cols: Sequence[str], out: str, start_after:
     return idx.select(*key_cols, (F.col("_idx") + F.lit(start_after)).alias(out))
 
 
-def top1_per_group(df: DataFrame, partition: Sequence[str],
+def first_per_group(df: DataFrame, partition: Sequence[str],
                    order: Sequence[tuple[str, bool]], strategy: str = "aggregate") -> DataFrame:
     """First row of each group under ``order`` = [(column, ascending), ...].
 

@@ -10,7 +10,7 @@ from stationdw.functions.season import season_name, season_order
 from stationdw.operators import checks
 from stationdw.operators.aggregate import compare_entities, monthly_summary
 from stationdw.operators.clean import pick_fields, split_valid
-from stationdw.operators.ranking import dense_index, global_rank, rank_within, top1_per_group
+from stationdw.operators.ranking import dense_index, global_rank, rank_within, first_per_group
 from stationdw.operators.sizing import at_most, join_small, spread
 from stationdw.operators.upsert import insert_ignore, keep_latest, upsert_dim, upsert_latest
 from stationdw.schemas import SUMMARY_KEY_ALIASES, SUMMARY_VALUE_ALIASES
@@ -102,14 +102,14 @@ def test_rank_within_hot_group(spark):
     assert rows(local, "id", "r") == rows(expect, "id", "r")
 
 
-def test_top1_per_group_tie_to_earlier_month_and_nulls_last(spark):
+def test_first_per_group_tie_to_earlier_month_and_nulls_last(spark):
     df = spark.createDataFrame(
         [("A", 2010, 1, Decimal("3.0")), ("A", 2010, 2, Decimal("3.0")),
          ("A", 2010, 3, Decimal("1.0")), ("B", 2010, 1, None), ("B", 2010, 2, Decimal("0.5"))],
         "s string, y int, m int, p decimal(10,2)")
     order = [("p", False), ("m", True)]
     for strategy in ("aggregate", "window"):
-        got = rows(top1_per_group(df, ["s", "y"], order, strategy=strategy), "s", "m")
+        got = rows(first_per_group(df, ["s", "y"], order, strategy=strategy), "s", "m")
         assert got == [("A", 1), ("B", 2)], strategy
 
 

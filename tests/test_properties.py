@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stationdw.operators.ranking import global_rank, rank_within, top1_per_group
+from stationdw.operators.ranking import global_rank, rank_within, first_per_group
 from stationdw.operators.upsert import keep_latest, upsert_latest
 
 SETTINGS = settings(max_examples=8, deadline=None,
@@ -72,10 +72,10 @@ def test_rank_within_distributed_equals_window(spark, rows):
 @given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(1, 12),
                                st.one_of(st.none(), st.integers(0, 4))),
                      min_size=1, max_size=50, unique_by=lambda t: (t[0], t[1])))
-def test_top1_aggregate_equals_window(spark, rows):
+def test_first_aggregate_equals_window(spark, rows):
     df = spark.createDataFrame(rows, "s int, m int, p int")
     order = [("p", False), ("m", True)]
-    a = top1_per_group(df, ["s"], order, strategy="aggregate")
-    b = top1_per_group(df, ["s"], order, strategy="window")
+    a = first_per_group(df, ["s"], order, strategy="aggregate")
+    b = first_per_group(df, ["s"], order, strategy="window")
     assert sorted(map(tuple, a.select("s", "m", "p").collect())) == \
         sorted(map(tuple, b.select("s", "m", "p").collect()))
