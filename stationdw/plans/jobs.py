@@ -25,7 +25,7 @@ from stationdw.operators.clean import pick_fields, split_valid
 from stationdw.operators.upsert import merge_into_path
 from stationdw.plans import olap
 from stationdw.plans.star import load_report, load_star
-from stationdw.plans.views import daily_view, monthly_climate
+from stationdw.plans.views import daily_view, monthly_climate, monthly_from_star
 from stationdw.schemas import (DIM_DATE, DIM_STATION, FACT, FACT_KEY, MONTHLY_SUMMARY, PRCP,
                                STAGING, SUMMARY_GROUP, SUMMARY_KEY, SUMMARY_KEY_ALIASES,
                                SUMMARY_VALUE_ALIASES, TEMP)
@@ -188,14 +188,18 @@ def reports(star: dict[str, DataFrame], pair_a: tuple[str, str, str, str],
             season_ids: list[str], pair_b: tuple[str, str, str, str]) -> dict[str, DataFrame]:
     """The five reports over a loaded star.
 
+    All-station reports roll up on narrow keys; the station-filtered ones use the rollup over
+    the daily view, where their station filter is pushed to the fact rows.
+
     ``pair_a`` = (left id, right id, left label, right label) for the side-by-side report,
     ``season_ids`` for the season report, ``pair_b`` = (first, second, labels) for the gap rank.
     """
-    monthly = monthly_climate(daily_view(star["fact"], star["dim_date"], star["dim_station"]))
+    every = monthly_from_star(star["fact"], star["dim_date"], star["dim_station"])
+    few = monthly_climate(daily_view(star["fact"], star["dim_date"], star["dim_station"]))
     return {
-        "query1": olap.q1_monthly(monthly),
-        "query2": olap.q2_compare(monthly, *pair_a),
-        "query3": olap.q3_season(monthly, season_ids),
-        "query4": olap.q4_gap_rank(monthly, *pair_b),
-        "query5": olap.q5_annual_profile(monthly),
+        "query1": olap.q1_monthly(every),
+        "query2": olap.q2_compare(few, *pair_a),
+        "query3": olap.q3_season(few, season_ids),
+        "query4": olap.q4_gap_rank(few, *pair_b),
+        "query5": olap.q5_annual_profile(every),
     }

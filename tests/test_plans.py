@@ -46,3 +46,9 @@ def test_no_cartesian_products(spark, name):
         pytest.skip("streaming queries run to completion when called")
     text = plan_text(entry.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_all_station_rollup_shuffles_narrow_keys(spark):
+    text = plan_text(entry.queries()["q1_monthly"](spark, SF_SMALL))
+    exchanges = [line for line in text.splitlines() if "hashpartitioning(" in line]
+    assert any("station_key" in line and "station_name" not in line for line in exchanges)
