@@ -123,3 +123,25 @@ def test_stage_typed_matches_decoder(spark):
     a = stage_typed(df).drop("reject_reason")
     b = decode_staging(to_raw_messages(df)).drop("reject_reason", "raw_value")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_csv_stream_types_and_rejects_other_header_order(spark, tmp_path):
+    from stationdw.sources.csv_daily import read_daily_csv_stream
+    d = tmp_path / "incoming"
+    d.mkdir()
+    (d / "a.csv").write_text(HEADER + "\nA,N,1,2,3,20100101,-3.7,5,9\n")
+    cols = HEADER.split(",")
+    q = (read_daily_csv_stream(spark, str(d), cols, max_files_per_trigger=1)
+         .writeStream.format("memory").queryName("csv_stream_t").start())
+    q.processAllAvailable()
+    row = spark.table("csv_stream_t").first()
+    assert (row.station_id, row.dly_tmin_normal, row.norm_date) == ("A", -3, "20100101")
+    q.stop()
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "b.csv").write_text("DATE,STATION\n20100101,A\n")
+    q2 = (read_daily_csv_stream(spark, str(bad), ["STATION", "DATE"])
+          .writeStream.format("memory").queryName("csv_stream_bad").start())
+    with pytest.raises(Exception):
+        q2.processAllAvailable()
+    q2.stop()
