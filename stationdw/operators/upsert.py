@@ -1,8 +1,9 @@
 """Keyed upserts on immutable files: keep-latest, insert-ignore, SCD-1 dimension merge.
 
-All merges are one ``groupBy`` over the union of the current and the incoming rows: the
-``max_by``/``min_by`` aggregates run partially before the shuffle, so a hot key is reduced on
-the map side instead of piling up in one task.
+Keep-latest is a ``max_by`` aggregate that runs partially before the shuffle, so a hot key is
+reduced on the map side instead of piling up in one task. Merging a batch into a table is an
+anti join against the batch's (broadcast, size-checked) keys plus a union, so the table's rows
+are not shuffled; a ``groupBy`` form over both sides is kept as an alternative.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from stationdw.operators.ranking import dense_index
-from stationdw.operators.sizing import join_small
+from stationdw.operators.sizing import BROADCAST_MAX_ROWS, at_most, join_small
 from stationdw.session import scratch_dir
 
 
@@ -29,20 +30,47 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -
 
 def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
                   order_cols: Sequence[str], keep_first: Sequence[str] = (),
-                  drop_order: bool = True, incoming_unique: bool = False) -> DataFrame:
+                  drop_order: bool = True, incoming_unique: bool = False,
+                  strategy: str = "antijoin") -> DataFrame:
     """ON DUPLICATE KEY UPDATE: the latest incoming row per key replaces the current row.
 
     ``keep_first`` columns (e.g. a load timestamp) keep the value of the first insert.
     Incoming rows need ``order_cols``; the result drops them unless ``drop_order=False``.
-    ``incoming_unique`` declares the incoming keys unique (e.g. read from a keyed table), so a
-    first load needs no aggregation at all.
+    ``incoming_unique`` declares the incoming keys unique (e.g. read from a keyed table), so
+    they need no keep-latest aggregation.
+
+    ``strategy="antijoin"`` (default): current rows whose key is not in the batch are kept as
+    they are and the batch's latest rows are appended; the batch keys are broadcast after a
+    bounded size check, so current rows are never shuffled. ``"aggregate"``: one ``groupBy``
+    over current and incoming rows (``max_by`` on (batch first, then arrival order)).
     """
     columns = [c for c in incoming.columns if c not in order_cols or not drop_order]
+    fresh = incoming if incoming_unique else keep_latest(incoming, keys, order_cols)
     if current is None:
-        if incoming_unique:
-            return incoming.select(*columns)
-        merged = keep_latest(incoming, keys, order_cols)
-        return merged.select(*columns)
+        return fresh.select(*columns)
+    if strategy == "aggregate":
+        return _upsert_by_aggregate(current, incoming, keys, order_cols, keep_first, columns)
+    fresh = fresh.select(*columns)
+    names = [f"_uk{i}" for i in range(len(keys))]
+    fresh_keys = fresh.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    if at_most(fresh_keys, BROADCAST_MAX_ROWS):
+        fresh_keys = F.broadcast(fresh_keys)
+    cond = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    kept = current.join(fresh_keys, cond, "left_anti").select(*columns)
+    if keep_first:
+        # First-insert values of the keys the batch replaces (no more rows than the batch).
+        firsts = (current.join(fresh_keys, cond, "left_semi")
+                  .select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
+                          *[F.col(c).alias(f"_first_{c}") for c in keep_first]))
+        if at_most(firsts, BROADCAST_MAX_ROWS):
+            firsts = F.broadcast(firsts)
+        fresh = (fresh.join(firsts, cond, "left")
+                 .select(*[F.coalesce(F.col(f"_first_{c}"), F.col(c)).alias(c)
+                           if c in keep_first else F.col(c) for c in columns]))
+    return kept.unionByName(fresh)
+
+
+def _upsert_by_aggregate(current, incoming, keys, order_cols, keep_first, columns):
     value_cols = [c for c in columns if c not in keys]
     cur = current.select(*keys, *value_cols,
                          *[F.lit(None).cast(incoming.schema[c].dataType).alias(c)
@@ -54,8 +82,7 @@ def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence
     order = F.struct(F.col("_prio"), *[F.col(c) for c in order_cols])
     replace = [c for c in value_cols if c not in keep_first]
     aggs = [F.max_by(F.struct(*replace), order).alias("_row")] if replace else []
-    aggs += [F.min_by(F.col(c), F.struct(F.col("_prio"), *[F.col(o) for o in order_cols]))
-             .alias(c) for c in keep_first]
+    aggs += [F.min_by(F.col(c), order).alias(c) for c in keep_first]
     merged = both.groupBy(*keys).agg(*aggs)
     return merged.select(*[F.col("_row")[c].alias(c) if c in replace else F.col(c)
                            for c in columns])

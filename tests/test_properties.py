@@ -79,3 +79,17 @@ def test_first_aggregate_equals_window(spark, rows):
     b = first_per_group(df, ["s"], order, strategy="window")
     assert sorted(map(tuple, a.select("s", "m", "p").collect())) == \
         sorted(map(tuple, b.select("s", "m", "p").collect()))
+
+
+@SETTINGS
+@given(first=readings, second=readings)
+def test_merge_strategies_agree(spark, first, second):
+    schema = "k string, d int, v int, created_at int, _arrival long"
+    a = [(k, d, v, 1, i) for i, (k, d, v) in enumerate(first)]
+    b = [(k, d, v, 2, len(a) + i) for i, (k, d, v) in enumerate(second)]
+    cur = upsert_latest(None, spark.createDataFrame(a, schema), ["k", "d"], ["_arrival"])
+    inc = spark.createDataFrame(b, schema)
+    x = upsert_latest(cur, inc, ["k", "d"], ["_arrival"], keep_first=["created_at"])
+    y = upsert_latest(cur, inc, ["k", "d"], ["_arrival"], keep_first=["created_at"],
+                      strategy="aggregate")
+    assert sorted(map(tuple, x.collect())) == sorted(map(tuple, y.collect()))
