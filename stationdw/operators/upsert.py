@@ -94,7 +94,9 @@ def insert_ignore(current: DataFrame | None, incoming: DataFrame, keys: Sequence
     fresh = incoming.dropDuplicates(list(keys))
     if current is None:
         return fresh
-    return current.unionByName(fresh.join(current.select(*keys), list(keys), "left_anti"))
+    # Existing keys are broadcast when a bounded check proves them small (dimension tables).
+    return current.unionByName(join_small(fresh, current.select(*keys), list(keys),
+                                          "left_anti"))
 
 
 def upsert_dim(current: DataFrame | None, incoming: DataFrame, natural_key: str,
