@@ -56,11 +56,18 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     wh = (args.warehouse or "").rstrip("/")
-    ck = args.checkpoints or f"{wh}/_checkpoints"
     spark = build_session()
+    # Every command registers the tables at their fixed locations in its own session, so
+    # the catalog, the jobs and SQL all see the same files.
+    locations = catalog.ensure_tables(spark, args.database, wh)
+    paths = catalog.table_paths(wh, args.database)
+    ck = args.checkpoints or paths["checkpoints"]
+    staging = paths["climate_normal_daily_raw"]
+    summary = paths["monthly_climate_normal_summary"]
+    star_root = f"{wh}/{args.database}"
     once = not args.continuous
     if args.command == "prepare":
-        print(json.dumps(catalog.ensure_tables(spark, args.database, wh)))
+        print(json.dumps(locations))
     elif args.command == "publish":
         sink = "kafka" if args.source == "kafka" else "files"
         n = jobs.publish_daily_csv(spark, args.csv, args.topic, sink,
@@ -68,18 +75,18 @@ def main(argv: list[str] | None = None) -> int:
         print(f"published {n} messages to {args.topic}")
     elif args.command == "consume":
         src, opts = _source_options(args)
-        jobs.consume_to_staging(spark, src, opts, f"{wh}/staging", f"{wh}/quarantine",
+        jobs.consume_to_staging(spark, src, opts, staging, paths["quarantine"],
                                 f"{ck}/staging", available_now=once).awaitTermination()
     elif args.command == "load":
-        for row in jobs.load_warehouse(spark, f"{wh}/staging", f"{wh}/star").collect():
+        for row in jobs.load_warehouse(spark, staging, star_root).collect():
             print(f"{row.stage}: {row.row_count}")
     elif args.command == "summary":
         src, opts = _source_options(args)
-        jobs.monthly_summary_table(spark, src, opts, f"{wh}/monthly_summary",
-                                   f"{ck}/summary", available_now=once).awaitTermination()
+        jobs.monthly_summary_table(spark, src, opts, summary, f"{ck}/summary",
+                                   available_now=once).awaitTermination()
     elif args.command == "summary-changelog":
         src, opts = _source_options(args)
-        q = jobs.summary_changelog(spark, src, opts, f"{wh}/summary_changelog",
+        q = jobs.summary_changelog(spark, src, opts, paths["summary_changelog"],
                                    f"{ck}/changelog")
         if once:
             q.processAllAvailable()
@@ -87,17 +94,19 @@ def main(argv: list[str] | None = None) -> int:
         else:
             q.awaitTermination()
     elif args.command == "load-summary":
-        jobs.load_summary_changelog(spark, f"{wh}/summary_changelog", f"{wh}/monthly_summary",
+        jobs.load_summary_changelog(spark, paths["summary_changelog"], summary,
                                     f"{ck}/load-summary", available_now=once).awaitTermination()
     elif args.command == "report":
         from stationdw.sources.sinks import write_report_csv
-        star = jobs.read_star(spark, f"{wh}/star")
+        star = jobs.read_star(spark, star_root)
         reports = jobs.reports(star, tuple(args.pair), list(args.season), tuple(args.gap))
         for name, df in reports.items():
             if args.out:
                 write_report_csv(df, f"{args.out.rstrip('/')}/{name}")
             else:
                 df.show(100, truncate=False)
+    if args.command in ("consume", "load", "summary", "load-summary"):
+        catalog.refresh_tables(spark, args.database)
     spark.stop()
     return 0
 

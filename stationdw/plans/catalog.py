@@ -23,7 +23,9 @@ TABLES = {
         "norm_month"),
     "dim_date": (DIM_DATE, None),
     "dim_station": (DIM_STATION, None),
-    "fact_daily_climate_normal": (FACT, None),
+    "fact_daily_climate_normal": (
+        T.StructType(FACT.fields + [T.StructField("date_month", T.IntegerType())]),
+        "date_month"),
     "monthly_climate_normal_summary": (MONTHLY_SUMMARY, "norm_month"),
 }
 
@@ -36,15 +38,27 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(cols)
 
 
+def table_paths(base_path: str, database: str) -> dict[str, str]:
+    """Fixed location of every warehouse table (plus the quarantine and changelog folders)."""
+    root = f"{base_path.rstrip('/')}/{database}"
+    paths = {name: f"{root}/{name}" for name in TABLES}
+    paths["quarantine"] = f"{root}/quarantine"
+    paths["summary_changelog"] = f"{root}/summary_changelog"
+    paths["checkpoints"] = f"{root}/_checkpoints"
+    return paths
+
+
 def ensure_tables(spark: SparkSession, database: str, base_path: str) -> dict[str, str]:
     """CREATE DATABASE / TABLE IF NOT EXISTS for the five warehouse tables.
 
-    Returns table name -> location. Existing tables and their data are left untouched.
+    Returns table name -> location. Existing tables and their data are left untouched, so every
+    job can call it to register the tables in its session's catalog.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     locations = {}
+    paths = table_paths(base_path, database)
     for name, (schema, part) in TABLES.items():
-        location = f"{base_path.rstrip('/')}/{database}/{name}"
+        location = paths[name]
         partition = f" PARTITIONED BY (`{part}`)" if part else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({_ddl(schema)}) "
                   f"USING parquet{partition} LOCATION '{location}'")
@@ -76,3 +90,15 @@ def register_views(star: Mapping[str, DataFrame], prefix: str = "") -> dict[str,
     for name, df in views.items():
         df.createOrReplaceTempView(prefix + name)
     return views
+
+
+def refresh_tables(spark: SparkSession, database: str) -> None:
+    """Pick up partitions and files written by jobs since the tables were registered."""
+    for name, (_, part) in TABLES.items():
+        try:
+            if part:
+                spark.catalog.recoverPartitions(f"{database}.{name}")
+            spark.catalog.refreshTable(f"`{database}`.`{name}`")
+        except Exception as exc:  # noqa: BLE001 - a table nothing was written to yet
+            if "does not exist" not in str(exc) and "PATH_NOT_FOUND" not in str(exc):
+                raise

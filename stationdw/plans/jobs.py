@@ -83,14 +83,20 @@ def read_staging(spark: SparkSession, staging_path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(staging_path).select(*STAGING_COLUMNS)
 
 
+def star_paths(warehouse: str) -> dict[str, str]:
+    """Locations of the star tables under ``warehouse`` (a folder or a catalog's table root)."""
+    base = warehouse.rstrip("/")
+    return {"dim_station": f"{base}/dim_station", "dim_date": f"{base}/dim_date",
+            "fact": f"{base}/fact_daily_climate_normal"}
+
+
 def load_warehouse(spark: SparkSession, staging_path: str, warehouse: str) -> DataFrame:
     """Load dimensions and fact from staging into ``warehouse`` and return the load report.
 
     Dimensions are small and replaced as a whole (keys kept); the fact is merged keyed by
     (station_key, date_key), touching only the months present in staging.
     """
-    paths = {name: f"{warehouse.rstrip('/')}/{name}" for name in ("dim_station", "dim_date",
-                                                                   "fact")}
+    paths = star_paths(warehouse)
     fact_schema = FACT_STORED
     current = {
         "dim_station": _read(spark, paths["dim_station"], DIM_STATION),
@@ -113,12 +119,11 @@ def load_warehouse(spark: SparkSession, staging_path: str, warehouse: str) -> Da
 
 
 def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    base = warehouse.rstrip("/")
+    paths = star_paths(warehouse)
     return {
-        "dim_station": spark.read.schema(DIM_STATION).parquet(f"{base}/dim_station"),
-        "dim_date": spark.read.schema(DIM_DATE).parquet(f"{base}/dim_date"),
-        "fact": spark.read.schema(FACT_STORED).parquet(f"{base}/fact")
-        .drop("date_month"),
+        "dim_station": spark.read.schema(DIM_STATION).parquet(paths["dim_station"]),
+        "dim_date": spark.read.schema(DIM_DATE).parquet(paths["dim_date"]),
+        "fact": spark.read.schema(FACT_STORED).parquet(paths["fact"]).drop("date_month"),
     }
 
 

@@ -35,3 +35,22 @@ def test_cli_flow(tmp_path):
     jan = [r for r in rows if r["month_num"] == "1"][0]
     assert jan["monthly_avg_temperature_normal"] == "5.10"
     assert jan["monthly_total_precipitation_normal"] == "0.55"
+
+
+def test_catalog_tables_see_loaded_files(spark, tmp_path):
+    from stationdw.plans import catalog, jobs
+    from stationdw.session import scratch_dir
+    from stationdw.sources.sinks import write_messages
+    from stationdw.sources.csv_daily import read_daily_csv
+    base = str(tmp_path / "wh")
+    paths = catalog.table_paths(base, "cat_test")
+    catalog.ensure_tables(spark, "cat_test", base)
+    topic = scratch_dir(spark, "topic")
+    write_messages(read_daily_csv(spark, os.path.join(DATA, "NORMAL_DLY_sample_csv.csv")), topic)
+    jobs.consume_to_staging(spark, "files", {"path": topic}, paths["climate_normal_daily_raw"],
+                            paths["quarantine"], scratch_dir(spark, "ck")).awaitTermination()
+    jobs.load_warehouse(spark, paths["climate_normal_daily_raw"], f"{base}/cat_test").collect()
+    catalog.refresh_tables(spark, "cat_test")
+    assert spark.table("cat_test.fact_daily_climate_normal").count() == 365
+    assert spark.table("cat_test.climate_normal_daily_raw").count() == 365
+    assert spark.table("cat_test.dim_station").count() == 1
