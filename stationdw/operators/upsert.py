@@ -16,7 +16,7 @@ from pyspark.sql.utils import AnalysisException
 
 from stationdw.operators.ranking import dense_index
 from stationdw.operators.sizing import BROADCAST_MAX_ROWS, at_most, join_small
-from stationdw.session import scratch_dir
+from stationdw.session import checkpoint_root, scratch_dir
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -144,19 +144,40 @@ def _read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | No
         return None
 
 
+def _stage_complete(spark: SparkSession, stage: str) -> bool:
+    """True when a previous attempt finished writing ``stage`` (its job-commit marker exists)."""
+    try:
+        spark.read.text(stage.rstrip("/") + "/_SUCCESS").schema  # noqa: B018
+        return True
+    except AnalysisException:
+        return False
+
+
 def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
                     order_cols: Sequence[str], partition_col: str,
-                    keep_first: Sequence[str] = ()) -> None:
+                    keep_first: Sequence[str] = (), stage_key: str | None = None) -> None:
     """Upsert ``incoming`` into the Parquet table at ``path``, partitioned by ``partition_col``.
 
     Only the partitions the batch touches are read (a semi join on the partition column, which
     dynamic partition pruning turns into a partition filter at the scan), merged, staged under
     the shared checkpoint folder, then swapped in with dynamic partition overwrite. The table is
     never overwritten by a plan that reads it. ``partition_col`` must be a function of the key.
+
+    ``stage_key`` (e.g. table and stream epoch) names the stage deterministically: a retried
+    batch whose stage was completely written reuses it instead of merging again, so a crash
+    during the swap (some months already replaced) cannot make the retry merge against an
+    incomplete table.
     """
     spark = incoming.sparkSession
     table_cols = [c for c in incoming.columns if c not in order_cols]
     schema = incoming.select(*table_cols).schema
+    if stage_key:
+        stage = checkpoint_root(spark).rstrip("/") + f"/merge-{stage_key}"
+        if _stage_complete(spark, stage):
+            _swap_in(spark, stage, schema, path, partition_col)
+            return
+    else:
+        stage = scratch_dir(spark, "merge")
     current = _read_or_none(spark, path, schema)
     if current is None:
         merged = upsert_latest(None, incoming, keys, order_cols, keep_first)
@@ -167,8 +188,14 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     # No repartition by the partition column before writing: a month holding a third of the
     # rows would then be written by one task. The merge output is spread by key instead and each
     # task writes its share of every touched month.
-    stage = scratch_dir(spark, "merge")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage)
+    # The stage is a fresh folder: a static write commits the whole job with a _SUCCESS marker
+    # (a dynamic-overwrite write, the session default, leaves none).
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(partition_col).parquet(stage))
+    _swap_in(spark, stage, merged.schema, path, partition_col)
+
+
+def _swap_in(spark: SparkSession, stage: str, schema, path: str, partition_col: str) -> None:
+    staged = spark.read.schema(schema).parquet(stage)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))

@@ -15,6 +15,9 @@ at-least-once sink.
 
 from __future__ import annotations
 
+import hashlib
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -47,6 +50,30 @@ def summary_rows(summary: DataFrame) -> DataFrame:
     )
 
 
+class _QueryScope:
+    """The started query's persistent id, for merge-stage names inside ``foreachBatch``.
+
+    A query keeps its id across restarts from the same checkpoint and gets a new one with a new
+    checkpoint, so (table, query id, epoch) names exactly one micro-batch: a retried epoch finds
+    its own stage, a restarted stream with a fresh checkpoint never reuses an old one.
+    """
+
+    def __init__(self) -> None:
+        self._id: str | None = None
+        self._ready = threading.Event()
+
+    def started(self, query: StreamingQuery) -> StreamingQuery:
+        self._id = str(query.id)
+        self._ready.set()
+        return query
+
+    def stage_key(self, table_path: str, epoch_id: int) -> str:
+        if not self._ready.wait(timeout=300):
+            raise RuntimeError("streaming query id not available")
+        digest = hashlib.sha1(f"{table_path}|{self._id}".encode("utf-8")).hexdigest()[:16]
+        return f"{digest}-{epoch_id}"
+
+
 def _trigger(writer, available_now: bool, processing_time: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -60,14 +87,16 @@ def write_summary_stream(raw: DataFrame, table_path: str, checkpoint: str,
                          processing_time: str | None = None) -> StreamingQuery:
     """Continuous monthly summary of a raw message stream, upserted into ``table_path``."""
     summary = monthly_summary(clean_stream(raw), dedupe_keys=dedupe_keys)
+    scope = _QueryScope()
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         rows = summary_rows(batch).withColumn("_epoch", F.lit(epoch_id))
-        merge_into_path(rows, table_path, SUMMARY_KEY, ["_epoch"], "norm_month")
+        merge_into_path(rows, table_path, SUMMARY_KEY, ["_epoch"], "norm_month",
+                        stage_key=scope.stage_key(table_path, epoch_id))
 
     writer = (summary.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
               .foreachBatch(upsert))
-    return _trigger(writer, available_now, processing_time).start()
+    return scope.started(_trigger(writer, available_now, processing_time).start())
 
 
 def write_clean_stream(raw: DataFrame, path: str, checkpoint: str, available_now: bool = False,
@@ -112,6 +141,7 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
     The table is partitioned by the month of ``norm_date`` (a function of the key), so each
     micro-batch rewrites only the months it touches.
     """
+    scope = _QueryScope()
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         # The batch feeds two writes: decode it once (persisted; a lost block is recomputed
@@ -122,12 +152,13 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
             rejected.withColumn("_epoch", F.lit(epoch_id)).write.mode("append") \
                 .parquet(quarantine_path)
             merge_into_path(valid, table_path, STAGING_KEY, ["_arrival"], "norm_month",
-                            keep_first=["created_at"])
+                            keep_first=["created_at"],
+                            stage_key=scope.stage_key(table_path, epoch_id))
         finally:
             decoded.unpersist()
 
     writer = (raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert))
-    return _trigger(writer, available_now, processing_time).start()
+    return scope.started(_trigger(writer, available_now, processing_time).start())
 
 
 SUMMARY_COLUMNS = [f.name for f in MONTHLY_SUMMARY.fields]
