@@ -33,7 +33,8 @@ from stationdw.session import scratch_dir
 from stationdw.sources.csv_daily import read_daily_csv
 from stationdw.sources.messages import read_raw_stream
 from stationdw.sources.sinks import write_changelog_stream, write_messages
-from stationdw.streaming.jobs import clean_stream, write_staging_stream, write_summary_stream
+from stationdw.streaming.jobs import (QueryScope, clean_stream, write_staging_stream,
+                                      write_summary_stream)
 
 STAGING_COLUMNS = [f.name for f in STAGING.fields if f.name != "created_at"]
 # The stored fact carries its month (a function of the date key) as partition column.
@@ -164,6 +165,7 @@ def load_summary_changelog(spark: SparkSession, changelog_dir: str, table_path:
     -> monthly summary table, keyed (station_id, norm_month), later message wins."""
     schema = "key string, value string, _epoch long"
     msgs = spark.readStream.schema(schema).json(changelog_dir)
+    scope = QueryScope()
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         rows, _ = summary_from_changelog(batch)
@@ -172,10 +174,11 @@ def load_summary_changelog(spark: SparkSession, changelog_dir: str, table_path:
         rows = rows.withColumn("_order", F.struct(F.lit(epoch_id).alias("batch"),
                                                   F.col("_epoch").alias("epoch")))
         merge_into_path(rows.drop("_epoch"), table_path, SUMMARY_KEY, ["_order"],
-                        "norm_month")
+                        "norm_month", stage_key=scope.stage_key(table_path, epoch_id))
 
     writer = msgs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    return scope.started((writer.trigger(availableNow=True) if available_now else writer)
+                         .start())
 
 
 def monthly_summary_table(spark: SparkSession, source: str, options: dict, table_path: str,

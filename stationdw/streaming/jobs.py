@@ -50,7 +50,7 @@ def summary_rows(summary: DataFrame) -> DataFrame:
     )
 
 
-class _QueryScope:
+class QueryScope:
     """The started query's persistent id, for merge-stage names inside ``foreachBatch``.
 
     A query keeps its id across restarts from the same checkpoint and gets a new one with a new
@@ -87,7 +87,7 @@ def write_summary_stream(raw: DataFrame, table_path: str, checkpoint: str,
                          processing_time: str | None = None) -> StreamingQuery:
     """Continuous monthly summary of a raw message stream, upserted into ``table_path``."""
     summary = monthly_summary(clean_stream(raw), dedupe_keys=dedupe_keys)
-    scope = _QueryScope()
+    scope = QueryScope()
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         rows = summary_rows(batch).withColumn("_epoch", F.lit(epoch_id))
@@ -141,7 +141,7 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
     The table is partitioned by the month of ``norm_date`` (a function of the key), so each
     micro-batch rewrites only the months it touches.
     """
-    scope = _QueryScope()
+    scope = QueryScope()
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         # The batch feeds two writes: decode it once (persisted; a lost block is recomputed
