@@ -1,0 +1 @@
+"""Column expressions: numeric and date conversions, units, seasons, JSON fields."""

@@ -1,0 +1 @@
+"""DataFrame operators: cleaning, upserts, ranks, aggregates, checks, sizing."""

@@ -38,7 +38,7 @@ def read_raw_stream(spark: SparkSession, source: str, options: dict | None = Non
     """Streaming source of raw messages with ``key``/``value`` strings and an arrival order.
 
     ``source="kafka"``: needs the Kafka connector on the classpath; starts at the earliest offset
-    unless told otherwise; arrival order = (partition, offset).
+    unless told otherwise; arrival order = (record timestamp, partition, offset).
     ``source="files"``: JSON-lines text files in ``options["path"]``. Spark does not expose a
     line position, so arrival order comes from fields the producer puts in each message:
     ``(_published, _seq)`` by default (see ``sinks.write_messages``), or the single field
@@ -51,7 +51,9 @@ def read_raw_stream(spark: SparkSession, source: str, options: dict | None = Non
         return df.select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
-            F.struct(F.col("partition"), F.col("offset")).alias("_arrival"),
+            # One partition (as the raw topic has) makes the offset the arrival order; across
+            # partitions the record timestamp comes first.
+            F.struct(F.col("timestamp"), F.col("partition"), F.col("offset")).alias("_arrival"),
         )
     if source == "files":
         path = options.pop("path")
