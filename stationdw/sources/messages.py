@@ -47,7 +47,14 @@ def read_raw_stream(spark: SparkSession, source: str, options: dict | None = Non
     options = dict(options or {})
     if source == "kafka":
         options.setdefault("startingOffsets", "earliest")
-        df = spark.readStream.format("kafka").options(**options).load()
+        try:
+            df = spark.readStream.format("kafka").options(**options).load()
+        except Exception as exc:  # noqa: BLE001
+            if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+                raise RuntimeError(
+                    "the Kafka connector (spark-sql-kafka) is not on the classpath; add it to "
+                    "the cluster or read a file topic with source='files'") from exc
+            raise
         return df.select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
