@@ -52,3 +52,42 @@ def test_all_station_rollup_shuffles_narrow_keys(spark):
     text = plan_text(entry.queries()["q1_monthly"](spark, SF_SMALL))
     exchanges = [line for line in text.splitlines() if "hashpartitioning(" in line]
     assert any("station_key" in line and "station_name" not in line for line in exchanges)
+
+
+def executed(df):
+    df.write.format("noop").mode("overwrite").save()   # run it so AQE settles the final plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_does_not_shuffle_table_rows(spark):
+    from pyspark.sql import functions as F
+    from stationdw.operators.upsert import upsert_latest
+    current = spark.range(0, 20000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    batch = spark.range(0, 50).select(F.col("id").alias("k"), F.lit(-1).alias("v"),
+                                      F.col("id").alias("_arrival"))
+    text = plan_text(upsert_latest(current, batch, ["k"], ["_arrival"], incoming_unique=True))
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+    assert "SortMergeJoin" not in text
+
+
+def test_distributed_ranks_avoid_single_partition(spark):
+    from pyspark.sql import functions as F
+    from stationdw.operators.ranking import global_rank, rank_within
+    df = spark.range(0, 5000).select("id", (F.col("id") % 17).alias("x"),
+                                     (F.col("id") % 3).alias("g"))
+    for out in (global_rank(df, ["x"], [False], "r", distributed=True),
+                rank_within(df, ["g"], ["x"], [False], "r", distributed=True)):
+        lines = executed(out).splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                # Only the per-range-partition totals (one row per partition) meet in one task.
+                assert "HashAggregate(keys=[_pid" in lines[i + 1], lines[i + 1]
+
+
+def test_first_per_group_is_a_partial_aggregate(spark):
+    from pyspark.sql import functions as F
+    from stationdw.operators.ranking import first_per_group
+    df = spark.range(0, 5000).select((F.col("id") % 5).alias("g"), "id")
+    text = plan_text(first_per_group(df, ["g"], [("id", False)]))
+    assert "Window" not in text
+    assert "partial_min_by" in text
