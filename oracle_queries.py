@@ -286,7 +286,7 @@ UNION ALL SELECT 'staging_stations', COUNT(DISTINCT station_id) FROM staging
 UNION ALL SELECT 'staging_dates', COUNT(DISTINCT norm_date) FROM staging
 UNION ALL SELECT 'dim_station', COUNT(*) FROM dim_station
 UNION ALL SELECT 'dim_date', COUNT(DISTINCT norm_date) FROM staging
-UNION ALL SELECT 'fact', COUNT(*) FROM staging""",
+UNION ALL SELECT 'fact_upserted', COUNT(*) FROM staging""",
 
     "check_domain": _with(ORDERS) + """
 SELECT station_id, norm_date, violations FROM (

@@ -37,7 +37,8 @@ def test_topic_to_reports(spark, topic):
              .collect()}
     second = {r.stage: r.row_count for r in jobs.load_warehouse(spark, staging, warehouse)
               .collect()}
-    assert first == second and first["fact"] == 1460 and first["dim_station"] == 4
+    assert first == second and first["fact_upserted"] == 1460 and first["dim_station"] == 4
+    assert jobs.read_star(spark, warehouse)["fact"].count() == 1460
     out = jobs.reports(jobs.read_star(spark, warehouse),
                        (SEATTLE, PETERSBURG, "seattle", "petersburg"),
                        [SAN_FRANCISCO, PITTSBURGH],

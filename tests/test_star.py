@@ -91,7 +91,7 @@ def test_constraints_hold_after_load(four_station):
     report = {r.stage: r.row_count for r in
               load_report(four_station["staging"], star).collect()}
     assert report == {"staging_rows": 1460, "staging_stations": 4, "staging_dates": 365,
-                      "dim_station": 4, "dim_date": 365, "fact": 1460}
+                      "dim_station": 4, "dim_date": 365, "fact_upserted": 1460}
 
 
 def test_merge_into_path_touches_only_batch_months(spark):
