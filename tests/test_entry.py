@@ -9,6 +9,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -50,4 +52,7 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    duck_types = {d[0]: str(d[1]).upper() for d in res.description}
+    for col, spark_type in df.dtypes:
+        assert SPARK_TO_DUCK.get(spark_type, spark_type.upper()) == duck_types[col], col
     assert canonical(df.columns, rows) == canonical(ocols, orows)
