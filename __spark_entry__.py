@@ -308,6 +308,21 @@ def stream_staging(spark, sf):
 
 # ---------------------------------------------------------------------------------------------
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators, if that subpackage is there."""
+    try:
+        import corpus_pipeline
+        from stationdw.llm.queries import ORACLE_SQL, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name != "corpus_pipeline" and not missing.name.startswith("stationdw.llm"):
+            raise
+        return {}, {}
+    sql = dict(ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: monthly station summary over the star loaded from sf0.001."""
     return q1_monthly(spark, SMOKE_DIR)
@@ -346,9 +361,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_monthly": stream_monthly,
         "stream_staging": stream_staging,
         "stream_changelog": stream_changelog,
+        **_training_data()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLE_SQL
-    return dict(ORACLE_SQL)
+    return {**ORACLE_SQL, **_training_data()[1]}

@@ -12,6 +12,8 @@ from tests.conftest import SF_SMALL
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
                  "date": "DATE", "boolean": "BOOLEAN"}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+# queries of the training-data subpackage are tested beside it
+OWN = {n: f for n, f in entry.queries().items() if n not in entry._training_data()[0]}
 
 
 def norm(v):
@@ -40,11 +42,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) == set(entry.oracle_sql()) - set(entry._training_data()[1])
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables absent")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
