@@ -43,16 +43,17 @@ def fit_lengths(lengths, counts, budget: int, exact_below: int = 1 << 14) -> np.
     """How many documents of each length to take, at most ``counts``, so that their lengths add
     up to ``budget`` or as little below it as can be.
 
-    A proportional bulk is taken first, then the longest that fit, until about ``exact_below``
-    words are left; these are fitted exactly by bounded subset-sum dynamic programming over bit
-    sets (a set bit s: some choice adds up to s). Time and memory don't grow with the counts.
+    All but the last ``exact_below`` words of the budget are taken as a proportional bulk, what
+    its rounding leaves over as the longest that fit; the last ``exact_below`` words are fitted
+    exactly by bounded subset-sum dynamic programming over bit sets (a set bit s: some choice
+    adds up to s). Time and memory don't grow with the counts.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
-    # floor(count * budget / total) in whole numbers: the products can pass 64 bits
-    taken = np.array([int(c) * budget // total if n else 0
+    bulk = max(0, budget - exact_below)  # in whole numbers: the products can pass 64 bits
+    taken = np.array([int(c) * bulk // total if n else 0
                       for n, c in zip(lengths.tolist(), counts.tolist())], np.int64)
     left = budget - int((lengths * taken).sum())
     order = [i for i in np.argsort(lengths).tolist() if lengths[i] > 0]
