@@ -15,8 +15,6 @@ from pyspark.sql.types import StructType
 
 from stationdw.sources.tables import materialize, read_table
 
-__all__ = ["read_table", "stage", "arrow_map", "columns_of"]
-
 #: What separates words everywhere in this package: space and the five ASCII controls.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -59,17 +57,25 @@ def ship_package(spark: SparkSession) -> None:
     sc._stationdw_shipped = True
 
 
+def pieces(batches, target: int = 4 << 20):
+    """Arrow batches cut into pieces of about ``target`` bytes, so that the Python objects made
+    of a piece stay small whatever the size of a batch."""
+    for batch in batches:
+        step = max(1, batch.num_rows * target // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def arrow_map(df: DataFrame, rows, schema: str) -> DataFrame:
     """``mapInArrow`` with a function from a batch (dict of Python lists) to a dict of columns.
 
-    ``rows(columns) -> columns`` sees one Arrow batch at a time; Spark bounds a batch by rows
-    and by bytes (``spark.sql.execution.arrow.maxRecordsPerBatch`` / ``maxBytesPerBatch``).
+    ``rows(columns) -> columns`` sees a piece of some megabytes at a time.
     """
     ship_package(df.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             got = rows(batch.to_pydict())
             if got is not None:
                 yield pa.RecordBatch.from_pydict(got, schema=out)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, ship_package, stage
+from .common import columns_of, pieces, ship_package, stage
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so invertible modulo 2**64
 
@@ -104,7 +104,7 @@ def _anchor_map(window: int, period: int):
     out = pa.schema([("h", pa.int64()), ("th", pa.int64()), ("pos", pa.int32())])
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             hashes, keys, places = [], [], []
             for text, th in zip(batch.column("text").to_pylist(),
                                 batch.column("th").to_pylist()):
@@ -141,7 +141,7 @@ def _window_map(window: int, period: int):
                      ("th", pa.int64()), ("pos", pa.int32())])
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             for row in batch.to_pylist():
                 codes = np.fromiter(map(xxhash.xxh64_intdigest, words_of(row["text"])), np.uint64)
                 n = len(codes) - window + 1
@@ -208,7 +208,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50, period: int = 21,
                      ("kept_text", pa.string())])
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             got: dict[str, list] = {n: [] for n in out.names}
             for row in batch.to_pylist():
                 words = words_of(row["text"])
