@@ -178,7 +178,11 @@ def repeated_windows(docs: DataFrame, window: int = 50, period: int = 21) -> Dat
                   .mapInArrow(_window_map(window, period),
                               "w1 long, w2 long, least long, th long, pos int"))
     windows = stage(candidates, "windows")
-    first = windows.groupBy("w1", "w2").agg(F.min("least").alias("first"))
+    # written, so that the join's sides are plain shuffles: AQE can then split a window that
+    # very many texts share, which it does not below an aggregation
+    first = stage(windows.groupBy("w1", "w2").agg(
+        F.min("least").alias("first"), F.max("least").alias("last"))
+        .where("first < last").drop("last"), "first-windows")
     return windows.join(first, ["w1", "w2"]).where("first < least").select("th", "pos")
 
 
