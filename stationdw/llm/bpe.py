@@ -59,7 +59,7 @@ class _Words(dict):
 class WordBpe:
     """Encoder and decoder for a byte-level BPE with a word-end suffix and lower-casing."""
 
-    def __init__(self, path: str, cache_size: int = 500_000):
+    def __init__(self, path: str, cache_size: int = 300_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, steps = spec["model"], [s["type"] for s in spec["normalizer"]["normalizers"]]
