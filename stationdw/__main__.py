@@ -53,7 +53,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--season", nargs="+", metavar="STATION")
     p.add_argument("--gap", nargs=4, metavar=("FIRST", "SECOND", "FIRST_LABEL", "SECOND_LABEL"))
     p.add_argument("--out", help="report output folder (header CSV per report)")
+    p.add_argument("--rows", type=int, help="print this many rows of each report instead")
     args = p.parse_args(argv)
+    if args.command == "report" and not args.out and args.rows is None:
+        p.error("report needs --out (whole reports) or --rows N (the first N rows, printed)")
 
     wh = (args.warehouse or "").rstrip("/")
     spark = build_session()
@@ -104,7 +107,7 @@ def main(argv: list[str] | None = None) -> int:
             if args.out:
                 write_report_csv(df, f"{args.out.rstrip('/')}/{name}")
             else:
-                df.show(100, truncate=False)
+                df.show(args.rows, truncate=False)
     if args.command in ("consume", "load", "summary", "load-summary"):
         catalog.refresh_tables(spark, args.database)
     spark.stop()

@@ -44,12 +44,23 @@ def first_present(keys: Column, values: dict[str, Column], names: Sequence[str])
     return expr
 
 
-def truthy(v: Column) -> Column:
-    """Python truthiness of a JSON scalar rendered as text: null, "", 0 and false are falsy."""
-    return (v.isNotNull() & (v != F.lit("")) & (F.lower(v) != F.lit("false"))
-            & F.coalesce(v.try_cast("double") != F.lit(0.0), F.lit(True)))
-
-
-def pick_or(primary: Column, fallback: Column) -> Column:
-    """``primary or fallback`` with Python semantics."""
-    return F.when(truthy(primary), primary).otherwise(fallback)
+def json_types(text: Column | str, names: Sequence[str]) -> dict[str, Column]:
+    """The JSON type of each field of an object (STRING, BOOLEAN, BIGINT, ...; null if absent)."""
+    parsed = F.try_parse_json(col_of(text))
+    return {n: F.schema_of_variant(F.try_variant_get(parsed, f"$.{n}", "variant"))
+            for n in dict.fromkeys(names)}
+
+
+def truthy(v: Column, kind: Column) -> Column:
+    """Python truthiness of a JSON value from its text and JSON type: null, "", number 0, false,
+    [] and {} are falsy; any other text, "0" and "false" included, is not."""
+    number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    falsy = (v.isNull() | (v == F.lit("")) | ((kind == "BOOLEAN") & (v == F.lit("false")))
+             | (number & (v.try_cast("double") == F.lit(0.0)))
+             | ((kind != "STRING") & v.isin("[]", "{}")))
+    return ~F.coalesce(falsy, F.lit(False))
+
+
+def pick_or(primary: Column, fallback: Column, kind: Column) -> Column:
+    """``primary or fallback`` with Python semantics; ``kind`` is the JSON type of ``primary``."""
+    return F.when(truthy(primary, kind), primary).otherwise(fallback)

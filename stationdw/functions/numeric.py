@@ -54,21 +54,11 @@ def to_decimal(c: Column | str, dtype: DataType, strict: bool = True) -> Column:
     return text.cast(dtype) if strict else text.try_cast(dtype)
 
 
-def round2(c: Column | str, digits: int = 2) -> Column:
-    """ROUND(x, digits) on a decimal: exact, half away from zero."""
-    return F.round(col_of(c), digits)
-
-
 def scaled(c: Column | str, factor: str, digits: int = 2) -> Column:
     """``ROUND(x * factor, digits)`` in decimal arithmetic (``factor`` like ``"0.1"``)."""
     return F.round(col_of(c) * dec(factor), digits)
 
 
-def avg_rounded(c: Column | str, digits: int = 2) -> Column:
-    """ROUND(AVG(x), digits) over a decimal column (avg keeps 4 extra digits, then rounds)."""
-    return F.round(F.avg(col_of(c)), digits)
-
-
 def half(c: Column) -> Column:
     """x / 2 as an exact decimal product."""
     return c * dec("0.5")

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from stationdw.operators.sizing import BROADCAST_MAX_ROWS, at_most
-
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (``dup_count``)."""
@@ -31,10 +29,6 @@ def check_fk(child: DataFrame, parent: DataFrame, child_key: str,
     """Child rows whose (non-null) key has no parent row."""
     parent_key = parent_key or child_key
     parents = parent.select(F.col(parent_key).alias("_pk"))
-    # A dimension-sized parent is broadcast (after a bounded size check); a large one is
-    # joined by sort-merge without a separate distinct.
-    if at_most(parents, BROADCAST_MAX_ROWS):
-        parents = F.broadcast(parents)
     return (child.where(F.col(child_key).isNotNull())
             .join(parents, F.col(child_key) == F.col("_pk"), "left_anti"))
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationdw.functions.dates import month_key
-from stationdw.functions.json_fields import first_present, json_fields, json_keys, pick_or
+from stationdw.functions.json_fields import (first_present, json_fields, json_keys, json_types,
+                                             pick_or)
 
 
 def clean_readings(df: DataFrame) -> DataFrame:
@@ -58,7 +59,8 @@ def pick_fields(df: DataFrame, value_aliases: Mapping[str, Sequence[str]],
     For each output field: the first alias *present* in the value object (even if null), then
     ``or`` the first alias present in the key object, so null, "", 0 and false in the value fall
     back to the key. Non-object key or value counts as empty. Output fields are text; a
-    ``tombstone`` flag marks messages whose value is null. Key and value are parsed once each.
+    ``tombstone`` flag marks messages whose value is null, blank or JSON ``null``. Text is never
+    taken for a number: "0" and "false" in quotes are values.
     """
     key_aliases = key_aliases or {}
     has_key = key_col in df.columns
@@ -73,12 +75,16 @@ def pick_fields(df: DataFrame, value_aliases: Mapping[str, Sequence[str]],
     k_cols = {}
     if k_names:
         parsed, k_cols = json_fields(parsed, "_key", k_names, "_k")
+    v_types = json_types("_value", [a for n in value_aliases if n in key_aliases
+                                    for a in value_aliases[n]])
     out = []
     for name, aliases in value_aliases.items():
         primary = first_present(F.col("_vkeys"), v_cols, list(aliases))
         if name in key_aliases:
             fallback = first_present(F.col("_kkeys"), k_cols, list(key_aliases[name]))
-            out.append(pick_or(primary, fallback).alias(name))
+            kind = first_present(F.col("_vkeys"), v_types, list(aliases))
+            out.append(pick_or(primary, fallback, kind).alias(name))
         else:
             out.append(primary.alias(name))
-    return parsed.select(*out, F.col("_value").isNull().alias("tombstone"), *extra)
+    blank = F.col("_value").isNull() | F.trim("_value").isin("", "null")
+    return parsed.select(*out, blank.alias("tombstone"), *extra)

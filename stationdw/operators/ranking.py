@@ -11,7 +11,7 @@ A window with no PARTITION BY moves every row into one task. For large inputs we
 5. join the ranks back on the key (the large side keeps its partitioning; AQE splits skew).
 
 Equal keys always land in the same range partition, so ties get equal ranks exactly as RANK().
-Small inputs (proven by a bounded count) use the plain window, which is cheaper.
+The same plan runs at every size.
 """
 
 from __future__ import annotations
@@ -21,11 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationdw.operators.sizing import BROADCAST_MAX_ROWS, at_most
 from stationdw.session import checkpoint_root
 
-LOCAL_WINDOW_MAX_ROWS = 200_000
-
 
 def _sort_orders(cols: Sequence[str], ascending: Sequence[bool]) -> list[Column]:
     # ASC puts nulls first and DESC puts them last (as RANK() does in SQL engines).
@@ -57,44 +54,37 @@ def _rank_distinct(keys: DataFrame, key_cols: Sequence[str], ascending: Sequence
 
 
 def global_rank(df: DataFrame, keys: Sequence[Column | str], ascending: Sequence[bool],
-                out: str = "rank", distributed: bool | None = None) -> DataFrame:
+                out: str = "rank", distributed: bool = True) -> DataFrame:
     """RANK() OVER (ORDER BY keys) over the whole frame.
 
-    ``distributed=None`` decides by a bounded row count; ``True`` forces the range-partitioned
-    algorithm, ``False`` the single-partition window.
+    The range-partitioned algorithm runs at every size; ``distributed=False`` asks for the
+    single-partition window, for frames whose size is bounded by what they are.
     """
     names = [f"_rk{i}" for i in range(len(keys))]
     keyed = df.select("*", *[(F.col(k) if isinstance(k, str) else k).alias(n)
                              for k, n in zip(keys, names)])
-    if distributed is None:
-        distributed = not at_most(df, LOCAL_WINDOW_MAX_ROWS)
     if not distributed:
         w = Window.orderBy(*_sort_orders(names, ascending))
         return keyed.withColumn(out, F.rank().over(w).cast("long")).drop(*names)
     counts = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_w"))
     ranks = _rank_distinct(counts, names, ascending, "_w", out)
     cond = [keyed[n].eqNullSafe(ranks[n]) for n in names]
-    # One row per distinct key: broadcast when a bounded check allows (a hot key on the large
-    # side then costs nothing), else a sort-merge join whose skewed partitions AQE splits.
-    if at_most(ranks, BROADCAST_MAX_ROWS):
-        ranks = F.broadcast(ranks)
+    # One row per distinct key; AQE broadcasts it when its measured bytes allow and splits the
+    # skewed partitions of a sort-merge join otherwise.
     joined = keyed.join(ranks, cond, "inner")
     return joined.select(*[keyed[c] for c in df.columns], ranks[out].cast("long").alias(out))
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], keys: Sequence[Column | str],
                 ascending: Sequence[bool], out: str = "rank",
-                distributed: bool | None = None) -> DataFrame:
+                distributed: bool = True) -> DataFrame:
     """RANK() OVER (PARTITION BY partition ORDER BY keys) without one task per group.
 
     A window puts each group into one task, so a group holding a third of all rows would be
     sorted by a single core. The distributed form ranks the whole frame by (partition, keys)
     with ``global_rank`` and subtracts, per group, the rank of its first row minus one (one
-    row per group, joined back behind a size check). ``distributed=None`` decides by a
-    bounded row count.
+    row per group, joined back); ``distributed=False`` asks for the plain window.
     """
-    if distributed is None:
-        distributed = not at_most(df, LOCAL_WINDOW_MAX_ROWS)
     if not distributed:
         w = Window.partitionBy(*partition).orderBy(
             *_sort_orders([f"_rw{i}" for i in range(len(keys))], ascending))
@@ -108,8 +98,6 @@ def rank_within(df: DataFrame, partition: Sequence[str], keys: Sequence[Column |
     sizes = df.groupBy(*[F.col(c).alias(n) for c, n in zip(partition, names)]) \
         .agg(F.count(F.lit(1)).alias("_w"))
     firsts = _rank_distinct(sizes, names, [True] * len(names), "_w", "_gfirst")
-    if at_most(firsts, BROADCAST_MAX_ROWS):
-        firsts = F.broadcast(firsts)
     ranked = global_rank(df, [*partition, *keys], [True] * len(partition) + list(ascending),
                          "_grank", distributed=True)
     cond = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition, names)]
@@ -119,11 +107,9 @@ def rank_within(df: DataFrame, partition: Sequence[str], keys: Sequence[Column |
 
 
 def dense_index(keys: DataFrame, key_cols: Sequence[str], out: str, start_after: int = 0,
-                distributed: bool | None = None) -> DataFrame:
+                distributed: bool = True) -> DataFrame:
     """Number the **distinct** keys 1..n in key order, shifted by ``start_after``."""
     distinct = keys.select(*key_cols).distinct()
-    if distributed is None:
-        distributed = not at_most(distinct, LOCAL_WINDOW_MAX_ROWS)
     if not distributed:
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in key_cols])
         return distinct.select(*key_cols,

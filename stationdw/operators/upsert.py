@@ -2,8 +2,9 @@
 
 Keep-latest is a ``max_by`` aggregate that runs partially before the shuffle, so a hot key is
 reduced on the map side instead of piling up in one task. Merging a batch into a table is an
-anti join against the batch's (broadcast, size-checked) keys plus a union, so the table's rows
-are not shuffled; a ``groupBy`` form over both sides is kept as an alternative.
+anti join against the batch's keys plus a union; the planner broadcasts the keys when their
+measured bytes allow, and the table's rows are then not shuffled. A ``groupBy`` form over both
+sides is kept as an alternative.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from stationdw.operators.ranking import dense_index
-from stationdw.operators.sizing import BROADCAST_MAX_ROWS, at_most, join_small
 from stationdw.session import checkpoint_root, scratch_dir
 
 
@@ -40,8 +40,7 @@ def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence
     they need no keep-latest aggregation.
 
     ``strategy="antijoin"`` (default): current rows whose key is not in the batch are kept as
-    they are and the batch's latest rows are appended; the batch keys are broadcast after a
-    bounded size check, so current rows are never shuffled. ``"aggregate"``: one ``groupBy``
+    they are and the batch's latest rows are appended. ``"aggregate"``: one ``groupBy``
     over current and incoming rows (``max_by`` on (batch first, then arrival order)).
     """
     columns = [c for c in incoming.columns if c not in order_cols or not drop_order]
@@ -53,8 +52,6 @@ def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence
     fresh = fresh.select(*columns)
     names = [f"_uk{i}" for i in range(len(keys))]
     fresh_keys = fresh.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    if at_most(fresh_keys, BROADCAST_MAX_ROWS):
-        fresh_keys = F.broadcast(fresh_keys)
     cond = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
     kept = current.join(fresh_keys, cond, "left_anti").select(*columns)
     if keep_first:
@@ -62,8 +59,6 @@ def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence
         firsts = (current.join(fresh_keys, cond, "left_semi")
                   .select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
                           *[F.col(c).alias(f"_first_{c}") for c in keep_first]))
-        if at_most(firsts, BROADCAST_MAX_ROWS):
-            firsts = F.broadcast(firsts)
         fresh = (fresh.join(firsts, cond, "left")
                  .select(*[F.coalesce(F.col(f"_first_{c}"), F.col(c)).alias(c)
                            if c in keep_first else F.col(c) for c in columns]))
@@ -94,9 +89,7 @@ def insert_ignore(current: DataFrame | None, incoming: DataFrame, keys: Sequence
     fresh = incoming.dropDuplicates(list(keys))
     if current is None:
         return fresh
-    # Existing keys are broadcast when a bounded check proves them small (dimension tables).
-    return current.unionByName(join_small(fresh, current.select(*keys), list(keys),
-                                          "left_anti"))
+    return current.unionByName(fresh.join(current.select(*keys), list(keys), "left_anti"))
 
 
 def upsert_dim(current: DataFrame | None, incoming: DataFrame, natural_key: str,
@@ -106,7 +99,7 @@ def upsert_dim(current: DataFrame | None, incoming: DataFrame, natural_key: str,
     ``incoming`` holds one row per natural key. New keys continue after the current maximum,
     in natural-key order (stable and dense; they need not copy any AUTO_INCREMENT numbering).
     ``stage_incoming`` first writes the (dimension-sized) incoming rows as Parquet under the
-    checkpoint folder, so the size checks and key assignment do not re-run its lineage.
+    checkpoint folder, so key assignment does not re-run its lineage.
     """
     if stage_incoming:
         from stationdw.sources.tables import materialize
@@ -119,7 +112,7 @@ def upsert_dim(current: DataFrame | None, incoming: DataFrame, natural_key: str,
         start = current.agg(F.max(surrogate_key)).first()[0] or 0
         known = current.select(natural_key, surrogate_key)
     if known is not None:
-        matched = join_small(incoming, known, natural_key, "left")
+        matched = incoming.join(known, natural_key, "left")
     else:
         matched = incoming.withColumn(surrogate_key, F.lit(None).cast("int"))
     new_ids = dense_index(matched.where(F.col(surrogate_key).isNull()), [natural_key],

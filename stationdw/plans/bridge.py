@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationdw.operators.sizing import join_small, spread
 from stationdw.sources.messages import to_raw_messages
 from stationdw.sources.tables import read_table
 
@@ -49,8 +48,7 @@ def orders_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
         .orderBy("norm_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     with_mtd = per_day.withColumn("mtd_prcp_normal",
                                   F.sum("_orders").over(month).cast(COUNT_DEC))
-    named = join_small(with_mtd, nation.withColumnRenamed("n_nationkey", "c_nationkey"),
-                       "c_nationkey", max_rows=10_000)
+    named = with_mtd.join(nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
     return named.select(
         F.col("c_nationkey").cast("string").alias("station_id"),
         F.col("n_name").alias("station_name"),
@@ -65,9 +63,8 @@ def event_readings(spark: SparkSession, sf_dir: str, events: DataFrame | None =
                    ) -> DataFrame:
     """Message-shaped rows of the events table, with ``_arrival`` = event_id."""
     if events is None:
-        events = spread(read_table(spark, sf_dir, "events",
-                                   ["event_id", "ts", "user_id", "event_type", "value",
-                                    "props"]))
+        events = read_table(spark, sf_dir, "events",
+                            ["event_id", "ts", "user_id", "event_type", "value", "props"])
     k = F.get_json_object("props", "$.k")
     return events.select(
         F.col("user_id").cast("string").alias("station_id"),

@@ -14,7 +14,7 @@ idempotent, so any step can be re-run after a failure.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -64,9 +64,10 @@ def _overwrite_small(df: DataFrame, path: str) -> DataFrame:
 def publish_daily_csv(spark: SparkSession, csv_path: str, target: str, sink: str = "files",
                       options: dict | None = None) -> int:
     """Producer: every CSV row becomes one JSON message. Returns the number sent."""
-    rows = read_daily_csv(spark, csv_path)
+    sent = Observation("published")
+    rows = read_daily_csv(spark, csv_path).observe(sent, F.count(F.lit(1)).alias("n"))
     write_messages(rows, target, sink, options)
-    return spark.read.text(target).count() if sink == "files" else -1
+    return sent.get["n"]
 
 
 def consume_to_staging(spark: SparkSession, source: str, options: dict, staging_path: str,

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationdw.functions.dates import date_key, month_name
-from stationdw.operators.sizing import join_small
 from stationdw.operators.upsert import insert_ignore, upsert_dim, upsert_latest
 from stationdw.schemas import FACT_KEY, MEASURES, STATION_ATTRS
 from stationdw.sources.tables import materialize as write_and_read
@@ -39,11 +38,10 @@ def build_dim_date(df: DataFrame, date_col: str = "norm_date") -> DataFrame:
 
 
 def resolve_keys(fact: DataFrame, dim: DataFrame, natural_key: str, surrogate_key: str,
-                 check: bool = True, broadcast_check: bool = True) -> DataFrame:
+                 check: bool = True) -> DataFrame:
     """Replace the natural key by the dimension's surrogate key.
 
-    With ``check`` an id missing from the dimension raises ``KeyError`` (like a dict lookup);
-    the lookup side is broadcast only after a bounded size check.
+    With ``check`` an id missing from the dimension raises ``KeyError`` (like a dict lookup).
     """
     lookup = dim.select(natural_key, surrogate_key)
     if check:
@@ -51,8 +49,6 @@ def resolve_keys(fact: DataFrame, dim: DataFrame, natural_key: str, surrogate_ke
                    .join(lookup, natural_key, "left_anti").limit(1).collect())
         if missing:
             raise KeyError(missing[0][0])
-    if broadcast_check:
-        return join_small(fact, lookup, natural_key, "inner")
     return fact.join(lookup, natural_key, "inner")
 
 

@@ -7,19 +7,16 @@ from pyspark.sql import functions as F
 
 from stationdw.functions.units import hundredths_to_inches, tenths_to_degrees
 from stationdw.operators.aggregate import monthly_view
-from stationdw.operators.sizing import join_small
 
 MONTH_GROUP = ["station_id", "station_name", "latitude", "longitude", "year_num", "month_num",
                "month_name"]
 
 
-def daily_view(fact: DataFrame, dim_date: DataFrame, dim_station: DataFrame,
-               broadcast_check: bool = True) -> DataFrame:
+def daily_view(fact: DataFrame, dim_date: DataFrame, dim_station: DataFrame) -> DataFrame:
     """Daily readings in degrees F and inches; a day with any null measure is left out.
 
-    The null filter sits on fact columns and reaches the Parquet scan; the dimensions are
-    broadcast after a bounded size check (``broadcast_check``), otherwise AQE decides from the
-    measured size at runtime.
+    The null filter sits on fact columns and reaches the Parquet scan; whether a
+    dimension is broadcast is decided from its measured size.
     """
     f = fact.where(F.col("dly_tmin_normal").isNotNull() & F.col("dly_tmax_normal").isNotNull()
                    & F.col("mtd_prcp_normal").isNotNull())
@@ -27,10 +24,7 @@ def daily_view(fact: DataFrame, dim_date: DataFrame, dim_station: DataFrame,
                          "full_date")
     ds = dim_station.select("station_key", "station_id", "station_name", "latitude",
                             "longitude")
-    if broadcast_check:
-        joined = join_small(join_small(f, dd, "date_key"), ds, "station_key")
-    else:
-        joined = f.join(dd, "date_key").join(ds, "station_key")
+    joined = f.join(dd, "date_key").join(ds, "station_key")
     return joined.select(
         "station_id", "station_name", "latitude", "longitude", "year_num", "month_num",
         "month_name", "quarter_num", "full_date",
@@ -46,8 +40,7 @@ def monthly_climate(daily: DataFrame) -> DataFrame:
                         "mtd_prcp_normal_in")
 
 
-def monthly_from_star(fact: DataFrame, dim_date: DataFrame, dim_station: DataFrame,
-                      broadcast_check: bool = True) -> DataFrame:
+def monthly_from_star(fact: DataFrame, dim_date: DataFrame, dim_station: DataFrame) -> DataFrame:
     """The monthly view computed straight from the star, narrow keys first.
 
     Same rows as ``monthly_climate(daily_view(...))`` when every fact row has its station (the
@@ -61,7 +54,7 @@ def monthly_from_star(fact: DataFrame, dim_date: DataFrame, dim_station: DataFra
     dd = dim_date.select("date_key", "year_num", "month_num", "month_name")
     ds = dim_station.select("station_key", "station_id", "station_name", "latitude",
                             "longitude")
-    joined = join_small(f, dd, "date_key") if broadcast_check else f.join(dd, "date_key")
+    joined = f.join(dd, "date_key")
     daily = joined.select(
         "station_key", "year_num", "month_num", "month_name",
         tenths_to_degrees("dly_tmin_normal").alias("dly_tmin_normal_f"),
@@ -69,8 +62,7 @@ def monthly_from_star(fact: DataFrame, dim_date: DataFrame, dim_station: DataFra
         hundredths_to_inches("mtd_prcp_normal").alias("mtd_prcp_normal_in"))
     monthly = monthly_view(daily, ["station_key", "year_num", "month_num", "month_name"],
                            "dly_tmin_normal_f", "dly_tmax_normal_f", "mtd_prcp_normal_in")
-    named = join_small(monthly, ds, "station_key") if broadcast_check else \
-        monthly.join(ds, "station_key")
+    named = monthly.join(ds, "station_key")
     return named.select(*MONTH_GROUP, "num_days", "monthly_avg_temperature_f",
                         "monthly_max_temperature_f", "monthly_min_temperature_f",
                         "monthly_total_precipitation_in")

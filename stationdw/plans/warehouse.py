@@ -37,7 +37,7 @@ def orders_warehouse(spark: SparkSession, sf_dir: str) -> dict:
         star = load_star(staging, materialize=True)
         star["fact"] = materialize(star["fact"], "fact")
         # The views are plans over the written tables; building them once also runs the
-        # dimension size checks (for the broadcast joins) once per warehouse.
+        # plans once per warehouse.
         daily = daily_view(star["fact"], star["dim_date"], star["dim_station"])
         # Two plans of the same monthly view: reports over a few stations use the one over the
         # daily view (their station filter reaches the fact through the broadcast station join);
@@ -60,7 +60,3 @@ def event_staging(spark: SparkSession, sf_dir: str, replay: int = 1) -> dict:
     for _ in range(replay):
         staging = upsert_latest(staging, incoming, STAGING_KEY, ["_arrival"])
     return {"decoded": decoded, "valid": valid, "rejected": rejected, "staging": staging}
-
-
-def monthly_of(star: dict) -> DataFrame:
-    return monthly_climate(daily_view(star["fact"], star["dim_date"], star["dim_station"]))

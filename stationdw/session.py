@@ -76,15 +76,6 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     return root.rstrip("/") + "/" + leaf
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python code can inspect a local path (tests only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20
                ) -> dict[str, str]:
     """Shuffle and scan settings for a given input size and cluster (spill-aware sizing).
@@ -92,14 +83,14 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     * scans split files into ~256 MB partitions, so a task holds at most one such split;
     * shuffles move pruned, partially aggregated rows, typically a tenth of the scanned bytes
       or less, so a job starts with one shuffle partition per ~1 GiB of input (at least three
-      waves of tasks, at most 100,000 so the map-output bookkeeping stays small) and AQE
+      waves of tasks) and AQE
       coalesces them to ~128 MB each once sizes are measured;
     * a shuffle partition 4x the median and over 512 MB counts as skewed and is split.
 
-    Example: 100 TiB on 1,000 executors x 8 cores -> 100,000 initial shuffle partitions,
+    Example: 100 TiB on 1,000 executors x 8 cores -> 102,400 initial shuffle partitions,
     coalesced at runtime. Pass the result as ``build_session(conf=scale_conf(...))``.
     """
-    initial = min(100_000, max(3 * total_cores, -(-input_bytes // (1 << 30))))
+    initial = max(3 * total_cores, -(-input_bytes // (1 << 30)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(initial),

@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationdw.operators.aggregate import monthly_summary
 from stationdw.operators.clean import clean_readings, split_valid
-from stationdw.operators.sizing import spread
 from stationdw.operators.upsert import merge_into_path
 from stationdw.schemas import (MONTHLY_SUMMARY, PRCP, STAGING_KEY, SUMMARY_KEY, TEMP)
 from stationdw.sources.messages import decode_staging, parse_raw
@@ -145,8 +144,8 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         # The batch feeds two writes: decode it once (persisted; a lost block is recomputed
-        # from the replayable source batch) and spread a single-split batch over the cores.
-        decoded = decode_staging(spread(batch)).persist()
+        # from the replayable source batch).
+        decoded = decode_staging(batch).persist()
         try:
             valid, rejected = staging_rows(decoded, decoded=True)
             rejected.withColumn("_epoch", F.lit(epoch_id)).write.mode("append") \
@@ -161,4 +160,3 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
     return scope.started(_trigger(writer, available_now, processing_time).start())
 
 
-SUMMARY_COLUMNS = [f.name for f in MONTHLY_SUMMARY.fields]

@@ -66,3 +66,8 @@ def test_changelog_loader_equals_direct_summary(spark, topic):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     jan = b.where(f"station_id = '{PETERSBURG}' AND norm_month = '201001'").first()
     assert jan.num_days == 31 and float(jan.month_end_prcp_normal) == 55.0
+
+
+def test_publish_counts_what_it_sent(spark):
+    topic, path = scratch_dir(spark, "topic"), os.path.join(DATA, "NORMAL_DLY_sample_csv.csv")
+    assert [jobs.publish_daily_csv(spark, path, topic) for _ in range(2)] == [365, 365]

@@ -11,7 +11,6 @@ from stationdw.operators import checks
 from stationdw.operators.aggregate import compare_entities, monthly_summary
 from stationdw.operators.clean import pick_fields, split_valid
 from stationdw.operators.ranking import dense_index, global_rank, rank_within, first_per_group
-from stationdw.operators.sizing import at_most, join_small, spread
 from stationdw.operators.upsert import insert_ignore, keep_latest, upsert_dim, upsert_latest
 from stationdw.schemas import SUMMARY_KEY_ALIASES, SUMMARY_VALUE_ALIASES
 
@@ -199,12 +198,20 @@ def test_compare_entities_missing_month(spark):
     assert rows(ranked, "m", "rk") == [(1, 1), (2, 2)]
 
 
-# ---- sizing ----------------------------------------------------------------------------------
+# ---- JSON truth and tombstones ----------------------------------------------------------------
 
-def test_sizing_helpers(spark):
-    small = spark.range(5)
-    assert at_most(small, 5) and not at_most(small, 4)
-    joined = join_small(spark.range(100), small, "id")
-    assert joined.count() == 5
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-    assert spread(spark.range(10).coalesce(1), 4).rdd.getNumPartitions() == 4
+@pytest.mark.parametrize("value,expected", [
+    ('{"STATION_ID_V": "0"}', "0"), ('{"STATION_ID_V": "false"}', "false"),
+    ('{"STATION_ID_V": " "}', " "), ('{"STATION_ID_V": 7}', "7"), ('{"STATION_ID_V": true}', "true"),
+    ('{"STATION_ID_V": 0}', "K"), ('{"STATION_ID_V": 0.0}', "K"), ('{"STATION_ID_V": false}', "K"),
+    ('{"STATION_ID_V": null}', "K"), ('{"STATION_ID_V": ""}', "K"), ("{}", "K")])
+def test_pick_fields_keeps_text_that_looks_false(spark, value, expected):
+    df = spark.createDataFrame([('{"STATION_ID": "K"}', value)], "key string, value string")
+    got = pick_fields(df, SUMMARY_VALUE_ALIASES, SUMMARY_KEY_ALIASES).first()
+    assert got["station_id"] == expected and not got["tombstone"]
+
+
+@pytest.mark.parametrize("value", [None, "", "  ", "null", " null "])
+def test_blank_and_null_values_are_tombstones(spark, value):
+    df = spark.createDataFrame([('{"STATION_ID": "K"}', value)], "key string, value string")
+    assert pick_fields(df, SUMMARY_VALUE_ALIASES, SUMMARY_KEY_ALIASES).first()["tombstone"]

@@ -12,7 +12,7 @@ def test_checkpoint_folder_is_set_and_scratch_is_fresh(spark):
 
 def test_scale_conf():
     conf = scale_conf(100 << 40, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024
     assert int(scale_conf(10 << 40, 800)["spark.sql.shuffle.partitions"]) == 10 * 1024
     assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     small = scale_conf(10**6, 8)
