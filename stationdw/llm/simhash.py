@@ -283,10 +283,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, budget: int = 4,
     grouped = nodes.join(groups, nodes["fp"] == groups["node"])
     tops = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     moved = grouped.select("fp", "component").join(tops, "component")
-    labels = nodes.join(moved, "fp", "left").select(
+    # written first: AQE splits a fingerprint that very many rows have only where both sides of
+    # the join are plain shuffles
+    labels = stage(nodes.join(moved, "fp", "left").select(
         "fp", F.when(F.col("component").isNull(), F.col("least"))
         .otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("component", "fp").alias("group"))
+        F.coalesce("component", "fp").alias("group")), "fingerprint-labels")
     return marked.join(labels, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
         "group", "text_hash")
