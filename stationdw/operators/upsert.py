@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from stationdw.operators.ranking import dense_index
-from stationdw.session import checkpoint_root, scratch_dir
+from stationdw.session import remove_path, scratch_dir
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -148,7 +148,8 @@ def _stage_complete(spark: SparkSession, stage: str) -> bool:
 
 def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
                     order_cols: Sequence[str], partition_col: str,
-                    keep_first: Sequence[str] = (), stage_key: str | None = None) -> None:
+                    keep_first: Sequence[str] = (), stages: str | None = None,
+                    epoch: int = 0) -> None:
     """Upsert ``incoming`` into the Parquet table at ``path``, partitioned by ``partition_col``.
 
     Only the partitions the batch touches are read (a semi join on the partition column, which
@@ -156,16 +157,19 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     the shared checkpoint folder, then swapped in with dynamic partition overwrite. The table is
     never overwritten by a plan that reads it. ``partition_col`` must be a function of the key.
 
-    ``stage_key`` (e.g. table and stream epoch) names the stage deterministically: a retried
-    batch whose stage was completely written reuses it instead of merging again, so a crash
-    during the swap (some months already replaced) cannot make the retry merge against an
-    incomplete table.
+    ``stages`` (a stream's own folder, kept over restarts, see ``merge_stages``) and ``epoch``
+    name the stage deterministically: a retried batch whose stage was completely written reuses
+    it instead of merging again, also in a new session, so a crash during the swap (some months
+    already replaced) cannot make the retry merge against an incomplete table. A stage is
+    removed once the next epoch has begun, which it only does after this one was committed; a
+    stage without ``stages`` as soon as it is swapped in.
     """
     spark = incoming.sparkSession
     table_cols = [c for c in incoming.columns if c not in order_cols]
     schema = incoming.select(*table_cols).schema
-    if stage_key:
-        stage = checkpoint_root(spark).rstrip("/") + f"/merge-{stage_key}"
+    if stages:
+        stage = f"{stages}/{epoch}"
+        remove_path(spark, f"{stages}/{epoch - 1}")
         if _stage_complete(spark, stage):
             _swap_in(spark, stage, schema, path, partition_col)
             return
@@ -186,6 +190,14 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(partition_col).parquet(stage))
     _swap_in(spark, stage, merged.schema, path, partition_col)
+    if not stages:
+        remove_path(spark, stage)
+
+
+def merge_stages(checkpoint: str) -> str:
+    """Where a stream stages its merges: in its own checkpoint folder, so that a restart finds
+    them and a stream with a new checkpoint never does."""
+    return checkpoint.rstrip("/") + "/merge"
 
 
 def _swap_in(spark: SparkSession, stage: str, schema, path: str, partition_col: str) -> None:

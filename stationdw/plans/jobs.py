@@ -22,7 +22,7 @@ from pyspark.sql.utils import AnalysisException
 
 from stationdw.operators.aggregate import monthly_summary
 from stationdw.operators.clean import pick_fields, split_valid
-from stationdw.operators.upsert import merge_into_path
+from stationdw.operators.upsert import merge_into_path, merge_stages
 from stationdw.plans import olap
 from stationdw.plans.star import load_report, load_star
 from stationdw.plans.views import daily_view, monthly_climate, monthly_from_star
@@ -32,9 +32,8 @@ from stationdw.schemas import (DIM_DATE, DIM_STATION, FACT, FACT_KEY, MONTHLY_SU
 from stationdw.session import scratch_dir
 from stationdw.sources.csv_daily import read_daily_csv
 from stationdw.sources.messages import read_raw_stream
-from stationdw.sources.sinks import write_changelog_stream, write_messages
-from stationdw.streaming.jobs import (QueryScope, clean_stream, write_staging_stream,
-                                      write_summary_stream)
+from stationdw.sources.sinks import epoch_folder, write_changelog_stream, write_messages
+from stationdw.streaming.jobs import clean_stream, write_staging_stream, write_summary_stream
 
 STAGING_COLUMNS = [f.name for f in STAGING.fields if f.name != "created_at"]
 # The stored fact carries its month (a function of the date key) as partition column.
@@ -161,25 +160,30 @@ def summary_from_changelog(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def load_summary_changelog(spark: SparkSession, changelog_dir: str, table_path: str,
-                           checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                           checkpoint: str, available_now: bool = True,
+                           rejects_path: str | None = None) -> StreamingQuery:
     """Summary loader: keyed changelog files (JSON lines with ``key``/``value``/``_epoch``)
-    -> monthly summary table, keyed (station_id, norm_month), later message wins."""
+    -> monthly summary table, keyed (station_id, norm_month), later message wins.
+
+    Messages without one of the five month keys go with their reason to ``rejects_path`` (by
+    default ``<table_path>_rejected``), one folder of JSON lines per micro-batch."""
+    rejects = rejects_path or table_path.rstrip("/") + "_rejected"
     schema = "key string, value string, _epoch long"
-    msgs = spark.readStream.schema(schema).json(changelog_dir)
-    scope = QueryScope()
+    msgs = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+            .json(changelog_dir))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        rows, _ = summary_from_changelog(batch)
+        rows, rejected = summary_from_changelog(batch)
         # Arrival order: the loader's batch first (a restarted producer begins its epochs at 0
         # again), then the producer's epoch within one batch.
         rows = rows.withColumn("_order", F.struct(F.lit(epoch_id).alias("batch"),
                                                   F.col("_epoch").alias("epoch")))
         merge_into_path(rows.drop("_epoch"), table_path, SUMMARY_KEY, ["_order"],
-                        "norm_month", stage_key=scope.stage_key(table_path, epoch_id))
+                        "norm_month", stages=merge_stages(checkpoint), epoch=epoch_id)
+        rejected.write.mode("overwrite").json(epoch_folder(rejects, checkpoint, epoch_id))
 
     writer = msgs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
-    return scope.started((writer.trigger(availableNow=True) if available_now else writer)
-                         .start())
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def monthly_summary_table(spark: SparkSession, source: str, options: dict, table_path: str,

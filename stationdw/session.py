@@ -76,6 +76,12 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     return root.rstrip("/") + "/" + leaf
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library wrote itself, if it is there, in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20
                ) -> dict[str, str]:
     """Shuffle and scan settings for a given input size and cluster (spill-aware sizing).

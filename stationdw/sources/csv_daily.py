@@ -1,13 +1,15 @@
 """Header CSV source for daily normals (batch and streaming).
 
-Columns bind by header **name**. Spark binds a supplied schema by position, so we first take the
-header of the input, then re-read with an all-string schema in that order and
-``enforceSchema=false``: every file's header is checked against it and a file with another
-column order raises instead of being silently mixed up.
+Columns bind by header **name**, file by file. Spark binds a supplied schema by position, so files
+are grouped by their header line; each group is read with an all-string schema in its own order
+(``enforceSchema=false`` checks every file against it) and the groups are united by name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,12 +26,31 @@ def header_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
     return spark.read.options(**_CSV_OPTIONS).csv(path).columns
 
 
+def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The input's files, grouped by equal header lines (one pass over the text of each file's
+    first block; the driver gets the file names, as it does for any scan)."""
+    lines = spark.read.text(path).select(
+        F.trim("value").alias("line"), F.input_file_name().alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    heads = (lines.where("start = 0 AND line <> ''").groupBy("file")
+             .agg(F.min_by("line", "at").alias("header")))
+    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    # file names come as URIs
+    return [[unquote(f) for f in r["files"]] for r in groups.orderBy("files").collect()]
+
+
 def read_header_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All-string DataFrame, columns by header name; mismatching headers across files raise."""
-    names = header_columns(spark, path)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return (spark.read.options(**_CSV_OPTIONS).option("enforceSchema", "false")
-            .schema(schema).csv(path))
+    """All-string DataFrame, columns by header name in every file; a column that a file lacks is
+    null there."""
+    def one(files):
+        schema = T.StructType([T.StructField(n, T.StringType())
+                               for n in header_columns(spark, files)])
+        return (spark.read.options(**_CSV_OPTIONS).option("enforceSchema", "false")
+                .schema(schema).csv(files))
+
+    groups = files_by_header(spark, path) or [path]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(one, groups))
 
 
 def typed_daily(raw: DataFrame, rename: dict[str, str] | None = None,

@@ -42,7 +42,8 @@ def read_raw_stream(spark: SparkSession, source: str, options: dict | None = Non
     ``source="files"``: JSON-lines text files in ``options["path"]``. Spark does not expose a
     line position, so arrival order comes from fields the producer puts in each message:
     ``(_published, _seq)`` by default (see ``sinks.write_messages``), or the single field
-    ``options["arrival_field"]``.
+    ``options["arrival_field"]``. A message whose order field is absent or not a number comes
+    before every message that has one.
     """
     options = dict(options or {})
     if source == "kafka":
@@ -70,7 +71,7 @@ def read_raw_stream(spark: SparkSession, source: str, options: dict | None = Non
         arrival = options.pop("arrival_field", None)
         fields = [arrival] if arrival else ["_published", "_seq"]
         df = reader.load(path)
-        parts = [F.get_json_object("value", f"$.{f}").cast("long") for f in fields]
+        parts = [F.get_json_object("value", f"$.{f}").try_cast("long") for f in fields]
         arrival_col = parts[0] if len(parts) == 1 else F.struct(
             *[p.alias(f) for p, f in zip(parts, fields)])
         return df.select(F.lit(None).cast("string").alias("key"), F.col("value"),

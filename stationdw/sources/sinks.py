@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 from stationdw.sources.messages import to_raw_messages
 
 
+def epoch_folder(target: str, checkpoint: str, epoch_id: int) -> str:
+    """Folder of one micro-batch's appended rows below ``target``. Overwriting it makes an append
+    repeatable: a retried epoch replaces its own rows. Streams with other checkpoints, which
+    count their epochs anew, write elsewhere."""
+    run = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:12]
+    return f"{target.rstrip('/')}/run={run}/epoch={epoch_id}"
+
+
 def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A report as header CSV files (all fields quoted, nulls as empty fields)."""
     (df.write.mode(mode).option("header", "true").option("quoteAll", "true")
@@ -58,8 +67,8 @@ def write_changelog_stream(summary: DataFrame, keys: list[str], checkpoint: str,
                            options: dict | None = None) -> StreamingQuery:
     """Stream every change of an aggregate as keyed JSON messages (update mode).
 
-    ``files``: each micro-batch of changes appended as JSON lines (``key``/``value``) under
-    ``target``; ``kafka``: to topic ``target``.
+    ``files``: each micro-batch of changes as JSON lines (``key``/``value``) in its own folder
+    under ``target`` (a retried epoch replaces it); ``kafka``: to topic ``target``.
     """
     out = changelog_messages(summary, keys)
     writer = out.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
@@ -68,7 +77,8 @@ def write_changelog_stream(summary: DataFrame, keys: list[str], checkpoint: str,
                 .start())
 
     def append(batch: DataFrame, epoch_id: int) -> None:
-        batch.withColumn("_epoch", F.lit(epoch_id)).write.mode("append").json(target)
+        (batch.withColumn("_epoch", F.lit(epoch_id)).write.mode("overwrite")
+         .json(epoch_folder(target, checkpoint, epoch_id)))
 
     return writer.foreachBatch(append).start()
 

@@ -6,27 +6,26 @@ Two independent subscribers of one topic, each with its own checkpoint:
   mode (no watermark: late readings are always accepted, state is one row per station-month)
   -> ``foreachBatch`` keyed upsert into the monthly summary table.
 * ``staging`` path: staging decoder -> valid rows upserted keyed (station, date), last arrival
-  wins, first load time kept; rejected rows appended to a quarantine table with their reason.
+  wins, first load time kept; rejected rows go to a quarantine table with their reason, one
+  folder per micro-batch.
 
-``foreachBatch`` writes are keyed merges, so a micro-batch re-run after a failure (or a full
+``foreachBatch`` writes are keyed merges or replace their own epoch's folder, so a micro-batch re-run after a failure (or a full
 replay from the earliest offset) leaves the tables unchanged: exactly-once results from an
 at-least-once sink.
 """
 
 from __future__ import annotations
 
-import hashlib
-import threading
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationdw.operators.aggregate import monthly_summary
 from stationdw.operators.clean import clean_readings, split_valid
-from stationdw.operators.upsert import merge_into_path
+from stationdw.operators.upsert import merge_into_path, merge_stages
 from stationdw.schemas import (MONTHLY_SUMMARY, PRCP, STAGING_KEY, SUMMARY_KEY, TEMP)
 from stationdw.sources.messages import decode_staging, parse_raw
+from stationdw.sources.sinks import epoch_folder
 
 REQUIRED = ["station_id", "station_name", "norm_date"]
 
@@ -49,30 +48,6 @@ def summary_rows(summary: DataFrame) -> DataFrame:
     )
 
 
-class QueryScope:
-    """The started query's persistent id, for merge-stage names inside ``foreachBatch``.
-
-    A query keeps its id across restarts from the same checkpoint and gets a new one with a new
-    checkpoint, so (table, query id, epoch) names exactly one micro-batch: a retried epoch finds
-    its own stage, a restarted stream with a fresh checkpoint never reuses an old one.
-    """
-
-    def __init__(self) -> None:
-        self._id: str | None = None
-        self._ready = threading.Event()
-
-    def started(self, query: StreamingQuery) -> StreamingQuery:
-        self._id = str(query.id)
-        self._ready.set()
-        return query
-
-    def stage_key(self, table_path: str, epoch_id: int) -> str:
-        if not self._ready.wait(timeout=300):
-            raise RuntimeError("streaming query id not available")
-        digest = hashlib.sha1(f"{table_path}|{self._id}".encode("utf-8")).hexdigest()[:16]
-        return f"{digest}-{epoch_id}"
-
-
 def _trigger(writer, available_now: bool, processing_time: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -86,16 +61,15 @@ def write_summary_stream(raw: DataFrame, table_path: str, checkpoint: str,
                          processing_time: str | None = None) -> StreamingQuery:
     """Continuous monthly summary of a raw message stream, upserted into ``table_path``."""
     summary = monthly_summary(clean_stream(raw), dedupe_keys=dedupe_keys)
-    scope = QueryScope()
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         rows = summary_rows(batch).withColumn("_epoch", F.lit(epoch_id))
         merge_into_path(rows, table_path, SUMMARY_KEY, ["_epoch"], "norm_month",
-                        stage_key=scope.stage_key(table_path, epoch_id))
+                        stages=merge_stages(checkpoint), epoch=epoch_id)
 
     writer = (summary.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
               .foreachBatch(upsert))
-    return scope.started(_trigger(writer, available_now, processing_time).start())
+    return _trigger(writer, available_now, processing_time).start()
 
 
 def write_clean_stream(raw: DataFrame, path: str, checkpoint: str, available_now: bool = False,
@@ -140,7 +114,6 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
     The table is partitioned by the month of ``norm_date`` (a function of the key), so each
     micro-batch rewrites only the months it touches.
     """
-    scope = QueryScope()
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         # The batch feeds two writes: decode it once (persisted; a lost block is recomputed
@@ -148,15 +121,13 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
         decoded = decode_staging(batch).persist()
         try:
             valid, rejected = staging_rows(decoded, decoded=True)
-            rejected.withColumn("_epoch", F.lit(epoch_id)).write.mode("append") \
-                .parquet(quarantine_path)
+            rejected.withColumn("_epoch", F.lit(epoch_id)).write.mode("overwrite").parquet(
+                epoch_folder(quarantine_path, checkpoint, epoch_id))
             merge_into_path(valid, table_path, STAGING_KEY, ["_arrival"], "norm_month",
                             keep_first=["created_at"],
-                            stage_key=scope.stage_key(table_path, epoch_id))
+                            stages=merge_stages(checkpoint), epoch=epoch_id)
         finally:
             decoded.unpersist()
 
     writer = (raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert))
-    return scope.started(_trigger(writer, available_now, processing_time).start())
-
-
+    return _trigger(writer, available_now, processing_time).start()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationdw.operators import checks
-from stationdw.operators.upsert import merge_into_path, upsert_latest
+from stationdw.operators.upsert import merge_into_path, merge_stages, upsert_latest
 from stationdw.plans.catalog import ensure_tables, register_views, use_database
 from stationdw.plans.star import load_report, load_star, resolve_keys
 from stationdw.schemas import STAGING_KEY
@@ -143,14 +143,15 @@ def test_monthly_from_star_equals_view_rollup(four_station):
 
 def test_retried_batch_reuses_complete_stage(spark):
     path = scratch_dir(spark, "retry-test")
+    stages = merge_stages(scratch_dir(spark, "retry-ck"))  # no part of it names the session
     schema = "station_id string, norm_date date, v int, norm_month string, _arrival long"
     b1 = spark.createDataFrame([("A", dt.date(2010, 1, 1), 1, "201001", 1)], schema)
     merge_into_path(b1, path, ["station_id", "norm_date"], ["_arrival"], "norm_month",
-                    stage_key="t-1")
+                    stages=stages, epoch=1)
     b2 = spark.createDataFrame([("A", dt.date(2010, 1, 1), 2, "201001", 2),
                                 ("B", dt.date(2010, 1, 2), 3, "201001", 3)], schema)
     merge_into_path(b2, path, ["station_id", "norm_date"], ["_arrival"], "norm_month",
-                    stage_key="t-2")
+                    stages=stages, epoch=2)
     # Simulate a swap that went wrong (the month holds something else): the retry of epoch 2
     # must restore the month from its stage instead of merging the batch into that state.
     wrong = spark.createDataFrame([("Z", dt.date(2010, 1, 9), 9, "201001")],
@@ -158,6 +159,6 @@ def test_retried_batch_reuses_complete_stage(spark):
     wrong.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("norm_month").parquet(path)
     merge_into_path(b2, path, ["station_id", "norm_date"], ["_arrival"], "norm_month",
-                    stage_key="t-2")
+                    stages=stages, epoch=2)
     got = sorted((r.station_id, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("A", 2), ("B", 3)]

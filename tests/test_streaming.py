@@ -181,3 +181,42 @@ def test_clean_stream_as_json_topic(spark, topic):
     first = rows.where("norm_date = '20100101'").first()
     assert (first.year_num, first.month_num, first.norm_month) == (2010, 1, "201001")
     assert first.dly_tmin_normal == -33.0
+
+
+def test_restarted_epoch_repeats_no_rows_and_old_stages_go(spark, tmp_path):
+    folder, ck = str(tmp_path / "topic"), str(tmp_path / "ck")
+    bad = {"station_id": "S", "norm_date": "20100102"}
+    good = dict(bad, station_name="N")
+    for i in range(3):
+        write_files(folder, [dict(bad, _arrival=2 * i), dict(good, _arrival=2 * i + 1)], 1)
+    table, quarantine = scratch_dir(spark, "t-re"), scratch_dir(spark, "q-re")
+
+    def once():
+        run_to_end(write_staging_stream(stream(spark, folder), table, quarantine, ck,
+                                        available_now=True))
+
+    once()
+    assert os.listdir(os.path.join(ck, "merge")) == ["2"]     # only the last epoch's stage
+    for name in ("2", ".2.crc"):       # the driver died before it could commit the last epoch
+        if os.path.exists(os.path.join(ck, "commits", name)):
+            os.rename(os.path.join(ck, "commits", name), str(tmp_path / f"commit{name}"))
+    once()
+    assert spark.read.parquet(quarantine).count() == 3
+    assert spark.read.parquet(table).count() == 1
+
+
+def test_summary_loader_keeps_rejected_messages(spark, tmp_path):
+    from stationdw.plans.jobs import load_summary_changelog
+    folder = str(tmp_path / "changelog")
+    key = {"STATION_ID": "S", "STATION_NAME": "N", "NORM_MONTH": "201001", "YEAR_NUM": 2010,
+           "MONTH_NUM": 1}
+    lacking = {k: v for k, v in key.items() if k != "STATION_NAME"}
+    write_files(folder, [{"key": json.dumps(k), "value": v, "_epoch": 0} for k, v in
+                         [(key, json.dumps({"NUM_DAYS": 31})), (key, "null"), (key, ""),
+                          (lacking, json.dumps({"NUM_DAYS": 30}))]], 1)
+    table, rejects = str(tmp_path / "summary"), str(tmp_path / "rejects")
+    run_to_end(load_summary_changelog(spark, folder, table, str(tmp_path / "ck"),
+                                      rejects_path=rejects))
+    assert [r.num_days for r in summary_table(spark, table).collect()] == [31]
+    assert [r.reject_reason for r in spark.read.json(rejects).collect()] == \
+        ["missing station_name"]
