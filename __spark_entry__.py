@@ -25,16 +25,17 @@ from stationdw.operators.clean import clean_readings, pick_fields, split_valid
 from stationdw.operators.ranking import global_rank, first_per_group  # noqa: E402
 from stationdw.operators.upsert import insert_ignore, upsert_dim  # noqa: E402
 from stationdw.plans import olap  # noqa: E402
-from stationdw.plans.bridge import event_messages  # noqa: E402
+from stationdw.plans import jobs  # noqa: E402
+from stationdw.plans.bridge import event_messages, event_readings  # noqa: E402
 from stationdw.plans.output import plain_types  # noqa: E402
 from stationdw.plans.star import (build_dim_date, distinct_stations, load_report,  # noqa: E402
                                   load_star)
 from stationdw.plans.warehouse import event_staging, orders_warehouse  # noqa: E402
-from stationdw.schemas import (COORD, ELEVATION, MONTHLY_SUMMARY, PRCP,  # noqa: E402
+from stationdw.schemas import (COORD, ELEVATION, MONTHLY_SUMMARY, PRCP, RAW_MESSAGE,  # noqa: E402
                                SUMMARY_COLUMNS_ORDER, SUMMARY_KEY_ALIASES,
                                SUMMARY_VALUE_ALIASES, TEMP)
 from stationdw.session import scratch_dir  # noqa: E402
-from stationdw.sources.messages import parse_raw  # noqa: E402
+from stationdw.sources.messages import parse_raw, read_raw_stream, to_raw_messages  # noqa: E402
 from stationdw.sources.tables import read_table  # noqa: E402
 from stationdw.streaming.jobs import (write_clean_stream, write_staging_stream,  # noqa: E402
                                       write_summary_stream)
@@ -133,6 +134,13 @@ def check_fk_q(spark, sf):
         .select("o_orderkey", "o_custkey")
 
 
+def check_fk_users(spark, sf):
+    """Events whose user is no nation's key: a foreign key that many rows violate."""
+    events = read_table(spark, sf, "events", ["event_id", "user_id"])
+    nation = read_table(spark, sf, "nation", ["n_nationkey"])
+    return checks.check_fk(events, nation, "user_id", "n_nationkey").select("event_id", "user_id")
+
+
 def check_fk_star(spark, sf):
     star = orders_warehouse(spark, sf)["star"]
     bad_station = checks.check_fk(star["fact"], star["dim_station"], "station_key")
@@ -248,6 +256,60 @@ def pick_fields_q(spark, sf):
     return plain_types(typed)
 
 
+def summary_rejected(spark, sf):
+    """Summary messages of four kinds, by station id: blank and JSON null values (skipped), no
+    station name in value or key (rejected), and whole ones (accepted, reason null)."""
+    summary = monthly_summary(clean_readings(parse_raw(event_messages(spark, sf))))
+    kind = F.col("station_id").cast("int") % 4
+    name = F.when(kind != 2, F.col("station_name"))
+    opts = {"ignoreNullFields": "false"}
+    keys = [F.col("station_id").alias("STATION_ID"), name.alias("STATION_NAME"),
+            F.col("norm_month").alias("NORM_MONTH")]
+    value = F.to_json(F.struct(*keys, F.col("year_num").alias("YEAR_NUM"),
+                               F.col("month_num").alias("MONTH_NUM"),
+                               F.col("num_days").alias("NUM_DAYS")), opts)
+    messages = summary.select(
+        F.to_json(F.struct(*keys), opts).alias("key"),
+        F.when(kind == 0, " ").when(kind == 1, "null").otherwise(value).alias("value"))
+    rows, rejected = jobs.summary_from_changelog(messages)
+    return (rows.withColumn("reject_reason", F.lit(None).cast("string"))
+            .select("station_id", "norm_month", "reject_reason")
+            .unionByName(rejected.select("station_id", "norm_month", "reject_reason")))
+
+
+def month_slice(spark, sf):
+    """The event staging table loaded into a warehouse; the fact rows of one month, read from
+    that month's files alone."""
+    table, warehouse = scratch_dir(spark, "month-staging"), scratch_dir(spark, "month-warehouse")
+    (event_staging(spark, sf)["staging"].withColumn("created_at", F.current_timestamp())
+     .withColumn("norm_month", F.date_format("norm_date", "yyyyMM"))
+     .write.partitionBy("norm_month").parquet(table))
+    jobs.load_warehouse(spark, table, warehouse)
+    fact = jobs.read_fact_months(spark, warehouse, 202401, 202401)
+    return plain_types(fact.join(jobs.read_star(spark, warehouse)["dim_station"], "station_key")
+                       .select("station_id", "date_key", "dly_tmin_normal", "dly_tmax_normal",
+                               "mtd_prcp_normal"))
+
+
+def _event_topic(spark, sf):
+    """The event messages written as a file topic, dealt by station and day: messages of one
+    staging row lie in one file, as in a keyed topic, while a month spreads over all files."""
+    topic = scratch_dir(spark, "topic")
+    fields = [f.name for f in RAW_MESSAGE.fields] + ["event_order"]
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = event_readings(spark, sf).withColumn("event_order", F.col("_arrival"))
+    messages = to_raw_messages(rows.repartition(files, "station_id", "norm_date"), fields)
+    messages.select("value").write.text(topic)
+    return topic
+
+
+def _topic_stream(spark, topic):
+    """A file topic as a stream of about four micro-batches."""
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_raw_stream(spark, "files", {"path": topic, "arrival_field": "event_order",
+                                            "maxFilesPerTrigger": max(1, files // 4)})
+
+
 def _event_stream(spark, sf):
     """The events table as a file stream (a single-file table is picked by a name filter)."""
     path = f"{sf.rstrip('/')}/events.parquet"
@@ -261,10 +323,11 @@ def _event_stream(spark, sf):
 
 
 def stream_monthly(spark, sf):
-    """Continuous monthly summary (update mode + foreachBatch upsert), run to the end."""
+    """Continuous monthly summary (update mode + foreachBatch upsert) over several micro-batches,
+    each of which updates months of the ones before."""
     table = scratch_dir(spark, "summary")
-    q = write_summary_stream(_event_stream(spark, sf), table, scratch_dir(spark, "summary-ck"),
-                             available_now=True)
+    q = write_summary_stream(_topic_stream(spark, _event_topic(spark, sf)), table,
+                             scratch_dir(spark, "summary-ck"), available_now=True)
     q.awaitTermination()
     return plain_types(spark.read.schema(MONTHLY_SUMMARY).parquet(table)
                        .select(*SUMMARY_COLUMNS_ORDER))
@@ -273,9 +336,9 @@ def stream_monthly(spark, sf):
 def stream_changelog(spark, sf):
     """Monthly aggregate emitted as a keyed JSON changelog, then loaded back into the summary
     table by alias picking (value first, key fallback) with later messages winning."""
-    from stationdw.plans.jobs import load_summary_changelog
     from stationdw.sources.sinks import write_changelog_stream
-    summary = monthly_summary(clean_readings(parse_raw(_event_stream(spark, sf))))
+    topic = _topic_stream(spark, _event_topic(spark, sf))
+    summary = monthly_summary(clean_readings(parse_raw(topic)))
     changelog = scratch_dir(spark, "changelog")
     q = write_changelog_stream(summary, ["station_id", "station_name", "norm_month",
                                          "year_num", "month_num"],
@@ -283,8 +346,8 @@ def stream_changelog(spark, sf):
     q.processAllAvailable()
     q.stop()
     table = scratch_dir(spark, "summary-from-changelog")
-    load_summary_changelog(spark, changelog, table,
-                           scratch_dir(spark, "load-ck")).awaitTermination()
+    jobs.load_summary_changelog(spark, changelog, table,
+                                scratch_dir(spark, "load-ck")).awaitTermination()
     return plain_types(spark.read.schema(MONTHLY_SUMMARY).parquet(table)
                        .select(*SUMMARY_COLUMNS_ORDER))
 
@@ -300,12 +363,44 @@ def stream_clean(spark, sf):
 def stream_staging(spark, sf):
     """Staging consumer stream: keyed keep-latest upsert per micro-batch, quarantine aside."""
     table = scratch_dir(spark, "staging")
-    q = write_staging_stream(_event_stream(spark, sf), table, scratch_dir(spark, "quarantine"),
-                             scratch_dir(spark, "staging-ck"), available_now=True)
-    q.awaitTermination()
+    _consume(spark, _event_topic(spark, sf), table).awaitTermination()
     return plain_types(spark.read.parquet(table).select(*STAGING_OUT))  # no partition in output
 
 
+def _consume(spark, topic, table):
+    return write_staging_stream(_topic_stream(spark, topic), table,
+                                scratch_dir(spark, "quarantine"),
+                                scratch_dir(spark, "staging-ck"), available_now=True)
+
+
+def stream_replay(spark, sf):
+    """A topic consumed, then consumed again from its start by a consumer with a new checkpoint:
+    the table is as it was."""
+    topic, table = _event_topic(spark, sf), scratch_dir(spark, "staging")
+    for _ in range(2):
+        _consume(spark, topic, table).awaitTermination()
+    return plain_types(spark.read.parquet(table).select(*STAGING_OUT))
+
+
+def stream_two_subscribers(spark, sf):
+    """Two streams over one topic at the same time, each with its own checkpoint; what each has
+    stored, by month."""
+    topic = _event_topic(spark, sf)
+    staging, summary = scratch_dir(spark, "staging"), scratch_dir(spark, "summary")
+    running = [_consume(spark, topic, staging),
+               write_summary_stream(_topic_stream(spark, topic), summary,
+                                    scratch_dir(spark, "summary-ck"), available_now=True)]
+    for q in running:
+        q.awaitTermination()
+    stored = (spark.read.parquet(staging)
+              .groupBy(F.date_format("norm_date", "yyyyMM").alias("norm_month"))
+              .agg(F.count(F.lit(1)).alias("readings")))
+    days = (jobs.read_summary(spark, summary).groupBy("norm_month")
+            .agg(F.sum("num_days").alias("readings")))
+    return (stored.withColumn("subscriber", F.lit("staging"))
+            .unionByName(days.withColumn("subscriber", F.lit("summary"))))
+
+
 # ---------------------------------------------------------------------------------------------
 
 def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
@@ -345,6 +440,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_domain": check_domain_q,
         "check_fk": check_fk_q,
         "check_fk_star": check_fk_star,
+        "check_fk_users": check_fk_users,
+        "summary_rejected": summary_rejected,
+        "month_slice": month_slice,
         "first_per_group": first_per_group_q,
         "global_rank": global_rank_q,
         "staging_upsert": staging_upsert,
@@ -361,6 +459,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_monthly": stream_monthly,
         "stream_staging": stream_staging,
         "stream_changelog": stream_changelog,
+        "stream_replay": stream_replay,
+        "stream_two_subscribers": stream_two_subscribers,
         **_training_data()[0],
     }
 

@@ -286,7 +286,7 @@ UNION ALL SELECT 'staging_stations', COUNT(DISTINCT station_id) FROM staging
 UNION ALL SELECT 'staging_dates', COUNT(DISTINCT norm_date) FROM staging
 UNION ALL SELECT 'dim_station', COUNT(*) FROM dim_station
 UNION ALL SELECT 'dim_date', COUNT(DISTINCT norm_date) FROM staging
-UNION ALL SELECT 'fact_upserted', COUNT(*) FROM staging""",
+UNION ALL SELECT 'fact_upserted', COUNT(*) FROM (""" + FACT_ROWS + ")",
 
     "check_domain": _with(ORDERS) + """
 SELECT station_id, norm_date, violations FROM (
@@ -307,6 +307,11 @@ SELECT o.o_orderkey, o.o_custkey FROM orders o
 WHERE o.o_custkey IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)""",
 
+    "check_fk_users": """
+SELECT e.event_id, e.user_id FROM events e
+WHERE e.user_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey = e.user_id)""",
+
     "check_fk_star": _with(ORDERS) + FACT_ROWS + " WHERE d.station_key IS NULL",
 
     "first_per_group": _with(ORDERS) + """
@@ -392,4 +397,25 @@ all_dates AS (SELECT norm_date FROM staging UNION SELECT norm_date FROM ev_stagi
     "stream_staging": _with(EVENTS) + STAGING_SELECT,
 
     "stream_changelog": _with(EVENTS) + SUMMARY_TABLE_SELECT,
+
+    "stream_replay": _with(EVENTS) + STAGING_SELECT,
+
+    "stream_two_subscribers": _with(EVENTS) + """
+SELECT 'staging' AS subscriber, strftime(norm_date, '%Y%m') AS norm_month, COUNT(*) AS readings
+FROM ev_staging GROUP BY 2
+UNION ALL
+SELECT 'summary', norm_month, CAST(SUM(num_days) AS BIGINT) FROM ev_summary GROUP BY 2""",
+
+    "summary_rejected": _with(EVENTS) + """
+SELECT station_id, norm_month,
+       CASE WHEN CAST(station_id AS INTEGER) % 4 = 2 THEN 'missing station_name' END
+         AS reject_reason
+FROM ev_summary WHERE CAST(station_id AS INTEGER) % 4 >= 2""",
+
+    "month_slice": _with(EVENTS) + """
+SELECT station_id, CAST(strftime(norm_date, '%Y%m%d') AS INTEGER) AS date_key,
+       CAST(dly_tmin_normal AS DOUBLE) AS dly_tmin_normal,
+       CAST(dly_tmax_normal AS DOUBLE) AS dly_tmax_normal,
+       CAST(mtd_prcp_normal AS DOUBLE) AS mtd_prcp_normal
+FROM ev_staging WHERE strftime(norm_date, '%Y%m') = '202401'""",
 }

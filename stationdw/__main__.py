@@ -5,6 +5,7 @@ Every path and endpoint can come from an option or an environment variable (opti
   STATIONDW_TOPIC        raw message topic (folder for the file topic, topic name for Kafka)
   STATIONDW_SOURCE       ``files`` (default) or ``kafka``
   KAFKA_BROKER           bootstrap servers when the source is Kafka
+  STATIONDW_CHANGELOG    Kafka topic of the keyed summary changelog when the source is Kafka
   STATIONDW_WAREHOUSE    warehouse folder (staging, quarantine, star, summary tables)
   STATIONDW_CHECKPOINTS  folder for streaming checkpoints (default: <warehouse>/_checkpoints)
   STATIONDW_MAX_FILES    files per micro-batch for paced replay of a file topic
@@ -43,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--csv", help="input CSV for publish")
     p.add_argument("--topic", default=_env("STATIONDW_TOPIC"))
     p.add_argument("--source", default=_env("STATIONDW_SOURCE", "files"))
+    p.add_argument("--changelog-topic", default=_env("STATIONDW_CHANGELOG"),
+                   help="Kafka topic of the keyed summary changelog (source kafka)")
     p.add_argument("--broker", default=_env("KAFKA_BROKER", "localhost:29092"))
     p.add_argument("--warehouse", default=_env("STATIONDW_WAREHOUSE"))
     p.add_argument("--checkpoints", default=_env("STATIONDW_CHECKPOINTS"))
@@ -55,6 +58,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", help="report output folder (header CSV per report)")
     p.add_argument("--rows", type=int, help="print this many rows of each report instead")
     args = p.parse_args(argv)
+    if (args.source == "kafka" and args.command in ("summary-changelog", "load-summary")
+            and not args.changelog_topic):
+        p.error(f"{args.command} from Kafka needs --changelog-topic")
     if args.command == "report" and not args.out and args.rows is None:
         p.error("report needs --out (whole reports) or --rows N (the first N rows, printed)")
 
@@ -69,6 +75,8 @@ def main(argv: list[str] | None = None) -> int:
     summary = paths["monthly_climate_normal_summary"]
     star_root = f"{wh}/{args.database}"
     once = not args.continuous
+    broker = {"kafka.bootstrap.servers": args.broker} if args.source == "kafka" else None
+    changelog = args.changelog_topic if broker else paths["summary_changelog"]
     if args.command == "prepare":
         print(json.dumps(locations))
     elif args.command == "publish":
@@ -89,16 +97,17 @@ def main(argv: list[str] | None = None) -> int:
                                    available_now=once).awaitTermination()
     elif args.command == "summary-changelog":
         src, opts = _source_options(args)
-        q = jobs.summary_changelog(spark, src, opts, paths["summary_changelog"],
-                                   f"{ck}/changelog")
+        q = jobs.summary_changelog(spark, src, opts, changelog, f"{ck}/changelog", args.source,
+                                   broker)
         if once:
             q.processAllAvailable()
             q.stop()
         else:
             q.awaitTermination()
     elif args.command == "load-summary":
-        jobs.load_summary_changelog(spark, paths["summary_changelog"], summary,
-                                    f"{ck}/load-summary", available_now=once).awaitTermination()
+        jobs.load_summary_changelog(spark, changelog, summary, f"{ck}/load-summary",
+                                    available_now=once, source=args.source,
+                                    options=broker).awaitTermination()
     elif args.command == "report":
         from stationdw.sources.sinks import write_report_csv
         star = jobs.read_star(spark, star_root)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DataType, DecimalType
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,6 +33,12 @@ def check_fk(child: DataFrame, parent: DataFrame, child_key: str,
             .join(parents, F.col(child_key) == F.col("_pk"), "left_anti"))
 
 
+def _always_fits(have: DataType, limit: DecimalType) -> bool:
+    """Whether every value of type ``have`` fits ``limit``, so that there is nothing to check."""
+    return (isinstance(have, DecimalType) and have.scale <= limit.scale
+            and have.precision - have.scale <= limit.precision - limit.scale)
+
+
 def check_domain(df: DataFrame, lengths: Mapping[str, int] | None = None,
                  decimals: Mapping[str, DecimalType] | None = None) -> DataFrame:
     """Rows whose text exceeds a length limit or whose number does not fit a DECIMAL(p,s).
@@ -44,7 +50,8 @@ def check_domain(df: DataFrame, lengths: Mapping[str, int] | None = None,
         checks.append((F.length(F.col(c)) > limit, c))
     for c, dtype in (decimals or {}).items():
         src = F.col(c)
-        checks.append((src.isNotNull() & src.try_cast(dtype).isNull(), c))
+        if not _always_fits(df.schema[c].dataType, dtype):
+            checks.append((src.isNotNull() & src.try_cast(dtype).isNull(), c))
     if not checks:
         return df.limit(0).withColumn("violations", F.lit(None).cast("string"))
     cond = None

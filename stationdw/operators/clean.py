@@ -31,18 +31,19 @@ def clean_readings(df: DataFrame) -> DataFrame:
     )
 
 
-def split_valid(df: DataFrame, required: Sequence[str], reason_col: str = "reject_reason"
-                ) -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, required: Sequence[str], reason_col: str = "reject_reason",
+                limits: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Split into (valid, rejected). Rejected rows keep every column plus ``reason_col``.
 
     An existing ``reason_col`` (e.g. from message decoding) takes precedence; then the first
-    null required field gives ``missing <field>``.
+    null required field gives ``missing <field>``, then the first text longer than its column's
+    limit in ``limits`` gives ``too long <field>``.
     """
-    reason = None
-    for c in required:
-        cond = F.col(c).isNull()
-        label = F.lit(f"missing {c}")
-        reason = F.when(cond, label) if reason is None else reason.when(cond, label)
+    bad = [(F.col(c).isNull(), f"missing {c}") for c in required]
+    bad += [(F.length(c) > limit, f"too long {c}") for c, limit in (limits or {}).items()]
+    reason = F
+    for cond, label in bad:
+        reason = reason.when(cond, F.lit(label))
     if reason_col in df.columns:
         reason = F.coalesce(F.col(reason_col), reason)
     tagged = df.withColumn(reason_col, reason)

@@ -26,13 +26,14 @@ from stationdw.operators.upsert import merge_into_path, merge_stages
 from stationdw.plans import olap
 from stationdw.plans.star import load_report, load_star
 from stationdw.plans.views import daily_view, monthly_climate, monthly_from_star
-from stationdw.schemas import (DIM_DATE, DIM_STATION, FACT, FACT_KEY, MONTHLY_SUMMARY, PRCP,
-                               STAGING, SUMMARY_GROUP, SUMMARY_KEY, SUMMARY_KEY_ALIASES,
-                               SUMMARY_VALUE_ALIASES, TEMP)
+from stationdw.schemas import (DIM_DATE, DIM_STATION, FACT, FACT_KEY, LENGTH_LIMITS,
+                               MONTHLY_SUMMARY, NOT_NULL, PRCP, STAGING, SUMMARY_GROUP,
+                               SUMMARY_KEY, SUMMARY_KEY_ALIASES, SUMMARY_VALUE_ALIASES, TEMP)
 from stationdw.session import scratch_dir
 from stationdw.sources.csv_daily import read_daily_csv
 from stationdw.sources.messages import read_raw_stream
 from stationdw.sources.sinks import epoch_folder, write_changelog_stream, write_messages
+from stationdw.sources.tables import materialize
 from stationdw.streaming.jobs import clean_stream, write_staging_stream, write_summary_stream
 
 STAGING_COLUMNS = [f.name for f in STAGING.fields if f.name != "created_at"]
@@ -98,7 +99,6 @@ def load_warehouse(spark: SparkSession, staging_path: str, warehouse: str) -> Da
     (station_key, date_key), touching only the months present in staging.
     """
     paths = star_paths(warehouse)
-    fact_schema = FACT_STORED
     current = {
         "dim_station": _read(spark, paths["dim_station"], DIM_STATION),
         "dim_date": _read(spark, paths["dim_date"], DIM_DATE),
@@ -111,12 +111,12 @@ def load_warehouse(spark: SparkSession, staging_path: str, warehouse: str) -> Da
         return spark.createDataFrame([], "stage string, row_count bigint")
     dim_station = _overwrite_small(star["dim_station"], paths["dim_station"])
     dim_date = _overwrite_small(star["dim_date"], paths["dim_date"])
-    incoming = star["fact"].withColumn("date_month", (F.col("date_key") / 100).cast("int")) \
-        .withColumn("_order", F.lit(1))
-    merge_into_path(incoming, paths["fact"], FACT_KEY, ["_order"], "date_month")
-    fact = spark.read.schema(fact_schema).parquet(paths["fact"]).drop("date_month")
-    return load_report(staging, {"dim_station": dim_station, "dim_date": dim_date,
-                                 "fact": fact})
+    # written once: the merge looks at its batch several times, and the report counts it
+    incoming = materialize(star["fact"].withColumn(
+        "date_month", (F.col("date_key") / 100).cast("int")), "fact-incoming")
+    merge_into_path(incoming.withColumn("_order", F.lit(1)), paths["fact"], FACT_KEY, ["_order"],
+                    "date_month")
+    return load_report(staging, {"dim_station": dim_station, "dim_date": dim_date}, incoming)
 
 
 def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
@@ -128,6 +128,12 @@ def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     }
 
 
+def read_fact_months(spark: SparkSession, warehouse: str, first: int, last: int) -> DataFrame:
+    """Fact rows of the months ``first`` to ``last`` (yyyyMM); other months' files are not read."""
+    fact = spark.read.schema(FACT_STORED).parquet(star_paths(warehouse)["fact"])
+    return fact.where(F.col("date_month").between(first, last)).drop("date_month")
+
+
 def summary_changelog(spark: SparkSession, source: str, options: dict, target: str,
                       checkpoint: str, sink: str = "files", sink_options: dict | None = None
                       ) -> StreamingQuery:
@@ -141,12 +147,11 @@ def summary_from_changelog(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Keyed changelog messages -> (summary rows with an ``_order``, rejected rows).
 
     Tombstones are skipped, fields are picked by alias (value first, key as fallback), rows
-    missing any of the five month keys are rejected.
+    missing any of the five month keys, or with a key too long for its column, are rejected.
     """
     picked = pick_fields(msgs, SUMMARY_VALUE_ALIASES, SUMMARY_KEY_ALIASES)
-    valid, rejected = split_valid(picked.where(~F.col("tombstone")),
-                                  ["station_id", "station_name", "norm_month", "year_num",
-                                   "month_num"])
+    valid, rejected = split_valid(picked.where(~F.col("tombstone")), NOT_NULL["monthly_summary"],
+                                  limits=LENGTH_LIMITS["monthly_summary"])
     typed = valid.select(
         "station_id", "station_name", "norm_month",
         F.col("year_num").cast("double").cast("int").alias("year_num"),
@@ -159,26 +164,33 @@ def summary_from_changelog(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return typed, rejected
 
 
-def load_summary_changelog(spark: SparkSession, changelog_dir: str, table_path: str,
+def load_summary_changelog(spark: SparkSession, changelog: str, table_path: str,
                            checkpoint: str, available_now: bool = True,
-                           rejects_path: str | None = None) -> StreamingQuery:
-    """Summary loader: keyed changelog files (JSON lines with ``key``/``value``/``_epoch``)
-    -> monthly summary table, keyed (station_id, norm_month), later message wins.
+                           rejects_path: str | None = None, source: str = "files",
+                           options: dict | None = None) -> StreamingQuery:
+    """Summary loader: keyed changelog -> monthly summary table, keyed (station_id, norm_month),
+    later message wins.
 
+    ``files``: a folder of JSON lines with ``key``/``value``/``_epoch``. ``kafka``: topic
+    ``changelog`` with ``options`` such as the bootstrap servers, in the topic's own order.
     Messages without one of the five month keys go with their reason to ``rejects_path`` (by
     default ``<table_path>_rejected``), one folder of JSON lines per micro-batch."""
     rejects = rejects_path or table_path.rstrip("/") + "_rejected"
-    schema = "key string, value string, _epoch long"
-    msgs = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-            .json(changelog_dir))
+    if source == "files":
+        order = "_epoch"
+        msgs = (spark.readStream.schema("key string, value string, _epoch long")
+                .option("recursiveFileLookup", "true").options(**(options or {})).json(changelog))
+    else:
+        order = "_arrival"
+        msgs = read_raw_stream(spark, source, {"subscribe": changelog, **(options or {})})
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         rows, rejected = summary_from_changelog(batch)
         # Arrival order: the loader's batch first (a restarted producer begins its epochs at 0
         # again), then the producer's epoch within one batch.
         rows = rows.withColumn("_order", F.struct(F.lit(epoch_id).alias("batch"),
-                                                  F.col("_epoch").alias("epoch")))
-        merge_into_path(rows.drop("_epoch"), table_path, SUMMARY_KEY, ["_order"],
+                                                  F.col(order).alias("order")))
+        merge_into_path(rows.drop(order), table_path, SUMMARY_KEY, ["_order"],
                         "norm_month", stages=merge_stages(checkpoint), epoch=epoch_id)
         rejected.write.mode("overwrite").json(epoch_folder(rejects, checkpoint, epoch_id))
 

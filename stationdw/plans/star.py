@@ -52,13 +52,20 @@ def resolve_keys(fact: DataFrame, dim: DataFrame, natural_key: str, surrogate_ke
     return fact.join(lookup, natural_key, "inner")
 
 
-def fact_rows(staging: DataFrame, dim_station: DataFrame, check: bool = False,
+def fact_rows(staging: DataFrame, dim_station: DataFrame,
               measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
-    """Fact rows for every staging row: (date_key, station_key, measures)."""
-    keyed = resolve_keys(staging.select("station_id", "norm_date", *measures), dim_station,
-                         "station_id", "station_key", check=check)
+    """Fact rows for every staging row: (date_key, station_key, measures).
+
+    A station without a key fails the load. The lookup itself raises, in the plan that writes the
+    rows, so no second pass over staging is needed and no row can be lost silently.
+    """
+    keyed = staging.select("station_id", "norm_date", *measures).join(
+        dim_station.select("station_id", "station_key"), "station_id", "left")
+    miss = F.raise_error(F.concat(F.lit("no station key for "),
+                                  F.coalesce("station_id", F.lit("a null station_id"))))
     return keyed.select(date_key("norm_date").alias("date_key"),
-                        F.col("station_key").cast("int").alias("station_key"), *measures)
+                        F.coalesce(F.col("station_key"), miss).cast("int").alias("station_key"),
+                        *measures)
 
 
 def load_star(staging: DataFrame, current: Mapping[str, DataFrame] | None = None,
@@ -66,7 +73,7 @@ def load_star(staging: DataFrame, current: Mapping[str, DataFrame] | None = None
     """Load (or re-load) the star from staging. Returns dim_station, dim_date and fact.
 
     ``materialize`` writes the two dimensions as Parquet tables in the shared checkpoint folder,
-    so their size checks and the later joins read small files instead of re-running the lineage.
+    so the later joins read small files instead of re-running the lineage.
     An empty staging leaves the current tables untouched.
     """
     current = dict(current or {})
@@ -85,24 +92,22 @@ def load_star(staging: DataFrame, current: Mapping[str, DataFrame] | None = None
     return {"dim_station": dim_station, "dim_date": dim_date, "fact": fact}
 
 
-def load_report(staging: DataFrame, star: Mapping[str, DataFrame]) -> DataFrame:
+def load_report(staging: DataFrame, star: Mapping[str, DataFrame],
+                written: DataFrame | None = None) -> DataFrame:
     """Rows per load stage as a small tall table ``(stage, row_count)``.
 
     Stages: staging rows read, stations and dates they carry (upserted / inserted-or-verified),
-    fact rows upserted (one per staging row, staging being keyed by station and day), and the
-    sizes of the two dimension tables after the load. One aggregate pass over staging; the fact
-    table is never rescanned just to report.
+    fact rows upserted, and the sizes of the two dimension tables after the load. Staging is read
+    once. ``written`` is the table of fact rows this load wrote; without it the fact itself is
+    counted (a first load). Counting a written table reads Parquet footers, not rows.
     """
     read = staging.agg(F.count(F.lit(1)).alias("rows"),
                        F.count_distinct("station_id").alias("stations"),
                        F.count_distinct("norm_date").alias("dates"))
-    parts = [read.select(F.lit(stage).alias("stage"), F.col(col).alias("row_count"))
-             for stage, col in (("staging_rows", "rows"), ("staging_stations", "stations"),
-                                ("staging_dates", "dates"), ("fact_upserted", "rows"))]
-    for name in ("dim_station", "dim_date"):
-        parts.append(star[name].agg(F.count(F.lit(1)).alias("row_count")).select(
+    out = read.select(F.expr("stack(3, 'staging_rows', rows, 'staging_stations', stations, "
+                             "'staging_dates', dates) AS (stage, row_count)"))
+    for name, table in (("fact_upserted", star["fact"] if written is None else written),
+                        ("dim_station", star["dim_station"]), ("dim_date", star["dim_date"])):
+        out = out.unionByName(table.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("stage"), "row_count"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
     return out

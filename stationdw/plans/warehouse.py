@@ -16,14 +16,12 @@ from stationdw.operators.upsert import upsert_latest
 from stationdw.plans.bridge import event_messages, orders_staging
 from stationdw.plans.star import load_star
 from stationdw.plans.views import daily_view, monthly_climate, monthly_from_star
-from stationdw.schemas import STAGING_KEY
+from stationdw.schemas import LENGTH_LIMITS, NOT_NULL, STAGING_KEY
 from stationdw.sources.messages import decode_staging
 from stationdw.sources.tables import materialize
 
 _CACHE: dict[tuple, dict] = {}
 
-REQUIRED = ["station_id", "station_name", "norm_date"]
-
 
 def _key(spark: SparkSession, name: str, sf_dir: str) -> tuple:
     return (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
@@ -54,7 +52,7 @@ def orders_warehouse(spark: SparkSession, sf_dir: str) -> dict:
 def event_staging(spark: SparkSession, sf_dir: str, replay: int = 1) -> dict:
     """Messages decoded and split, then upserted into staging ``replay`` times (idempotent)."""
     decoded = decode_staging(event_messages(spark, sf_dir))
-    valid, rejected = split_valid(decoded, REQUIRED)
+    valid, rejected = split_valid(decoded, NOT_NULL["staging"], limits=LENGTH_LIMITS["staging"])
     incoming = valid.drop("raw_value")
     staging = None
     for _ in range(replay):

@@ -23,12 +23,10 @@ from pyspark.sql.streaming import StreamingQuery
 from stationdw.operators.aggregate import monthly_summary
 from stationdw.operators.clean import clean_readings, split_valid
 from stationdw.operators.upsert import merge_into_path, merge_stages
-from stationdw.schemas import (MONTHLY_SUMMARY, PRCP, STAGING_KEY, SUMMARY_KEY, TEMP)
+from stationdw.schemas import (LENGTH_LIMITS, NOT_NULL, PRCP, STAGING_KEY, SUMMARY_KEY, TEMP)
 from stationdw.sources.messages import decode_staging, parse_raw
 from stationdw.sources.sinks import epoch_folder
 
-REQUIRED = ["station_id", "station_name", "norm_date"]
-
 
 def clean_stream(raw: DataFrame) -> DataFrame:
     """Raw ``value`` messages -> typed, cleaned readings (batch or streaming)."""
@@ -99,7 +97,7 @@ def write_clean_stream(raw: DataFrame, path: str, checkpoint: str, available_now
 def staging_rows(batch: DataFrame, decoded: bool = False) -> tuple[DataFrame, DataFrame]:
     """Decode one batch of raw messages into (valid staging rows, rejected rows)."""
     decoded = batch if decoded else decode_staging(batch)
-    valid, rejected = split_valid(decoded, REQUIRED)
+    valid, rejected = split_valid(decoded, NOT_NULL["staging"], limits=LENGTH_LIMITS["staging"])
     valid = (valid.drop("raw_value")
              .withColumn("created_at", F.current_timestamp())
              .withColumn("norm_month", F.date_format("norm_date", "yyyyMM")))

@@ -215,3 +215,24 @@ def test_pick_fields_keeps_text_that_looks_false(spark, value, expected):
 def test_blank_and_null_values_are_tombstones(spark, value):
     df = spark.createDataFrame([('{"STATION_ID": "K"}', value)], "key string, value string")
     assert pick_fields(df, SUMMARY_VALUE_ALIASES, SUMMARY_KEY_ALIASES).first()["tombstone"]
+
+
+def test_split_valid_rejects_text_beyond_its_limit(spark):
+    from stationdw.operators.clean import split_valid
+    df = spark.createDataFrame([("a" * 30, "x"), ("a" * 31, "y"), (None, "z")],
+                               "station_id string, station_name string")
+    valid, rejected = split_valid(df, ["station_id"], limits={"station_id": 30})
+    assert [r.station_name for r in valid.collect()] == ["x"]
+    assert sorted((r.station_name, r.reject_reason) for r in rejected.collect()) == [
+        ("y", "too long station_id"), ("z", "missing station_id")]
+
+
+def test_domain_check_skips_what_a_type_rules_out(spark):
+    from decimal import Decimal
+    from pyspark.sql import types as T
+    from stationdw.operators.checks import check_domain
+    df = spark.createDataFrame([(Decimal("1.00"), Decimal("123456.00"))],
+                               "a decimal(7,2), b decimal(12,2)")
+    limits = {"a": T.DecimalType(7, 2), "b": T.DecimalType(7, 2)}
+    assert [r.violations for r in check_domain(df, decimals=limits).collect()] == ["b"]
+    assert check_domain(df, decimals={"a": limits["a"]}).count() == 0

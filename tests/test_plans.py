@@ -92,3 +92,9 @@ def test_first_per_group_is_a_partial_aggregate(spark):
     text = plan_text(first_per_group(df, ["g"], [("id", False)]))
     assert "Window" not in text
     assert "partial_min_by" in text
+
+
+def test_month_slice_reads_one_month(spark):
+    text = plan_text(entry.queries()["month_slice"](spark, SF_SMALL))
+    filters = [line for line in text.splitlines() if "PartitionFilters: [" in line]
+    assert any("date_month" in line.split("PartitionFilters: [")[1] for line in filters)

@@ -162,3 +162,30 @@ def test_retried_batch_reuses_complete_stage(spark):
                     stages=stages, epoch=2)
     got = sorted((r.station_id, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("A", 2), ("B", 3)]
+
+
+def test_station_without_a_key_fails_the_load(spark):
+    from stationdw.plans.star import fact_rows
+    st = staging(spark, [reading("S1", "one", 1), reading("S9", "nine", 1)])
+    dim = spark.createDataFrame([(1, "S1")], "station_key int, station_id string")
+    with pytest.raises(Exception, match="no station key for S9"):
+        fact_rows(st, dim).collect()
+    assert fact_rows(st.where("station_id = 'S1'"), dim).count() == 1
+
+
+def test_report_counts_what_the_load_wrote(spark, tmp_path):
+    from stationdw.plans.jobs import load_warehouse
+    table, warehouse = str(tmp_path / "staging"), str(tmp_path / "dw")
+
+    def load(rows):
+        (staging(spark, rows).withColumn("created_at", F.current_timestamp())
+         .withColumn("norm_month", F.date_format("norm_date", "yyyyMM"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("norm_month").parquet(table))
+        return {r.stage: r.row_count for r in load_warehouse(spark, table, warehouse).collect()}
+
+    assert load([reading("S1", "one", 1), reading("S1", "one", 2)])["fact_upserted"] == 2
+    second = load([reading("S2", "two", 1)])
+    assert second["fact_upserted"] == 1 and second["dim_station"] == 2
+    from stationdw.plans.jobs import read_star
+    assert read_star(spark, warehouse)["fact"].count() == 3
