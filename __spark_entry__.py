@@ -292,13 +292,13 @@ def month_slice(spark, sf):
 
 
 def _event_topic(spark, sf):
-    """The event messages written as a file topic, dealt by station and day: messages of one
-    staging row lie in one file, as in a keyed topic, while a month spreads over all files."""
+    """The event messages written as a file topic, dealt round-robin: messages of one staging
+    row lie in several files, so later micro-batches hold older and newer ones of stored keys."""
     topic = scratch_dir(spark, "topic")
     fields = [f.name for f in RAW_MESSAGE.fields] + ["event_order"]
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = event_readings(spark, sf).withColumn("event_order", F.col("_arrival"))
-    messages = to_raw_messages(rows.repartition(files, "station_id", "norm_date"), fields)
+    messages = to_raw_messages(rows.repartition(files), fields)
     messages.select("value").write.text(topic)
     return topic
 

@@ -31,30 +31,38 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -
 def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
                   order_cols: Sequence[str], keep_first: Sequence[str] = (),
                   drop_order: bool = True, incoming_unique: bool = False,
-                  strategy: str = "antijoin") -> DataFrame:
+                  strategy: str = "antijoin", compare_order: bool = False) -> DataFrame:
     """ON DUPLICATE KEY UPDATE: the latest incoming row per key replaces the current row.
 
     ``keep_first`` columns (e.g. a load timestamp) keep the value of the first insert.
     Incoming rows need ``order_cols``; the result drops them unless ``drop_order=False``.
     ``incoming_unique`` declares the incoming keys unique (e.g. read from a keyed table), so
     they need no keep-latest aggregation.
+    ``compare_order``: ``current`` holds ``order_cols`` as well, the result keeps them, and a
+    current row later than the batch's stays; equal order, or none stored, lets the batch win.
 
     ``strategy="antijoin"`` (default): current rows whose key is not in the batch are kept as
     they are and the batch's latest rows are appended. ``"aggregate"``: one ``groupBy``
     over current and incoming rows (``max_by`` on (batch first, then arrival order)).
     """
-    columns = [c for c in incoming.columns if c not in order_cols or not drop_order]
+    columns = [c for c in incoming.columns
+               if c not in order_cols or compare_order or not drop_order]
     fresh = incoming if incoming_unique else keep_latest(incoming, keys, order_cols)
     if current is None:
         return fresh.select(*columns)
     if strategy == "aggregate":
-        return _upsert_by_aggregate(current, incoming, keys, order_cols, keep_first, columns)
+        return _upsert_by_aggregate(current, incoming, keys, order_cols, keep_first, columns,
+                                    compare_order)
     fresh = fresh.select(*columns)
     names = [f"_uk{i}" for i in range(len(keys))]
     fresh_keys = fresh.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
     cond = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
     kept = current.join(fresh_keys, cond, "left_anti").select(*columns)
-    if keep_first:
+    if compare_order:
+        # Stored rows of the batch's keys (no more than the batch has) against the batch's rows.
+        stored = current.join(fresh_keys, cond, "left_semi")
+        fresh = _upsert_by_aggregate(stored, fresh, keys, order_cols, keep_first, columns, True)
+    elif keep_first:
         # First-insert values of the keys the batch replaces (no more rows than the batch).
         firsts = (current.join(fresh_keys, cond, "left_semi")
                   .select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
@@ -65,7 +73,8 @@ def upsert_latest(current: DataFrame | None, incoming: DataFrame, keys: Sequence
     return kept.unionByName(fresh)
 
 
-def _upsert_by_aggregate(current, incoming, keys, order_cols, keep_first, columns):
+def _upsert_by_aggregate(current, incoming, keys, order_cols, keep_first, columns,
+                         compare_order=False):
     value_cols = [c for c in columns if c not in keys]
     cur = current.select(*keys, *value_cols,
                          *[F.lit(None).cast(incoming.schema[c].dataType).alias(c)
@@ -75,8 +84,9 @@ def _upsert_by_aggregate(current, incoming, keys, order_cols, keep_first, column
                           F.lit(1).alias("_prio"))
     both = cur.unionByName(inc)
     order = F.struct(F.col("_prio"), *[F.col(c) for c in order_cols])
+    latest = F.struct(*[F.col(c) for c in order_cols], F.col("_prio")) if compare_order else order
     replace = [c for c in value_cols if c not in keep_first]
-    aggs = [F.max_by(F.struct(*replace), order).alias("_row")] if replace else []
+    aggs = [F.max_by(F.struct(*replace), latest).alias("_row")] if replace else []
     aggs += [F.min_by(F.col(c), order).alias(c) for c in keep_first]
     merged = both.groupBy(*keys).agg(*aggs)
     return merged.select(*[F.col("_row")[c].alias(c) if c in replace else F.col(c)
@@ -149,7 +159,7 @@ def _stage_complete(spark: SparkSession, stage: str) -> bool:
 def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
                     order_cols: Sequence[str], partition_col: str,
                     keep_first: Sequence[str] = (), stages: str | None = None,
-                    epoch: int = 0) -> None:
+                    epoch: int = 0, store_order: bool = False) -> None:
     """Upsert ``incoming`` into the Parquet table at ``path``, partitioned by ``partition_col``.
 
     Only the partitions the batch touches are read (a semi join on the partition column, which
@@ -157,6 +167,9 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     the shared checkpoint folder, then swapped in with dynamic partition overwrite. The table is
     never overwritten by a plan that reads it. ``partition_col`` must be a function of the key.
 
+    ``store_order`` keeps ``order_cols`` in the table, so that a stored row that is later than
+    the batch's row of its key stays; without it the later batch wins.
+
     ``stages`` (a stream's own folder, kept over restarts, see ``merge_stages``) and ``epoch``
     name the stage deterministically: a retried batch whose stage was completely written reuses
     it instead of merging again, also in a new session, so a crash during the swap (some months
@@ -165,7 +178,7 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     stage without ``stages`` as soon as it is swapped in.
     """
     spark = incoming.sparkSession
-    table_cols = [c for c in incoming.columns if c not in order_cols]
+    table_cols = [c for c in incoming.columns if c not in order_cols or store_order]
     schema = incoming.select(*table_cols).schema
     if stages:
         stage = f"{stages}/{epoch}"
@@ -177,11 +190,13 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
         stage = scratch_dir(spark, "merge")
     current = _read_or_none(spark, path, schema)
     if current is None:
-        merged = upsert_latest(None, incoming, keys, order_cols, keep_first)
+        merged = upsert_latest(None, incoming, keys, order_cols, keep_first,
+                               compare_order=store_order)
     else:
         touched = incoming.select(partition_col).distinct()
         current = current.join(touched, partition_col, "left_semi")
-        merged = upsert_latest(current, incoming, keys, order_cols, keep_first)
+        merged = upsert_latest(current, incoming, keys, order_cols, keep_first,
+                               compare_order=store_order)
     # No repartition by the partition column before writing: a month holding a third of the
     # rows would then be written by one task. The merge output is spread by key instead and each
     # task writes its share of every touched month.

@@ -110,7 +110,8 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
     """Staging consumer: keyed keep-latest upsert by arrival order, plus a quarantine table.
 
     The table is partitioned by the month of ``norm_date`` (a function of the key), so each
-    micro-batch rewrites only the months it touches.
+    micro-batch rewrites only the months it touches. ``_arrival`` is stored with each row: an
+    older message in a later micro-batch does not replace a newer one.
     """
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
@@ -123,7 +124,7 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
                 epoch_folder(quarantine_path, checkpoint, epoch_id))
             merge_into_path(valid, table_path, STAGING_KEY, ["_arrival"], "norm_month",
                             keep_first=["created_at"],
-                            stages=merge_stages(checkpoint), epoch=epoch_id)
+                            stages=merge_stages(checkpoint), epoch=epoch_id, store_order=True)
         finally:
             decoded.unpersist()
 

@@ -220,3 +220,37 @@ def test_summary_loader_keeps_rejected_messages(spark, tmp_path):
     assert [r.num_days for r in summary_table(spark, table).collect()] == [31]
     assert [r.reject_reason for r in spark.read.json(rejects).collect()] == \
         ["missing station_name"]
+
+
+@pytest.mark.parametrize("published", [False, True])
+def test_older_message_in_a_later_batch_replaces_nothing(spark, tmp_path, published):
+    folder = str(tmp_path / "topic")
+
+    def message(name, order, day="20100101"):
+        at = {"_published": 1, "_seq": order} if published else {"_arrival": order}
+        return {"station_id": "S", "station_name": name, "norm_date": day, **at}
+
+    write_files(folder, [message("newest", 7), message("old", 1, "20100102")], 1)
+    write_files(folder, [message("older", 5), message("new", 2, "20100102")], 1)
+    write_files(folder, [message("oldest", 3)], 1)
+    for i, name in enumerate(sorted(os.listdir(folder))):
+        os.utime(os.path.join(folder, name), (1_700_000_000 + i, 1_700_000_000 + i))
+    options = {"path": folder, "maxFilesPerTrigger": 1}
+    if not published:
+        options["arrival_field"] = "_arrival"
+    table = scratch_dir(spark, "t-late")
+    run_to_end(write_staging_stream(read_raw_stream(spark, "files", options), table,
+                                    scratch_dir(spark, "q-late"), scratch_dir(spark, "ck"),
+                                    available_now=True))
+    got = {r.norm_date.day: r.station_name for r in spark.read.parquet(table).collect()}
+    assert got == {1: "newest", 2: "new"}
+
+
+def test_query_topic_repeats_keys_in_later_files(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+    topic = spark.read.text(entry._event_topic(spark, SF_SMALL))
+    places = topic.select(F.get_json_object("value", "$.station_id").alias("s"),
+                          F.get_json_object("value", "$.norm_date").alias("d"),
+                          F.input_file_name().alias("file")).distinct()
+    assert not places.groupBy("s", "d").count().where("count > 1").isEmpty()
