@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from functools import lru_cache
 
@@ -113,7 +114,23 @@ _EMAIL = re.compile(r"[\w.+%-]+@[^\W_][\w-]*(?:\.[^\W_][\w-]*)+")
 _SECRET = re.compile(r"""(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"""
                      r"""\s*[=:]\s*["']?([^\s"'!,;]{6,})""")
 _AWS = re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")
-_DIGITS = re.compile(r"[+(\d][\d().+ \-]{5,}\d")  # a stretch that may hold numbers of any kind
+#: Secrets known by their own form; what tells the form stays, groups change.
+_TOKENS = (
+    ("gh", re.compile(r"\b(?:gh[pousr]_|github_pat_)(\w{20,})")),
+    ("eyJ", re.compile(r"(?<![\w-])eyJ([\w-]{8,})\.(?:eyJ)?([\w-]{8,})\.([\w-]{8,})")),
+    ("PRIVATE KEY", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----(?:"
+                               r"((?:[^-]|-(?!----))+)(?=-----END)|((?:\s+[A-Za-z0-9+/=]{16,})+))")),
+    ("glpat-", re.compile(r"\bglpat-([\w-]{20,})")),
+    ("xox", re.compile(r"\bxox[abeoprs]-([\w-]{10,})")),
+    ("sk", re.compile(r"\bsk(?:-|_live_|_test_)([\w-]{20,})")),
+    ("AIza", re.compile(r"\bAIza([\w-]{35})(?![\w-])")),
+    ("hf_", re.compile(r"\bhf_([A-Za-z0-9]{30,})")),
+    ("npm_", re.compile(r"\bnpm_([A-Za-z0-9]{36})\b")),
+    ("earer", re.compile(r"\b[Bb]earer\s+([\w.~+/-]{16,}=*)")),
+)
+_GAP = r"[ .\-\u00a0\u202f\u2011]"
+# a stretch that may hold numbers of any kind
+_DIGITS = re.compile(r"[+(\d][\d().+ \-/\u00a0\u202f\u2011]{5,}\d")
 _IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)"
                  r"(?!\w|\.\d)")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
@@ -121,6 +138,20 @@ _CARD = re.compile(r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}
                    r"(?![\w-])")
 _PHONE = re.compile(r"(?<![\w.])(\+\d{1,3}[ .-]?)?(\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]"
                     r"\d{3,4}(?![\w-])")
+# Any grouping; the digits are counted, and other kinds of numbers told apart, by _phone_start.
+_PHONE_ABROAD = re.compile(rf"(?<![\w+])(?:\+|00{_GAP}?)[1-9](?:\)?[/]?{_GAP}?\(?\d){{6,14}}"
+                           r"(?![\w-])")
+_PHONE_ANY = re.compile(rf"(?<![\w.+/-])(?<!\d,)\(?\d(?:\)?[/]?{_GAP}?\(?\d){{6,14}}"
+                        r"(?![\w/-]|[.,]\d)")
+_DATE = re.compile(r"(?<!\d)(?:(?:1[89]|20)\d\d(\D?)(?:0?[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|"
+                   r"(?:0?[1-9]|[12]\d|3[01])(\D)(?:0?[1-9]|[12]\d|3[01])\2(?:1[89]|20)\d\d)"
+                   r"(?!\d)")
+_YEAR = re.compile(r"(?:1[89]|20)\d\d")
+#: Country codes of one and two digits; all others have three.
+_SHORT_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 "
+                         "56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:[0-9A-Fa-f]{1,4})?(?![\w:]|\.\d)")
+_IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}")
 _HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 
@@ -133,6 +164,49 @@ def luhn(digits: str) -> int:
     return -total % 10
 
 
+def _phone_start(mention: str) -> int | None:
+    """Where the subscriber's number begins in a phone number, after the country code and the
+    trunk 0, which stay; None for what is no phone number."""
+    digits = [i for i, c in enumerate(mention) if c.isdigit()]
+    text = "".join(mention[i] for i in digits)
+    skip = 0
+    if mention[0] == "+" or text.startswith("00"):
+        skip = 0 if mention[0] == "+" else 2
+        if not 7 <= len(text) - skip <= 15:
+            return None
+        skip += next((n for n in (1, 2) if text[skip:skip + n] in _SHORT_CODES), 3)
+    else:
+        groups = re.findall(r"\d+", mention)
+        if not 7 <= len(text) <= 15 or any(len(g) < 2 for g in groups[1:]) \
+                or _DATE.search(mention) or all(_YEAR.fullmatch(g) for g in groups):
+            return None
+        if groups[0][0] != "0" and "(" not in mention:
+            thousands = len(groups[0]) < 3 and all(len(g) == 3 for g in groups[1:])
+            decimal = len(groups) == 2 and "." in mention
+            if len(groups) > 1 and (thousands or decimal or "/" in mention) \
+                    and not _PHONE.fullmatch(mention):
+                return None
+    if text[skip] == "0" and len(text) - skip > 7:
+        skip += 1
+    return digits[skip]
+
+
+def _iban_end(mention: str) -> int | None:
+    """Where a valid IBAN that begins the mention ends, by its check digits."""
+    n = 0
+    for i, c in enumerate(mention, 1):
+        n += c != " "
+        if c != " " and n >= 15 and (i == len(mention) or not mention[i].isalnum()) \
+                and int("".join(str(int(x, 36)) for x in _iban_turned(mention[:i]))) % 97 == 1:
+            return i
+    return None
+
+
+def _iban_turned(mention: str) -> str:
+    plain = mention.replace(" ", "")
+    return plain[4:] + plain[:4]
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of every entity, in order, without overlaps. Equal
     entities have equal canonical forms however they are written."""
@@ -140,28 +214,54 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         return []
     spans: list[tuple[int, int, str, str]] = []
     low = text.lower()
+    known = [(*m.span(g), "secret", m.group(g)) for sign, pattern in _TOKENS if sign in text
+             for m in pattern.finditer(text) for g in range(1, pattern.groups + 1) if m.group(g)]
+    spans += known
+    inside = bytearray(len(text))
+    for a, b, *_ in known:
+        inside[a:b] = b"\1" * (b - a)
     if any(w in low for w in ("passw", "pwd", "secret", "token", "key")):
         for m in _SECRET.finditer(text):
             value = m.group(1)
+            if any(inside[m.start(1):m.end(1)]):
+                continue  # the same secret is known by its form elsewhere, too
             spans.append((*m.span(1), "secret", value.lower() if _HEX.fullmatch(value) else value))
     if "AKIA" in text or "ASIA" in text:
         spans += [(*m.span(), "secret", m.group()) for m in _AWS.finditer(text)]
     if "@" in text:
         spans += [(m.start(), m.end(), "email", m.group().lower()) for m in _EMAIL.finditer(text)]
+    if ":" in text:
+        for m in _IPV6.finditer(text):
+            try:
+                address = ipaddress.IPv6Address(m.group())
+            except ValueError:
+                continue
+            if int(address) > 1 and (any(c.isdigit() for c in m.group())
+                                     or len(re.findall(r"\w+", m.group())) > 2):
+                spans.append((*m.span(), "ipv6", str(address)))
+    for m in _IBAN.finditer(text):
+        if end := _iban_end(m.group()):
+            spans.append((m.start(), m.start() + end, "iban", m.group()[:end].replace(" ", "")))
     for stretch in _DIGITS.finditer(text):
         a, b = max(0, stretch.start() - 1), stretch.end() + 2
-        for kind, pattern in (("ip", _IP), ("ssn", _SSN), ("card", _CARD), ("phone", _PHONE)):
+        for kind, pattern in (("ip", _IP), ("ssn", _SSN), ("card", _CARD), ("phone", _PHONE),
+                              ("phone", _PHONE_ABROAD), ("phone", _PHONE_ANY)):
             for m in pattern.finditer(text, a, b):
                 digits = re.sub(r"\D", "", m.group())
                 if kind == "ip":
                     spans.append((*m.span(), kind, ".".join(str(int(x)) for x in
                                                             m.group().split("."))))
                 elif kind == "phone":
-                    start = m.end(1) if m.group(1) else m.start()  # the country code stays
-                    digits = re.sub(r"\D", "", text[start:m.end()])
-                    if 7 <= len(digits) <= 12:
-                        spans.append((start, m.end(), kind, digits))
-                else:
+                    at = _phone_start(m.group())  # the country code and a trunk 0 stay
+                    if at is not None:
+                        start = m.start() + at
+                        if pattern is not _PHONE and any(
+                                s[0] == start and s[2] == kind and len(s[3]) == 10
+                                for s in spans):
+                            continue  # a whole number already; what follows is another
+                        spans.append((start, m.end(), kind,
+                                      re.sub(r"\D", "", text[start:m.end()])))
+                elif kind != "card" or len(digits) > 15 or text[m.start() - 1:m.start()] != "+":
                     spans.append((*m.span(), kind, digits))
     if any(t in text for t in TITLES):
         for m in _NAME.finditer(text):
@@ -171,7 +271,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
                 spans.append((*m.span(4), "family", m.group(4).casefold()))
             else:
                 spans.append((*m.span(3), "family", m.group(3).casefold()))
-    rank = {"secret": 0, "email": 1, "ip": 2, "card": 3, "ssn": 4}
+    rank = {"secret": 0, "email": 1, "ip": 2, "ipv6": 2, "iban": 2, "card": 3, "ssn": 4}
     if not spans:
         return []
     taken, out = bytearray(len(text)), []
@@ -219,6 +319,18 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
             parts = list(value.to_bytes(4, "big"))
             if _ip_class(parts) == group:
                 return ".".join(map(str, parts))
+    if kind == "ipv6":
+        value = int(ipaddress.IPv6Address(canonical))
+        free = 125 if value >> 125 == 1 else 112  # unicast stays so, as do other kinds' prefixes
+        top, low = value >> free, value & ((1 << free) - 1)
+        while True:
+            low = permute(key, f"{tweak}|{top}", low, 1 << free)
+            if (top << free | low) > 1:
+                return str(ipaddress.IPv6Address(top << free | low))
+    if kind == "iban":
+        body = permute_text(key, f"{tweak}|{canonical[:2]}", canonical[4:])
+        rest = int("".join(str(int(x, 36)) for x in body + canonical[:2] + "00")) % 97
+        return f"{canonical[:2]}{98 - rest:02d}{body}"
     if kind == "card":
         shift = (int(canonical[-1]) - luhn(canonical[:-1])) % 10  # 0 for valid numbers
         body = canonical[0] + permute_text(key, tweak, canonical[1:-1])
@@ -260,6 +372,9 @@ def _written(mention: str, kind: str, canonical: str, value: str) -> str:
         digits = iter(value)
         out = "".join(next(digits, "") if c.isdigit() else c for c in mention)
         return out + "".join(digits)
+    if kind == "iban":
+        signs = iter(value)
+        return "".join(c if c == " " else next(signs) for c in mention)
     if kind == "secret" and canonical == mention:
         return value
     if kind.startswith("given-") or kind == "family":
