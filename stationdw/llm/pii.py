@@ -207,6 +207,38 @@ def _iban_turned(mention: str) -> str:
     return plain[4:] + plain[:4]
 
 
+def _bare_names(text: str, titled: list[tuple[int, int, str, str]]
+                ) -> list[tuple[int, int, str, str]]:
+    """Mentions without a title, capitalised, of names that the text has behind one. A name that is
+    both is a given name before a family name, and else a family name."""
+    given: dict[str, str] = {}
+    family: set[str] = set()
+    for _, _, kind, canonical in titled:
+        if kind == "family":
+            family.add(canonical)
+        else:
+            given.setdefault(canonical, kind)
+    if not titled:
+        return []
+    words = {text[a:b] for a, b, _, _ in titled} | given.keys() | family
+    known = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, words), key=len, reverse=True))
+                       + r")(?![^\W_])", re.IGNORECASE)
+    taken = {s[0] for s in titled}
+    hits = [m for m in known.finditer(text)
+            if m.start() not in taken and not m.group()[0].islower()]
+    starts = {s[0] for s in titled if s[2] == "family"} | {
+        m.start() for m in hits if m.group().casefold() in family}
+    out = []
+    for m in hits:
+        word = m.group().casefold()
+        if word in given and (word not in family or text[m.end():m.end() + 1] == " "
+                              and m.end() + 1 in starts):
+            out.append((*m.span(), given[word], word))
+        elif word in family:
+            out.append((*m.span(), "family", word))
+    return out
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of every entity, in order, without overlaps. Equal
     entities have equal canonical forms however they are written."""
@@ -264,6 +296,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
                 elif kind != "card" or len(digits) > 15 or text[m.start() - 1:m.start()] != "+":
                     spans.append((*m.span(), kind, digits))
     if any(t in text for t in TITLES):
+        first = len(spans)
         for m in _NAME.finditer(text):
             gender = TITLES[m.group(1)]
             if m.group(4):
@@ -271,6 +304,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
                 spans.append((*m.span(4), "family", m.group(4).casefold()))
             else:
                 spans.append((*m.span(3), "family", m.group(3).casefold()))
+        spans += _bare_names(text, spans[first:])
     rank = {"secret": 0, "email": 1, "ip": 2, "ipv6": 2, "iban": 2, "card": 3, "ssn": 4}
     if not spans:
         return []

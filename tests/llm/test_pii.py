@@ -172,3 +172,22 @@ def test_token_with_and_without_a_label_is_one_entity():
     token = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
     new, _ = pii.replace(f"token={token} then {token}", KEY)
     assert new.split()[0] == "token=" + new.split()[-1] and token not in new
+
+
+def test_bare_names_are_coreferent_with_titled_ones():
+    text = ("Mr. John Smith came. Smith said so; John Smith left, SMITH's dog and Smithers too. "
+            "A smith works. Госпожа Анна Иванова и Анна.")
+    new, n = pii.replace(text, KEY)
+    assert n == 9 and not re.search(r"\b(?:John|Smith|SMITH|Анна|Иванова)\b", new)
+    given, family = re.match(r"Mr\. (\w+) (\w+) came", new).groups()
+    assert f"came. {family} said so; {given} {family} left, {family.upper()}'s dog" in new
+    assert "and Smithers too. A smith works." in new
+    anna = re.search(r"Госпожа (\w+) \w+ и (\w+)\.", new).groups()
+    assert anna[0] == anna[1]
+
+
+def test_bare_name_that_is_given_and_family():
+    text = "Mr. James Hall met Mr. James. James Hall and James spoke."
+    kinds = [s[2:] for s in pii.find(text)]
+    assert kinds == [("given-m", "james"), ("family", "hall"), ("family", "james"),
+                     ("given-m", "james"), ("family", "hall"), ("family", "james")]
