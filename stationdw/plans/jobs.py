@@ -32,7 +32,8 @@ from stationdw.schemas import (DIM_DATE, DIM_STATION, FACT, FACT_KEY, LENGTH_LIM
 from stationdw.session import scratch_dir
 from stationdw.sources.csv_daily import read_daily_csv
 from stationdw.sources.messages import read_raw_stream
-from stationdw.sources.sinks import epoch_folder, write_changelog_stream, write_messages
+from stationdw.sources.sinks import (epoch_folder, reported, write_changelog_stream,
+                                     write_messages)
 from stationdw.sources.tables import materialize
 from stationdw.streaming.jobs import clean_stream, write_staging_stream, write_summary_stream
 
@@ -194,7 +195,8 @@ def load_summary_changelog(spark: SparkSession, changelog: str, table_path: str,
                         "norm_month", stages=merge_stages(checkpoint), epoch=epoch_id)
         rejected.write.mode("overwrite").json(epoch_folder(rejects, checkpoint, epoch_id))
 
-    writer = msgs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
+    writer = reported(msgs.writeStream.option("checkpointLocation", checkpoint)
+                      .foreachBatch(upsert), spark, checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+from pyspark.sql.utils import AnalysisException
 
+from stationdw.session import write_text
 from stationdw.sources.messages import to_raw_messages
 
 
@@ -71,7 +74,8 @@ def write_changelog_stream(summary: DataFrame, keys: list[str], checkpoint: str,
     under ``target`` (a retried epoch replaces it); ``kafka``: to topic ``target``.
     """
     out = changelog_messages(summary, keys)
-    writer = out.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = reported(out.writeStream.outputMode("update")
+                      .option("checkpointLocation", checkpoint), out.sparkSession, checkpoint)
     if sink == "kafka":
         return (writer.format("kafka").options(**(options or {})).option("topic", target)
                 .start())
@@ -90,16 +94,70 @@ def watch(stream_df: DataFrame, name: str, output_mode: str = "append") -> Strea
             .start())
 
 
+_REPORT = "batch_id long, input_rows long, rows_per_second double, state_rows long"
+#: Report folder by name of the query; sessions (by application) that have the listener.
+_REPORT_FOLDERS: dict[str, str] = {}
+_LISTENING: dict[str, StreamingQueryListener] = {}
+
+
+def _report_row(p) -> tuple[int, int, float, int]:
+    state = sum(op.numRowsTotal for op in (p.stateOperators or []))
+    return (int(p.batchId), int(p.numInputRows), float(p.processedRowsPerSecond or 0.0),
+            int(state))
+
+
+class _ReportListener(StreamingQueryListener):
+    """One report row per finished micro-batch, a JSON line in its own folder; a retried batch
+    replaces its row."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        folder = _REPORT_FOLDERS.get(event.progress.name or "")
+        if folder:
+            row = dict(zip(("batch_id", "input_rows", "rows_per_second", "state_rows"),
+                           _report_row(event.progress)))
+            write_text(self.spark, f"{folder}/epoch={row['batch_id']}/report.json",
+                       json.dumps(row) + "\n")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def reported(writer: DataStreamWriter, spark: SparkSession, checkpoint: str) -> DataStreamWriter:
+    """``writer`` as a query whose micro-batches go to the report table in its checkpoint folder,
+    where a restart continues it."""
+    app = spark.sparkContext.applicationId
+    if app not in _LISTENING:
+        _LISTENING[app] = _ReportListener(spark)
+        spark.streams.addListener(_LISTENING[app])
+    name = "stationdw-" + hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:12]
+    _REPORT_FOLDERS[name] = checkpoint.rstrip("/") + "/report"
+    return writer.queryName(name)
+
+
 def stream_report(query: StreamingQuery) -> DataFrame:
-    """Per-micro-batch load report of a streaming query: batch id, input rows, rows per second
-    and state rows (from ``StreamingQueryProgress``; bounded by the progress history kept)."""
-    from pyspark.sql import SparkSession
+    """Per-micro-batch load report of a stream of this package, over all its runs with one
+    checkpoint: batch id, input rows, rows per second and state rows.
 
+    Read from the report table; the progress history the query still holds (the last batches)
+    stands in for rows that the listener has yet to write.
+    """
     spark = SparkSession.getActiveSession()
-    rows = []
-    for p in query.recentProgress:
-        state = sum(op.numRowsTotal for op in (p.stateOperators or []))
-        rows.append((int(p.batchId), int(p.numInputRows), float(p.processedRowsPerSecond or 0.0),
-                     int(state)))
-    return spark.createDataFrame(
-        rows, "batch_id long, input_rows long, rows_per_second double, state_rows long")
+    recent = spark.createDataFrame([_report_row(p) for p in query.recentProgress], _REPORT)
+    folder = _REPORT_FOLDERS.get(query.name or "")
+    if not folder:
+        return recent
+    try:
+        stored = (spark.read.schema(_REPORT).option("recursiveFileLookup", "true").json(folder)
+                  .where("batch_id IS NOT NULL"))
+    except AnalysisException:  # nothing written yet
+        return recent
+    return stored.join(recent, "batch_id", "left_anti").unionByName(recent)

@@ -16,7 +16,7 @@ at-least-once sink.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,7 +25,7 @@ from stationdw.operators.clean import clean_readings, split_valid
 from stationdw.operators.upsert import merge_into_path, merge_stages
 from stationdw.schemas import (LENGTH_LIMITS, NOT_NULL, PRCP, STAGING_KEY, SUMMARY_KEY, TEMP)
 from stationdw.sources.messages import decode_staging, parse_raw
-from stationdw.sources.sinks import epoch_folder
+from stationdw.sources.sinks import epoch_folder, reported
 
 
 def clean_stream(raw: DataFrame) -> DataFrame:
@@ -46,7 +46,9 @@ def summary_rows(summary: DataFrame) -> DataFrame:
     )
 
 
-def _trigger(writer, available_now: bool, processing_time: str | None):
+def _trigger(writer, available_now: bool, processing_time: str | None, spark: SparkSession,
+             checkpoint: str):
+    writer = reported(writer, spark, checkpoint)
     if available_now:
         return writer.trigger(availableNow=True)
     if processing_time:
@@ -67,7 +69,8 @@ def write_summary_stream(raw: DataFrame, table_path: str, checkpoint: str,
 
     writer = (summary.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
               .foreachBatch(upsert))
-    return _trigger(writer, available_now, processing_time).start()
+    return _trigger(writer, available_now, processing_time, raw.sparkSession,
+                    checkpoint).start()
 
 
 def write_clean_stream(raw: DataFrame, path: str, checkpoint: str, available_now: bool = False,
@@ -91,7 +94,8 @@ def write_clean_stream(raw: DataFrame, path: str, checkpoint: str, available_now
         writer = writer.format(fmt).option("path", path)
         if fmt == "json":
             writer = writer.option("ignoreNullFields", "false")
-    return _trigger(writer, available_now, processing_time).start()
+    return _trigger(writer, available_now, processing_time, raw.sparkSession,
+                    checkpoint).start()
 
 
 def staging_rows(batch: DataFrame, decoded: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -129,4 +133,5 @@ def write_staging_stream(raw: DataFrame, table_path: str, quarantine_path: str,
             decoded.unpersist()
 
     writer = (raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert))
-    return _trigger(writer, available_now, processing_time).start()
+    return _trigger(writer, available_now, processing_time, raw.sparkSession,
+                    checkpoint).start()

@@ -254,3 +254,27 @@ def test_query_topic_repeats_keys_in_later_files(spark):
                           F.get_json_object("value", "$.norm_date").alias("d"),
                           F.input_file_name().alias("file")).distinct()
     assert not places.groupBy("s", "d").count().where("count > 1").isEmpty()
+
+
+def test_report_keeps_batches_that_spark_forgets(spark, tmp_path):
+    import time
+    from stationdw.sources.sinks import stream_report
+    from stationdw.streaming.jobs import write_clean_stream
+    folder, out, ck = (str(tmp_path / n) for n in ("topic", "clean", "ck"))
+    rows = sample_messages(spark)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        for part in (rows[:300], rows[300:]):       # the second run is a restart
+            write_files(folder, part, 5)
+            q = write_clean_stream(stream(spark, folder), out, ck, available_now=True)
+            run_to_end(q)
+        assert len(q.recentProgress) <= 2
+        for _ in range(50):                        # the listener runs beside the stream
+            report = stream_report(q).collect()
+            if len(report) == 10:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert sorted(r.batch_id for r in report) == list(range(10))
+    assert sum(r.input_rows for r in report) == 365
