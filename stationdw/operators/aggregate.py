@@ -99,11 +99,12 @@ def compare_entities(monthly: DataFrame, entity_col: str, left: str, right: str,
 
 def annual_profile(monthly: DataFrame, entity_cols: Sequence[str], id_col: str,
                    year_col: str = "year_num", month_col: str = "month_num",
-                   distributed: bool | None = None) -> DataFrame:
+                   distributed: bool = True) -> DataFrame:
     """Yearly profile per entity with its wettest month and the range rank within the year.
 
     Wettest month: largest month total, ties to the earlier month (first row per entity-year).
-    Rank: RANK() OVER (PARTITION BY year ORDER BY range DESC), distributed for large inputs.
+    Rank: RANK() OVER (PARTITION BY year ORDER BY range DESC), range-partitioned
+    at every size; ``distributed=False`` asks for one window task per year.
     """
     annual = monthly.groupBy(*entity_cols, year_col).agg(
         F.round(F.avg("monthly_avg_temperature_f"), 2).alias("annual_avg_temperature"),
@@ -122,10 +123,9 @@ def annual_profile(monthly: DataFrame, entity_cols: Sequence[str], id_col: str,
     ).select(id_col, year_col, F.col("month_name").alias("wettest_month_name"),
              F.col("monthly_total_precipitation_in").alias("wettest_month_precipitation"))
     joined = annual.join(wettest, [id_col, year_col])
-    if distributed is None:
-        # Decide by size on a written copy: the check and the rank then read the small annual
-        # table instead of re-running the monthly rollup behind it.
-        from stationdw.sources.tables import materialize
-        joined = materialize(joined, "annual")
+    # Written once: the rank reads its input several times, and then reads the small annual table
+    # instead of re-running the monthly rollup behind it.
+    from stationdw.sources.tables import materialize
+    joined = materialize(joined, "annual")
     return rank_within(joined, [year_col], ["annual_temperature_range"], [False],
                        "annual_temperature_range_rank", distributed=distributed)

@@ -81,7 +81,7 @@ def q4_gap_rank(monthly: DataFrame, first: str, second: str, first_label: str,
     ).orderBy("temperature_difference_rank", "year_num", "month_num")
 
 
-def q5_annual_profile(monthly: DataFrame, distributed: bool | None = None) -> DataFrame:
+def q5_annual_profile(monthly: DataFrame, distributed: bool = True) -> DataFrame:
     """Yearly profile per station with wettest month and temperature-range rank."""
     out = annual_profile(monthly, ["station_id", "station_name"], "station_id",
                          distributed=distributed)

@@ -98,3 +98,9 @@ def test_month_slice_reads_one_month(spark):
     text = plan_text(entry.queries()["month_slice"](spark, SF_SMALL))
     filters = [line for line in text.splitlines() if "PartitionFilters: [" in line]
     assert any("date_month" in line.split("PartitionFilters: [")[1] for line in filters)
+
+
+def test_annual_profile_has_no_window_per_year(spark):
+    df = entry.queries()["q5_annual_profile"](spark, SF_SMALL)
+    windows = [line for line in (optimized(df) + plan_text(df)).splitlines() if "Window" in line]
+    assert not any("year_num" in line for line in windows)
