@@ -19,22 +19,34 @@ from pyspark.sql import functions as F
 from .common import columns_of, ship_package, stage
 
 INDEX = ("block long, ids array<long>, widths array<int>, lows array<long>, slices binary")
-#: Larger attributes could overflow a long score; such vectors take no part.
-LARGEST = 1 << 26
+#: Quantised attributes are below this, so that the difference of two fits a long.
+LARGEST = 1 << 62
 
 
 def quantise(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id",
              vector_col: str = "embedding") -> DataFrame:
-    """``vec_id, q`` (q: array of floor(scale * x)). Null vectors and vectors with a null, a
-    non-finite or a component beyond ``LARGEST / scale`` are left out."""
+    """``vec_id, q`` (q: array of floor(scale * x)). Null vectors and vectors with a null or a
+    non-finite component, or one beyond ``LARGEST / scale``, are left out."""
     read = columns_of(vectors, vec_id=id_col, v=vector_col)
     fit = F.forall("v", lambda x: F.coalesce(
-        F.abs(x.cast("double")) * scale < LARGEST, F.lit(False)))
+        F.abs(x.cast("double")) * scale < float(LARGEST), F.lit(False)))
     return (read.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fit)
             .select(F.col("vec_id").cast("long").alias("vec_id"),
                     F.transform("v", lambda x: F.floor(x.cast("double") * scale)).alias("q")))
 
 
+def check_sums(rows: DataFrame, queries: DataFrame) -> None:
+    """Raise an error unless the largest sum the vectors could give, by the largest size of each
+    attribute (one row per attribute), fits a long."""
+    def sizes(df, name):
+        each = df.select(F.posexplode("q").alias("d", "x"))
+        return each.groupBy("d").agg(F.max(F.abs("x")).alias(name))
+
+    both = sizes(rows, "row").join(sizes(queries, "query"), "d").collect()
+    if sum(r["row"] * r["query"] for r in both) >= 1 << 63:
+        raise OverflowError("an inner product of the quantised vectors may not fit a long")
+
+
 def _matrix(vectors) -> np.ndarray:
     """Rows of equal length; shorter vectors end in zeros, which add nothing to a score."""
     width = max((len(v) for v in vectors), default=0)
@@ -90,8 +102,9 @@ class Block:
         weight = np.zeros(len(self.lows), np.int64)
         weight[:n] = weights[:n]
         size, negative = np.abs(weight), weight < 0
-        base = int((weight * self.lows).sum()
-                   - (size * ((1 << self.widths) - 1))[negative].sum())
+        # Modulo 2^64, as are the scores: exact, because a whole score fits a long.
+        flipped = (size * ((1 << self.widths) - 1))[negative]
+        base = int(np.concatenate([weight * self.lows, -flipped]).sum())
         rows = np.arange(self.count) + np.where(negative[self.dim], self.count, 0)
         size = size[self.dim]
         waiting: list[list[np.ndarray]] = []
@@ -146,7 +159,7 @@ class Block:
         rows = np.concatenate([self._rows(chosen), self._rows(open_rows)[:k - n_chosen]])
         word, bit = rows // 64, (rows % 64).astype(np.uint64)
         scores = np.full(len(rows), base, np.int64)
-        for place, s in enumerate(slices):
+        for place, s in enumerate(slices[:64]):
             scores += (s[word] >> bit & np.uint64(1)).astype(np.int64) << place
         return self.ids[rows], scores
 
@@ -196,6 +209,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64,
     """
     rows = stage(quantise(vectors, scale, id_col, vector_col), "quantised")
     queries = rows.where(F.col("vec_id") % every == 0)
+    check_sums(rows, queries)
     n_blocks = max(1, -(-rows.count() // block_rows))
     n_parts = max(1, -(-queries.count() // query_rows))
     index = stage(build_index(rows, n_blocks), "slices")

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -62,3 +64,25 @@ def test_scores_in_slices_are_the_sums():
         total = sum(np.unpackbits(s.view(np.uint8), bitorder="little").astype(int) << i
                     for i, s in enumerate(slices))[:130] + base
         assert total.tolist() == (q @ w).tolist()
+
+
+def test_large_finite_components_are_kept(spark):
+    rows = [(0, [3e6, -1.0]), (1, [2.0**21, 5.0]), (2, [-2.0**24, 0.5]), (3, [1.0, 1.0]),
+            (20, [2.0**24, -2.0**24]), (21, [2.0**20, 0.0]), (22, [float("inf"), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in topk.top_k(df, k=5).collect()}
+    q = {i: [math.floor(x * 64) for x in v] for i, v in rows if i != 22}
+    assert got == {(a, b): sum(x * y for x, y in zip(q[a], q[b]))
+                   for a in (0, 20) for b in q if a != b}
+
+
+def test_sums_up_to_a_long_are_exact_and_larger_ones_fail(spark):
+    def run(rows):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        return {(r["query_id"], r["vec_id"]): r["score"] for r in topk.top_k(df, scale=1).collect()}
+
+    big = 2.0**30
+    got = run([(0, [big, -big]), (1, [2.0**31, -2.0**31]), (2, [-2.0**31, 2.0**31]), (3, [0.0, 7.0])])
+    assert got == {(0, 1): 2**62, (0, 2): -2**62, (0, 3): -7 * 2**30}
+    with pytest.raises(OverflowError):
+        run([(0, [2.0**31, 0.0]), (1, [2.0**32, 1.0])])
