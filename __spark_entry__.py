@@ -278,14 +278,15 @@ def summary_rejected(spark, sf):
 
 
 def month_slice(spark, sf):
-    """The event staging table loaded into a warehouse; the fact rows of one month, read from
-    that month's files alone."""
+    """The event staging table loaded into a warehouse; the fact rows of its latest month, read
+    from that month's files alone."""
     table, warehouse = scratch_dir(spark, "month-staging"), scratch_dir(spark, "month-warehouse")
     (event_staging(spark, sf)["staging"].withColumn("created_at", F.current_timestamp())
      .withColumn("norm_month", F.date_format("norm_date", "yyyyMM"))
      .write.partitionBy("norm_month").parquet(table))
     jobs.load_warehouse(spark, table, warehouse)
-    fact = jobs.read_fact_months(spark, warehouse, 202401, 202401)
+    month = jobs.latest_fact_month(spark, warehouse)
+    fact = jobs.read_fact_months(spark, warehouse, month, month)
     return plain_types(fact.join(jobs.read_star(spark, warehouse)["dim_station"], "station_key")
                        .select("station_id", "date_key", "dly_tmin_normal", "dly_tmax_normal",
                                "mtd_prcp_normal"))

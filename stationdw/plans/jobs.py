@@ -129,6 +129,12 @@ def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     }
 
 
+def latest_fact_month(spark: SparkSession, warehouse: str) -> int:
+    """The greatest month (yyyyMM) of the stored fact; no other column is read."""
+    fact = spark.read.schema(FACT_STORED).parquet(star_paths(warehouse)["fact"])
+    return fact.agg(F.max("date_month")).first()[0]
+
+
 def read_fact_months(spark: SparkSession, warehouse: str, first: int, last: int) -> DataFrame:
     """Fact rows of the months ``first`` to ``last`` (yyyyMM); other months' files are not read."""
     fact = spark.read.schema(FACT_STORED).parquet(star_paths(warehouse)["fact"])

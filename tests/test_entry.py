@@ -58,3 +58,17 @@ def test_query_matches_oracle(spark, duck, name):
     for col, spark_type in df.dtypes:
         assert SPARK_TO_DUCK.get(spark_type, spark_type.upper()) == duck_types[col], col
     assert canonical(df.columns, rows) == canonical(ocols, orows)
+
+
+def test_month_slice_takes_the_latest_month_of_the_data(spark, monkeypatch):
+    rows = spark.sql("""SELECT concat('S', s) AS station_id, concat('N', s) AS station_name,
+        CAST(1 AS DECIMAL(8,2)) AS elevation, CAST(2 AS DECIMAL(10,6)) AS latitude,
+        CAST(3 AS DECIMAL(10,6)) AS longitude, d AS norm_date,
+        CAST(4 AS DECIMAL(7,2)) AS dly_tmin_normal, CAST(5 AS DECIMAL(7,2)) AS dly_tmax_normal,
+        CAST(6 AS DECIMAL(10,2)) AS mtd_prcp_normal
+        FROM (SELECT explode(array(1, 2)) AS s), (SELECT explode(array(DATE'2023-11-30',
+        DATE'2024-01-02', DATE'2024-03-04', DATE'2024-03-05')) AS d)""")
+    monkeypatch.setattr(entry, "event_staging", lambda spark, sf: {"staging": rows})
+    got = entry.month_slice(spark, SF_SMALL).collect()
+    assert sorted((r.station_id, r.date_key) for r in got) == [
+        (s, d) for s in ("S1", "S2") for d in (20240304, 20240305)]
