@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, iblt, langid, mixing, pii, simhash, substrings, tokencount, topk, warc
+from . import alignment, bpe, iblt, langid, mixing, pii, simhash, substrings, tokencount, topk, warc
 from .common import read_table
 
 #: The key of the registered query; a deployment passes its own.
@@ -64,10 +64,16 @@ def op10_whole_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokencount.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_identity_map_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ecoc_language_id, op2_pii_surrogates, op3_simhash_pigeonring, op4_warc_segments,
     op5_anchor_substrings, op6_iblt_fingerprints, op7_subset_sum_mix, op8_bitsliced_topk,
-    op9_bpe_forced_boundaries, op10_whole_token_counts)}
+    op9_bpe_forced_boundaries, op10_whole_token_counts, op12_identity_map_alignment)}
 
 ORACLE_SQL = {
     "op4_warc_segments": """
