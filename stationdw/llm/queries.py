@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, iblt, langid, mixing, pii, simhash, substrings, tokencount, topk, warc
+from . import alignment, bpe, iblt, langid, mixing, pii, simhash, substrings, tokencount, topk, trie, warc
 from .common import read_table
 
 #: The key of the registered query; a deployment passes its own.
@@ -64,6 +64,11 @@ def op10_whole_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokencount.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_block_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    own = trie.turns(read_table(spark, sf, "conversations", ["conv_id", "turn", "role", "text"]))
+    return trie.prefix_trie(*trie.shared_beginnings(own))
+
+
 def op12_identity_map_alignment(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"),
@@ -73,7 +78,8 @@ def op12_identity_map_alignment(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ecoc_language_id, op2_pii_surrogates, op3_simhash_pigeonring, op4_warc_segments,
     op5_anchor_substrings, op6_iblt_fingerprints, op7_subset_sum_mix, op8_bitsliced_topk,
-    op9_bpe_forced_boundaries, op10_whole_token_counts, op12_identity_map_alignment)}
+    op9_bpe_forced_boundaries, op10_whole_token_counts, op11_block_prefix_trie,
+    op12_identity_map_alignment)}
 
 ORACLE_SQL = {
     "op4_warc_segments": """
@@ -135,4 +141,42 @@ ORACLE_SQL = {
         FROM s
         WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER best <= 20""",
+    "op11_block_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id AS c, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS turn,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+                       AS p
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT c, list(turn ORDER BY p) AS ts,
+                   (xor(list_reduce([4294967295::UBIGINT] || [ascii(x)::UBIGINT
+                                     for x in string_split(c::VARCHAR, '')],
+                       lambda s, x: list_reduce([xor(s, x)] || [0::UBIGINT for i in range(8)],
+                           lambda y, i: xor(y >> 1, 3988292384::UBIGINT * (y & 1)))),
+                    4294967295::UBIGINT) % 9)::BIGINT AS h
+            FROM t GROUP BY c
+        ), conv AS (
+            SELECT a.c, coalesce(b.ts[1:a.h], []) || a.ts[a.h + 1:] AS ts
+            FROM own a LEFT JOIN own b ON b.c = a.c - a.c % 5
+        ), prefixes AS (
+            SELECT c, d, ts[1:d] AS path, len(ts) = d AS ends
+            FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM conv)
+        ), node AS (
+            SELECT path, d, min(c) AS rep, count(*) AS n,
+                   string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends) AS done
+            FROM prefixes GROUP BY path, d
+        ), child AS (
+            SELECT path[1:d - 1] AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
+        ), below AS (
+            SELECT a.path, sum((child.n IS NULL)::INT) AS leaves,
+                   sum((w.n - 1) * strlen(coalesce(w.path[w.d].text, ''))) AS saved
+            FROM node w LEFT JOIN child ON child.path = w.path
+            JOIN prefixes a ON a.c = w.rep AND a.d <= w.d
+            GROUP BY a.path
+        )
+        SELECT v.rep AS conv_id, v.d AS depth, up.rep AS parent_conv_id, v.n AS n_convs,
+               coalesce(child.n, 0) AS n_children, below.leaves::BIGINT AS n_leaves,
+               below.saved::BIGINT AS saved_tokens, sha256(coalesce(v.done, '')) AS ends_sha256
+        FROM node v JOIN below USING (path) LEFT JOIN child ON child.path = v.path
+        LEFT JOIN node up ON v.d > 0 AND up.path = v.path[1:v.d - 1]""",
 }
