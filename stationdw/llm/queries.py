@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, iblt, langid, mixing, pii, simhash, substrings, tokencount, topk, trie, warc
+from . import alignment, bpe, iblt, langid, licenses, mixing, pii, simhash, substrings, tokencount, topk, trie, warc
 from .common import read_table
 
 #: The key of the registered query; a deployment passes its own.
@@ -75,11 +75,15 @@ def op12_identity_map_alignment(spark: SparkSession, sf: str) -> DataFrame:
                            public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_rare_word_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf, "documents", ["doc_id", "text"]))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ecoc_language_id, op2_pii_surrogates, op3_simhash_pigeonring, op4_warc_segments,
     op5_anchor_substrings, op6_iblt_fingerprints, op7_subset_sum_mix, op8_bitsliced_topk,
     op9_bpe_forced_boundaries, op10_whole_token_counts, op11_block_prefix_trie,
-    op12_identity_map_alignment)}
+    op12_identity_map_alignment, op13_rare_word_licenses)}
 
 ORACLE_SQL = {
     "op4_warc_segments": """
