@@ -57,7 +57,7 @@ _RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 class Pair:
     """Both tokenizers and what is known of their vocabularies."""
 
-    def __init__(self, path_a: str, path_b: str, cache_size: int = 60_000):
+    def __init__(self, path_a: str, path_b: str, cache_bytes: int = 150 << 20):
         with open(path_a, encoding="utf-8") as f:
             spec = json.load(f)
         if (spec["normalizer"] is not None or spec["model"]["type"] != "BPE"
@@ -103,7 +103,7 @@ class Pair:
         self._len_a = list(map(len, self.bytes_a))
         self._len_b = list(map(len, self.bytes_b))
         self._cache: dict[str, tuple | None] = {}
-        self._cache_size = cache_size
+        self._cache_bytes, self._cached = cache_bytes, 0
 
     def _align(self, stretch: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
         """Counts, links and groups of one stretch (which begins with a space or line break);
@@ -155,8 +155,9 @@ class Pair:
         """The stretches of every text (none for an empty one) and a table of all of them."""
         cut = [_CUT.split(" " + t) if t else [] for t in texts]
         known, missing = {}, []
-        if len(self._cache) > self._cache_size:
+        if self._cached > self._cache_bytes:
             self._cache.clear()
+            self._cached = 0
         for s in set(chain.from_iterable(cut)):
             if s in self._cache:
                 known[s] = self._cache[s]
@@ -167,8 +168,9 @@ class Pair:
             coded = self.a.encode_batch_fast(some, add_special_tokens=False)
             for s, a, b in zip(some, coded, self._encode_b(some)):
                 known[s] = found = self._align(s, a.ids, b)
-                if len(s) <= 64 and len(self._cache) <= 2 * self._cache_size:
+                if len(s) <= 64 and self._cached <= self._cache_bytes:
                     self._cache[s] = found
+                    self._cached += 400 + 12 * len(s)  # what an entry takes, about
         return cut, known
 
 
