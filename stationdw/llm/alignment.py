@@ -17,6 +17,12 @@ is sent to every task has a length fixed by the vocabularies.
 
 Texts are cut where both tokenizers certainly cut (a single space or line break between two
 signs that are no white space), so that a stretch met again is not encoded again.
+
+A's stretches of Latin letters go through the faster of two installed libraries. It joins any
+neighbours whose union is a token, lowest id first, while the file names one pair for every
+token. Both do the same if ids follow the merges' order and every token's own bytes come back as
+that one token (a union's bytes are then always met in its named halves); this is proven for the
+whole vocabulary when it is loaded, and otherwise the file's own library does all stretches.
 """
 
 from __future__ import annotations
@@ -28,8 +34,10 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +50,8 @@ from .common import columns_of, pieces, ship_package, stage
 SPACE = "▁"  # how the piece model writes a space
 #: In front of a single space or line break that stands between signs that are no white space.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Signs above Latin: what counts as a letter there differs between versions of Unicode.
+_BEYOND_LATIN = re.compile("[\u0250-\U0010ffff]")
 
 _BLOCK = ("block long, doc_id array<long>, n_a array<int>, n_b array<int>, n_groups array<int>, "
           "n_links array<int>, groups_sha256 array<string>, "
@@ -74,6 +84,8 @@ class Pair:
         self.size_a, self.size_b = max(vocab.values()) + 1, self.b.vocab_size()
         if self.size_a * self.size_b >= 1 << 31:
             raise ValueError("a pair of ids has to fit 31 bits")
+        if not set(_byte_signs()) <= vocab.keys():
+            raise ValueError("A has no token for some byte")
         byte_of = {c: n for n, c in enumerate(_byte_signs())}
         self.bytes_a = [b""] * self.size_a
         for token, i in vocab.items():
@@ -99,52 +111,84 @@ class Pair:
                     id_of[self.bytes_b[i]] = i
         #: The B id of the same bytes for every A id, -1 where there is none.
         self.same = np.array([id_of.get(x, -1) if x else -1 for x in self.bytes_a], np.int32)
-        self._same = self.same.tolist()
-        self._len_a = list(map(len, self.bytes_a))
-        self._len_b = list(map(len, self.bytes_b))
+        self._len_a = np.array(list(map(len, self.bytes_a)))
+        self._len_b = np.array(list(map(len, self.bytes_b)))
+        self._fast = self._proven(spec["model"], special)
+        # an id of A, the last of A in its group, an id of B, the last of B in its group
+        self._text = [f"{i}{end}" for n, end in ((self.size_a, ","), (self.size_a, "|"),
+                                                 (self.size_b, ","), (self.size_b, ";"))
+                      for i in range(n)]
         self._cache: dict[str, tuple | None] = {}
         self._cache_bytes, self._cached = cache_bytes, 0
 
-    def _align(self, stretch: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
-        """Counts, links and groups of one stretch (which begins with a space or line break);
-        None if the tokens' bytes are not those of the stretch."""
-        raw = stretch.encode()
-        if b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw \
-                or b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw:
+    def _proven(self, model: dict, special: set[str]) -> tiktoken.Encoding | None:
+        """The faster library with A's vocabulary, if it is sure to give the same ids."""
+        vocab = {t: i for t, i in model["vocab"].items() if t not in special}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        order = [vocab[a + b] for a, b in merges]
+        if (order != sorted(set(order)) or len(order) + 256 != len(vocab)
+                or any(len(self.a.model.tokenize(t)) != 1 for t in vocab)):
             return None
-        same, links, groups = [], [], []
-        i = j = first_i = first_j = 0
-        end_a, end_b = self._len_a[ids_a[0]], self._len_b[ids_b[0]]
-        open_links: list[int] = []
-        while True:
-            open_links.append(ids_a[i] * self.size_b + ids_b[j])
-            if end_a == end_b:
-                if i == first_i and j == first_j:
-                    if self._same[ids_a[i]] == ids_b[j]:
-                        same.append(ids_a[i])
-                    else:
-                        links += open_links
-                    groups.append(f"{ids_a[i]}|{ids_b[j]}")
-                else:
-                    links += open_links
-                    groups.append(",".join(map(str, ids_a[first_i:i + 1])) + "|"
-                                  + ",".join(map(str, ids_b[first_j:j + 1])))
-                open_links.clear()
-                i, j = i + 1, j + 1
-                if i == len(ids_a):
-                    break
-                first_i, first_j = i, j
-                end_a += self._len_a[ids_a[i]]
-                end_b += self._len_b[ids_b[j]]
-            elif end_a < end_b:
-                i += 1
-                end_a += self._len_a[ids_a[i]]
+        return tiktoken.Encoding("A", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                 mergeable_ranks={self.bytes_a[i]: i for i in vocab.values()})
+
+    def encode_a(self, stretches: list[str]) -> list[list[int]]:
+        if self._fast is None:
+            return [x.ids for x in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
+        plain = self._fast.encode_ordinary
+        out = [None if _BEYOND_LATIN.search(s) else plain(s) for s in stretches]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        coded = self.a.encode_batch_fast([stretches[i] for i in rest], add_special_tokens=False)
+        for i, x in zip(rest, coded):
+            out[i] = x.ids
+        return out
+
+    def _align(self, stretches: list[str]) -> dict[str, tuple | None]:
+        """Sizes, irregular links, regular groups' A ids (as bytes of 32-bit integers) and the
+        groups' text of every stretch; None if B's tokens do not give the stretch back."""
+        out: dict[str, tuple | None] = {}
+        good = []
+        for s, a, b in zip(stretches, self.encode_a(stretches), self._encode_b(stretches)):
+            if b"".join(map(self.bytes_b.__getitem__, b)) == s.encode():
+                good.append((s, a, b))
             else:
-                j += 1
-                end_b += self._len_b[ids_b[j]]
-        return (np.array([len(ids_a), len(ids_b), len(groups)], np.int32).tobytes(),
-                np.array(links, np.int32).tobytes(), np.array(same, np.int32).tobytes(),
-                ";".join(groups))
+                out[s] = None
+        if not good:
+            return out
+        names, coded_a, coded_b = zip(*good)
+        n_a = np.fromiter(map(len, coded_a), np.int64, len(good))
+        n_b = np.fromiter(map(len, coded_b), np.int64, len(good))
+        ids_a = np.fromiter(chain.from_iterable(coded_a), np.int64, n_a.sum())
+        ids_b = np.fromiter(chain.from_iterable(coded_b), np.int64, n_b.sum())
+        ends_a, ends_b = np.cumsum(self._len_a[ids_a]), np.cumsum(self._len_b[ids_b])
+        # between neighbouring ends of any token lie the bytes of one link
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        link_a, link_b = ids_a[at_a], ids_b[at_b]
+        joint = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
+        alone = joint & np.concatenate([[True], joint[:-1]])
+        regular = alone & (self.same[link_a] == link_b)
+        last = np.searchsorted(ends, ends_a[np.cumsum(n_a) - 1])  # the last link of a stretch
+        links = (link_a * self.size_b + link_b)[~regular].astype(np.int32).tobytes()
+        same = link_a[regular].astype(np.int32).tobytes()
+        link_ends = (4 * np.cumsum(~regular)[last]).tolist()
+        same_ends = (4 * np.cumsum(regular)[last]).tolist()
+        n_groups = np.diff(np.cumsum(joint)[last], prepend=0)
+        sizes = np.stack([n_a, n_b, n_groups], axis=1).astype(np.int32).tobytes()
+        # tokens as text, group by group, A's before B's
+        cuts = ends[joint]
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        signs = np.concatenate([ids_a + self.size_a * (cuts[group_a] == ends_a),
+                                2 * self.size_a + ids_b + self.size_b * (cuts[group_b] == ends_b)])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        texts = list(map(self._text.__getitem__, signs[order].tolist()))
+        x = y = z = 0
+        for i, (name, x2, y2, z2) in enumerate(zip(names, link_ends, same_ends,
+                                                   np.cumsum(n_a + n_b).tolist())):
+            out[name] = (sizes[12 * i:12 * i + 12], links[x:x2], same[y:y2],
+                         "".join(texts[z:z2]))
+            x, y, z = x2, y2, z2
+        return out
 
     def _encode_b(self, stretches: list[str]) -> list[list[int]]:
         """B puts a space in front itself; in front of a line break it goes again."""
@@ -153,7 +197,7 @@ class Pair:
 
     def stretches(self, texts: list[str]) -> list[tuple[list[str], dict]]:
         """The stretches of every text (none for an empty one) and a table of all of them."""
-        cut = [_CUT.split(" " + t) if t else [] for t in texts]
+        cut = list(map(_cut, texts))
         known, missing = {}, []
         if self._cached > self._cache_bytes:
             self._cache.clear()
@@ -165,15 +209,23 @@ class Pair:
                 missing.append(s)
         for at in range(0, len(missing), 2000):
             some = missing[at:at + 2000]
-            coded = self.a.encode_batch_fast(some, add_special_tokens=False)
-            for s, a, b in zip(some, coded, self._encode_b(some)):
-                known[s] = found = self._align(s, a.ids, b)
+            for s, found in self._align(some).items():
+                known[s] = found
                 if len(s) <= 64 and self._cached <= self._cache_bytes:
                     self._cache[s] = found
                     self._cached += 400 + 12 * len(s)  # what an entry takes, about
         return cut, known
 
 
+def _cut(text: str) -> list[str]:
+    """The stretches of " " + text."""
+    if "\0" not in text and " ".join(text.split()) == text.replace("\n", " "):
+        # nothing but single spaces and line breaks: the same cuts without a pattern
+        parts = (" " + text).replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        return parts[1:] if text else []
+    return _CUT.split(" " + text)
+
+
 def _byte_signs() -> list[str]:
     """The printable stand-in of every byte in byte-level vocabularies."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -214,7 +266,7 @@ def _block_row(both: Pair, ids: list, texts: list[str | None], vector: np.ndarra
             where.append(values)
             times.append(often)
         counts.append([*n.tolist(), int(link_times[-1].sum() + same_times[-1].sum())])
-        shas.append(hashlib.sha256(";".join(groups).encode()).hexdigest() if found else "")
+        shas.append(hashlib.sha256("".join(groups)[:-1].encode()).hexdigest() if found else "")
     links, times = _joined(link_parts), _joined(link_times)
     pairs, places = np.unique(links, return_inverse=True)
     same, same_n = _joined(same_parts), _joined(same_times)
