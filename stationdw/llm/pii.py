@@ -19,12 +19,13 @@ import hashlib
 import hmac
 import ipaddress
 import re
-from functools import lru_cache
+import unicodedata
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stage
+from .common import arrow_map, keeps_tables, stage
 
 # ---- keyed permutation ----------------------------------------------------------------------
 
@@ -56,6 +57,36 @@ ALPHABETS = (
     "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕЁИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ",
 )
 _ALPHABET_OF = {c: a for a in ALPHABETS for c in a}
+#: Signs that one step of the permutation takes; longer values are chained.
+_STEP = 64
+
+
+@lru_cache(maxsize=256)
+def _kin(script: str, category: str, row: int) -> str:
+    """Letters (or digits) of a script and case in one row of 128 code points, those whose case
+    changes to more than one sign and back left out."""
+    out = []
+    for n in range(row << 7, (row + 1) << 7):
+        c = chr(n)
+        if (unicodedata.category(c) == category and unicodedata.name(c, "").split(" ")[0] == script
+                and len(c.upper()) == len(c.lower()) == len(c.casefold()) == 1
+                and (category != "Ll" or c.casefold() == c) and c not in _ALPHABET_OF):
+            out.append(c)
+    return "".join(out)
+
+
+def _alphabet(c: str) -> str | tuple[int, int] | None:
+    """What a sign may change to: its listed alphabet, a range of a large script, or its own
+    script, case and row of Unicode; None for signs that stay."""
+    if (known := _ALPHABET_OF.get(c) or _letter_range(c)) or c.isascii():
+        return known
+    category = unicodedata.category(c)
+    if category in ("Lu", "Ll", "Lo", "Lm", "Lt", "Nd"):
+        kin = _kin(unicodedata.name(c, "").split(" ")[0], category, ord(c) >> 7)
+        if c in kin and len(kin) > 1:
+            return kin
+        return "abcdefghijklmnopqrstuvwxyz" + c  # alone of its kind: may become a plain letter
+    return None
 _WIDE = ((0x4E00, 0x9FFF), (0x3041, 0x3096), (0x30A1, 0x30FA), (0xAC00, 0xD7A3))
 
 
@@ -64,14 +95,31 @@ def _letter_range(c: str) -> tuple[int, int] | None:
 
 
 def permute_text(key: bytes, tweak: str, text: str, alphabet: str | None = None) -> str:
-    """Every letter and digit changes within its alphabet (or within ``alphabet``); all values
-    of the same pattern are permuted among themselves, and other characters stay."""
-    sets = []
-    for c in text:
-        if alphabet is not None:
-            sets.append(alphabet if c in alphabet else None)
-        else:
-            sets.append(_ALPHABET_OF.get(c) or _letter_range(c))
+    """Every letter and digit changes within its alphabet (or within ``alphabet``); other signs
+    stay. Values of one pattern are permuted among themselves.
+
+    A value is permuted ``_STEP`` signs at a time, so the time grows with its length. The steps
+    of a longer one are chained, forward and then backward: each depends on the results of all
+    before it, which still is a permutation, and the whole result depends on every sign.
+    """
+    parts = [text[i:i + _STEP] for i in range(0, len(text), _STEP)] or [""]
+    if len(parts) == 1:
+        return _permute_part(key, tweak, text, alphabet)
+    for way in ("forward", "backward"):
+        seen, out = hashlib.sha256(key), []
+        for n, part in enumerate(parts):
+            out.append(_permute_part(key, f"{tweak}|{way}|{n}|{len(text)}|{seen.hexdigest()}", part,
+                                     alphabet))
+            seen.update(out[-1].encode())
+        parts = out[::-1]
+    return "".join(parts)
+
+
+def _permute_part(key: bytes, tweak: str, text: str, alphabet: str | None) -> str:
+    if alphabet is not None:
+        sets = [alphabet if c in alphabet else None for c in text]
+    else:
+        sets = list(map(_alphabet, text))
     radix = [len(s) if isinstance(s, str) else s[1] - s[0] + 1 if s else 1 for s in sets]
     value, size = 0, 1
     for c, s, r in zip(text, sets, radix):
@@ -103,14 +151,25 @@ NAMES = {
     "greek": {"m": "Γιώργος Νίκος Κώστας Δημήτρης Παύλος Αλέξης".split(),
               "f": "Μαρία Ελένη Αννα Σοφία Κατερίνα Ειρήνη".split()},
 }
-#: Forms of address and the gender they tell.
+#: Given names that the lists don't hold are put together: syllables and an ending by gender.
+SYLLABLES = {"latin": ("bcdfghjklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу"),
+             "greek": ("βγδκλμνπρστφ", "αεηιο")}
+ENDINGS = {"latin": {"m": "bert mond ron ton us vin".split(), "f": "bella dia lina nette rina ssa".split()},
+           "cyrillic": {"m": "ан ей ислав ор".split(), "f": "ина ия ислава ана".split()},
+           "greek": {"m": "ας ης ος ων".split(), "f": "α ία ούλα ω".split()}}
+#: Forms of address and the gender they tell (u: none).
 TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Господин": "m", "Κύριος": "m",
           "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f",
-          "Señora": "f", "Señorita": "f", "Госпожа": "f", "Κυρία": "f"}
-
-_NAME = re.compile(r"\b(" + "|".join(sorted(TITLES, key=len, reverse=True))
-                   + r")(\.? )([^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+)(?: ([^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+))?")
-_EMAIL = re.compile(r"[\w.+%-]+@[^\W_][\w-]*(?:\.[^\W_][\w-]*)+")
+          "Señora": "f", "Señorita": "f", "Госпожа": "f", "Κυρία": "f", "Sr": "m", "Don": "m",
+          "Sra": "f", "Srta": "f", "Mlle": "f", "Mademoiselle": "f", "Fräulein": "f", "Doña": "f",
+          "Dr": "u", "Prof": "u", "Professor": "u", "Doctor": "u", "Doktor": "u"}
+
+_TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
+_NAME = re.compile(rf"\b((?:(?:{_TITLE})\.? )*(?:{_TITLE}))(\.? )"
+                   r"([^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+)(?: ([^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+))?")
+_LOCAL = re.compile(r"[^\w.+%-]")
+_DOMAIN = re.compile(r"[^\W_][\w-]*(?:\.[^\W_][\w-]*)+")
+_LETTERS = re.compile(r"(?<!\w)[^\W\d_]++(?![^\W_])")
 _SECRET = re.compile(r"""(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"""
                      r"""\s*[=:]\s*["']?([^\s"'!,;]{6,})""")
 _AWS = re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")
@@ -129,8 +188,14 @@ _TOKENS = (
     ("earer", re.compile(r"\b[Bb]earer\s+([\w.~+/-]{16,}=*)")),
 )
 _GAP = r"[ .\-\u00a0\u202f\u2011]"
-# a stretch that may hold numbers of any kind
-_DIGITS = re.compile(r"[+(\d][\d().+ \-/\u00a0\u202f\u2011]{5,}\d")
+# stretches that may hold numbers of any kind; what begins and ends the numbers in them
+_DIGITS = re.compile(r"[\d().+ \-/\u00a0\u202f\u2011]{7,}")
+_FIRST = re.compile(r"[+(\d]")
+#: What tells that a bare count of digits is a phone number.
+_PHONE_WORD = re.compile(r"(?i)\b(?:tel|phone|telephone|call|fax|mobil|mobile|cell|text|sms|whatsapp|ring|"
+                         r"hotline|contact|handy|telefon|fon|t[ée]l[ée]phone|t[ée]l[ée]fono|m[óo]vil|"
+                         r"appele[rz]|portable|anruf|rufen?|llame|llamar)\b[^\d\n]{0,16}\Z")
+_NANP = re.compile(r"1?[2-9]\d\d[2-9]\d{6}")
 _IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)"
                  r"(?!\w|\.\d)")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
@@ -207,6 +272,33 @@ def _iban_turned(mention: str) -> str:
     return plain[4:] + plain[:4]
 
 
+def _emails(text: str) -> list[tuple[int, int, str, str]]:
+    """Every address, found from its @ outward: each sign is looked at once."""
+    out, free = [], 0
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start > free and not _LOCAL.match(text, start - 1):
+            start -= 1
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        free = domain.end() if domain else at + 1
+        if domain:
+            out.append((start, free, "email", text[start:free].lower()))
+        at = text.find("@", free)
+    return out
+
+
+def _numbers(text: str):
+    """(start, end) of stretches that begin and end as numbers do."""
+    for run in _DIGITS.finditer(text):
+        first = _FIRST.search(text, *run.span())
+        end = run.end()
+        while first and end > first.start() and not text[end - 1].isdigit():
+            end -= 1
+        if first and end - first.start() >= 7:
+            yield first.start(), end
+
+
 def _bare_names(text: str, titled: list[tuple[int, int, str, str]]
                 ) -> list[tuple[int, int, str, str]]:
     """Mentions without a title, capitalised, of names that the text has behind one. A name that is
@@ -220,17 +312,14 @@ def _bare_names(text: str, titled: list[tuple[int, int, str, str]]
             given.setdefault(canonical, kind)
     if not titled:
         return []
-    words = {text[a:b] for a, b, _, _ in titled} | given.keys() | family
-    known = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, words), key=len, reverse=True))
-                       + r")(?![^\W_])", re.IGNORECASE)
     taken = {s[0] for s in titled}
-    hits = [m for m in known.finditer(text)
-            if m.start() not in taken and not m.group()[0].islower()]
+    hits = [(m, word) for m in _LETTERS.finditer(text)
+            if ((word := m.group().casefold()) in given or word in family)
+            and m.start() not in taken and not m.group().islower()]
     starts = {s[0] for s in titled if s[2] == "family"} | {
-        m.start() for m in hits if m.group().casefold() in family}
+        m.start() for m, word in hits if word in family}
     out = []
-    for m in hits:
-        word = m.group().casefold()
+    for m, word in hits:
         if word in given and (word not in family or text[m.end():m.end() + 1] == " "
                               and m.end() + 1 in starts):
             out.append((*m.span(), given[word], word))
@@ -261,7 +350,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
     if "AKIA" in text or "ASIA" in text:
         spans += [(*m.span(), "secret", m.group()) for m in _AWS.finditer(text)]
     if "@" in text:
-        spans += [(m.start(), m.end(), "email", m.group().lower()) for m in _EMAIL.finditer(text)]
+        spans += _emails(text)
     if ":" in text:
         for m in _IPV6.finditer(text):
             try:
@@ -274,8 +363,9 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
     for m in _IBAN.finditer(text):
         if end := _iban_end(m.group()):
             spans.append((m.start(), m.start() + end, "iban", m.group()[:end].replace(" ", "")))
-    for stretch in _DIGITS.finditer(text):
-        a, b = max(0, stretch.start() - 1), stretch.end() + 2
+    whole: set[int] = set()  # where a phone number of ten digits begins
+    for first, end in _numbers(text):
+        a, b = max(0, first - 1), end + 2
         for kind, pattern in (("ip", _IP), ("ssn", _SSN), ("card", _CARD), ("phone", _PHONE),
                               ("phone", _PHONE_ABROAD), ("phone", _PHONE_ANY)):
             for m in pattern.finditer(text, a, b):
@@ -285,20 +375,25 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
                                                             m.group().split("."))))
                 elif kind == "phone":
                     at = _phone_start(m.group())  # the country code and a trunk 0 stay
+                    if at is not None and m.group().isdigit() and digits[0] != "0" \
+                            and not _NANP.fullmatch(digits) \
+                            and not _PHONE_WORD.search(text, max(0, m.start() - 40), m.start()):
+                        continue  # a count or an id
                     if at is not None:
                         start = m.start() + at
-                        if pattern is not _PHONE and any(
-                                s[0] == start and s[2] == kind and len(s[3]) == 10
-                                for s in spans):
+                        if pattern is not _PHONE and start in whole:
                             continue  # a whole number already; what follows is another
                         spans.append((start, m.end(), kind,
                                       re.sub(r"\D", "", text[start:m.end()])))
+                        if len(spans[-1][3]) == 10:
+                            whole.add(start)
                 elif kind != "card" or len(digits) > 15 or text[m.start() - 1:m.start()] != "+":
                     spans.append((*m.span(), kind, digits))
     if any(t in text for t in TITLES):
         first = len(spans)
         for m in _NAME.finditer(text):
-            gender = TITLES[m.group(1)]
+            genders = [TITLES[t] for t in re.findall(_TITLE, m.group(1))]
+            gender = next((g for g in genders if g != "u"), "u")
             if m.group(4):
                 spans.append((*m.span(3), f"given-{gender}", m.group(3).casefold()))
                 spans.append((*m.span(4), "family", m.group(4).casefold()))
@@ -316,11 +411,19 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
     return sorted(out)
 
 
-def _script(text: str) -> str:
+def _script(text: str) -> str | None:
     for name, low, high in (("cyrillic", 0x400, 0x4FF), ("greek", 0x370, 0x3FF)):
         if any(low <= ord(c) <= high for c in text):
             return name
-    return "latin"
+    if any(unicodedata.name(c, "LATIN").startswith("LATIN") for c in text if c.isalpha()):
+        return "latin"
+    return None  # another script: its own letters are permuted
+
+
+def keeps(canonical: str, value: str) -> bool:
+    """Whether a surrogate gives its original away: it is the same, or has it inside (of one or
+    two signs it may, by chance)."""
+    return value == canonical or len(canonical) > 2 and canonical in value
 
 
 def _ip_class(parts: list[int]) -> str:
@@ -386,18 +489,31 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
             if (value[0] != "0") == bool(lead):
                 return value + "1" * grown
     if kind == "secret":
+        if not any(map(_alphabet, canonical)):  # nothing in it can change
+            return hmac.new(key, f"{tweak}|{canonical}".encode(), hashlib.sha256).hexdigest()
         if canonical[:4] in ("AKIA", "ASIA") and len(canonical) == 20:
             return canonical[:4] + permute_text(key, tweak, canonical[4:],
                                                 "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
         if _HEX.fullmatch(canonical):
             return permute_text(key, tweak, canonical + "a" * grown, "0123456789abcdef")
         return permute_text(key, tweak, canonical + "x" * grown)
-    if kind.startswith("given-") and attempt == 0:
-        names = NAMES[_script(canonical)][kind[-1]]
-        draw = hmac.new(key, f"{kind}|{canonical}".encode(), hashlib.sha256).digest()
-        return names[int.from_bytes(draw[:8], "big") % len(names)].casefold()
-    return permute_text(key, tweak, canonical + ("a" if _script(canonical) == "latin" else
-                                                 canonical[-1]) * grown)
+    if kind.startswith("given-") and (script := _script(canonical)):
+        draw = int.from_bytes(hmac.new(key, f"{tweak}|{canonical}".encode(),
+                                       hashlib.sha256).digest(), "big")
+        gender = kind[-1] if kind[-1] != "u" else "mf"[draw & 1]
+        draw >>= 1
+        if attempt == 0:
+            names = NAMES[script][gender]
+            return names[draw % len(names)].casefold()
+        heads, vowels = SYLLABLES[script]
+        ends, out = ENDINGS[script][gender], ""
+        for _ in range(2 + grown):
+            draw, a = divmod(draw, len(heads))
+            draw, b = divmod(draw, len(vowels))
+            out += heads[a] + vowels[b]
+        return out + ends[draw % len(ends)]
+    return permute_text(key, tweak, canonical + {"latin": "a"}.get(_script(canonical),
+                                                                  canonical[-1]) * grown)
 
 
 def _written(mention: str, kind: str, canonical: str, value: str) -> str:
@@ -416,11 +532,14 @@ def _written(mention: str, kind: str, canonical: str, value: str) -> str:
     return value.upper() if mention.isupper() else value
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 12)
 def _first_draw(key: bytes, kind: str, canonical: str) -> str:
     return surrogate(key, kind, canonical)
 
 
+keeps_tables(__name__, _first_draw.cache_clear)
+
+
 def replace(text: str | None, key: bytes, drawn: dict[tuple[str, str], int] | None = None
             ) -> tuple[str | None, int]:
     """The text with surrogates, and how many entities were replaced. ``drawn`` holds attempts
@@ -442,31 +561,41 @@ def replace(text: str | None, key: bytes, drawn: dict[tuple[str, str], int] | No
 
 
 def _exceptions(mentions: DataFrame, key: bytes) -> DataFrame:
-    """``kind, canonical, attempt`` of entities whose first draw failed a check."""
+    """``kind, canonical, attempt`` of entities whose first draw failed a check: a surrogate that
+    gives its original away, is itself an entity of the corpus, or that another entity has.
+
+    Each round draws again only for entities that failed in the one before; the others' draws
+    stay, and new ones are checked against all of them.
+    """
     entities = stage(mentions.select("kind", "canonical").distinct(), "entities")
-    drawn = entities.withColumn("attempt", F.lit(0))
 
     def draw(batch):
-        return {**{c: batch[c] for c in ("kind", "canonical", "attempt")},
-                "value": [surrogate(key, k, c, a) for k, c, a in
-                          zip(batch["kind"], batch["canonical"], batch["attempt"])]}
+        values = [surrogate(key, k, c, a) for k, c, a in
+                  zip(batch["kind"], batch["canonical"], batch["attempt"])]
+        return {**{c: batch[c] for c in ("kind", "canonical", "attempt")}, "value": values,
+                "told": [keeps(c, v) for c, v in zip(batch["canonical"], values)]}
 
+    settled, drawn = None, entities.withColumn("attempt", F.lit(0))
     while True:
         named = stage(arrow_map(drawn, draw, "kind string, canonical string, attempt int, "
-                                             "value string"), "surrogates")
-        first = (named.groupBy("kind", "value").agg(
-            F.min(F.struct("attempt", "canonical")).alias("keeps"), F.count("*").alias("n"))
-            .where("n > 1").select("kind", "value", F.col("keeps.canonical").alias("keeper")))
-        equal = named.join(first, ["kind", "value"]).where("canonical <> keeper")
-        real = named.join(entities.select("kind", F.col("canonical").alias("value")),
-                          ["kind", "value"], "left_semi")
-        bad = stage(equal.select("kind", "canonical").unionByName(
-            real.select("kind", "canonical")).distinct().withColumn("bad", F.lit(1)), "collided")
-        if bad.isEmpty():
-            return named.where("attempt > 0").select("kind", "canonical", "attempt")
-        drawn = (named.join(bad, ["kind", "canonical"], "left")
-                 .select("kind", "canonical",
-                         (F.col("attempt") + F.coalesce("bad", F.lit(0))).alias("attempt")))
+                                             "value string, told boolean"), "surrogates")
+        # of equal draws the one of the least canonical form stays, if no older draw is equal
+        first = named.groupBy("kind", "value").agg(F.min("canonical").alias("keeper"),
+                                                   F.count("*").alias("n")).where("n > 1")
+        pair = ["kind", "canonical"]
+        bad = [named.where("told").select(*pair),
+               named.join(first, ["kind", "value"]).where("canonical <> keeper").select(*pair),
+               named.join(entities.select("kind", F.col("canonical").alias("value")),
+                          ["kind", "value"], "left_semi").select(*pair)]
+        if settled is not None:
+            bad.append(named.join(settled, ["kind", "value"], "left_semi").select(*pair))
+        failed = stage(reduce(DataFrame.unionByName, bad).distinct(), "collided")
+        fine = named.join(failed, pair, "left_anti").select("kind", "canonical", "attempt", "value")
+        settled = stage(fine if settled is None else settled.unionByName(fine), "settled")
+        if failed.isEmpty():
+            return settled.where("attempt > 0").select("kind", "canonical", "attempt")
+        drawn = named.join(failed, pair, "left_semi").select(
+            *pair, (F.col("attempt") + 1).alias("attempt"))
 
 
 def surrogates(docs: DataFrame, key: bytes | str = b"corpus", id_col: str = "doc_id",
@@ -474,9 +603,11 @@ def surrogates(docs: DataFrame, key: bytes | str = b"corpus", id_col: str = "doc
     """All columns of ``docs`` with the text's entities replaced, and ``n_entities``.
 
     Null texts stay null with 0 entities; repeated rows give repeated results, and rows of any
-    id, null included, are kept. The same key gives the same surrogates at every run.
+    id, null included, are kept. The same key gives the same surrogates at every run. A column
+    ``n_entities`` that is there already is replaced. Time grows with the length of a text.
     """
     key = key.encode() if isinstance(key, str) else key
+    docs = docs.drop("n_entities")
     columns = docs.columns
     extra = "n_entities"
     marked = docs.select(docs[text_col].alias("text")).where(F.col("text").isNotNull())

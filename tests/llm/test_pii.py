@@ -3,6 +3,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stationdw.llm import pii
 from tests.conftest import SF_ORACLE
@@ -191,3 +192,105 @@ def test_bare_name_that_is_given_and_family():
     kinds = [s[2:] for s in pii.find(text)]
     assert kinds == [("given-m", "james"), ("family", "hall"), ("family", "james"),
                      ("given-m", "james"), ("family", "hall"), ("family", "james")]
+
+
+@pytest.mark.parametrize("n", [10_000, 1_000_000])
+def test_long_values_are_replaced_in_linear_time(n):
+    body = "".join("aB3xYz9Qw7"[i * i % 10] for i in range(n))
+    for text, kind in ((f"password={body}", "secret"), (f"{body}@mail.example.com", "email"),
+                       (f"Bearer {body}", "secret"),
+                       (f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----", "secret")):
+        assert [s[2] for s in pii.find(text)] == [kind]
+        new, count = pii.replace(text, KEY)
+        assert count == 1 and len(new) == len(text) and body not in new
+        same = sum(a == b for a, b in zip(new, text))
+        assert same < 0.2 * n  # all of it changes, not only its beginning
+    for text in (body, "1" * n, "7 " * n, "(" * n, "+-" * n, "1-" * n, "a." * n, "@" * n):
+        pii.find(text)
+
+
+def test_many_values_take_linear_time():
+    text = "".join(f"Mr Name{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} Tree, "
+                   f"+1 (545) 55{i % 10}-{i:04d}. " for i in range(9000))
+    found = pii.find(text)
+    assert sum(s[2] == "phone" for s in found) == 9000
+    assert sum(s[2] == "given-m" for s in found) == 9000
+
+
+def test_long_values_stay_distinct():
+    a = "x" * 200
+    values = [a[:i] + "y" + a[i + 1:] for i in range(200)]
+    out = [pii.permute_text(KEY, "t", v) for v in values]
+    assert len(set(out)) == 200
+    assert len({v[:64] for v in out}) == 200  # the first signs depend on the last
+
+
+NAMES_OF = ["Łukaszewicz", "Şahin", "Иванова", "Παπαδόπουλος", "محمد", "כהן", "สมชาย", "शर्मा", "田中",
+            "김철수", "Ğül", "Đorđević"]
+
+
+@pytest.mark.parametrize("name", NAMES_OF)
+def test_names_of_any_script_never_stay(name):
+    canonical = name.casefold()
+    for kind in ("family", "given-m", "given-f", "given-u"):
+        values = [pii.surrogate(KEY, kind, canonical, attempt) for attempt in range(8)]
+        fine = [v for v in values if not pii.keeps(canonical, v)]
+        assert len(fine) >= 7 and all(pii._script(v) == pii._script(canonical) for v in fine)
+
+
+def test_no_letter_is_without_an_alphabet():
+    import unicodedata
+    for n in range(0x80, 0x3000):
+        c = chr(n)
+        if unicodedata.category(c) in ("Lu", "Ll", "Lo", "Nd"):
+            own = pii._alphabet(c)
+            assert own and (c in own if isinstance(own, str) else own[0] <= n <= own[1]), hex(n)
+
+
+def test_given_names_of_later_draws_keep_their_gender():
+    for attempt in range(1, 20):
+        for gender in "mf":
+            value = pii.surrogate(KEY, f"given-{gender}", "mary", attempt)
+            assert value.endswith(tuple(pii.ENDINGS["latin"][gender])) and value.isalpha()
+
+
+def test_titles_without_a_gender_and_several_titles():
+    assert [s[2] for s in pii.find("Dr. Jane Doe")] == ["given-u", "family"]
+    assert [s[2] for s in pii.find("Prof. Dr. Jane Doe")] == ["given-u", "family"]
+    assert [s[2] for s in pii.find("Frau Dr. Jane Doe")] == ["given-f", "family"]
+
+
+@pytest.mark.parametrize("text,n", [
+    ("20000000 units", 0), ("id 123456789012", 0), ("phone 20000000", 1), ("Tel.: 20000000", 1),
+    ("4155552671", 1), ("0612345678", 1)])
+def test_bare_digits_need_a_form_or_a_word(text, n):
+    assert len(pii.find(text)) == n
+
+
+def test_every_surrogate_by_brute_force(spark):
+    """All entities replaced by hand from pairs (entity, surrogate) read off one-entity texts."""
+    rows = [(i, t, "en", "s") for i, t in enumerate([
+        "Mr John Smith", "Mrs Anna Weiß and Mr John Weiß", "mail a.b@c.org or x_1@mail.example.org",
+        "4111 1111 1111 1111 and 4111111111111111", "Госпожа Анна Иванова", "Dr محمد كريم here",
+        "password=" + "k9Zq" * 3000, "10.0.0.7 and 8.8.8.8", "078-05-1120", "token: ------"])]
+    rows += [(99, None, None, None), (98, "", None, None), (0, rows[0][1], "en", "s")]
+    frame = docs(spark, rows).withColumn("n_entities", F.lit("theirs"))
+    out = {(r["doc_id"], r["text"], r["n_entities"]) for r in pii.surrogates(frame, "key").collect()}
+    attempts: dict = {}
+    while True:  # draw again by hand until no two are equal, real or given away
+        kinds = {s[2:] for _, t, *_ in rows for s in pii.find(t)}
+        value = {e: pii.surrogate(b"key", *e, attempts.get(e, 0)) for e in kinds}
+        bad = {e for e in kinds if pii.keeps(e[1], value[e]) or (e[0], value[e]) in kinds
+               or any(value[o] == value[e] and o[0] == e[0] and o < e for o in kinds)}
+        if not bad:
+            break
+        attempts |= {e: attempts.get(e, 0) + 1 for e in bad}
+    want = set()
+    for i, text, *_ in rows:
+        new, shift = text, 0
+        for a, b, kind, canonical in pii.find(text):
+            put = pii._written(text[a:b], kind, canonical, value[kind, canonical])
+            new = new[:a + shift] + put + new[b + shift:]
+            shift += len(put) - (b - a)
+        want.add((i, new, len(pii.find(text))))
+    assert out == want and "theirs" not in str(out)
