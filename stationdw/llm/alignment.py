@@ -45,7 +45,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
-from .common import columns_of, pieces, ship_package, stage
+from .common import (columns_of, keeps_tables, only_tables_of, pieces, ship_package,
+                     small_batches, stage)
 
 SPACE = "▁"  # how the piece model writes a space
 #: In front of a single space or line break that stands between signs that are no white space.
@@ -238,6 +239,9 @@ def pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
+keeps_tables(__name__, pair.cache_clear)
+
+
 def _counted(parts) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.frombuffer(b"".join(parts), np.int32), return_counts=True)
 
@@ -284,9 +288,11 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int) -> Data
     """One row per block of texts; a last row of each task, without a block, has its vector of
     regular groups as (pair, count)."""
     ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(_BLOCK))
 
     def run(batches):
+        only_tables_of(__name__)
         both = pair(path_a, path_b)
         vector = np.zeros(both.size_a, np.int64)
         block = TaskContext.get().partitionId() << 32

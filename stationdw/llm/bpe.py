@@ -20,7 +20,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from .common import arrow_map, columns_of
+from .common import arrow_map, columns_of, keeps_tables
 
 
 def _byte_alphabet() -> list[str]:
@@ -59,7 +59,7 @@ class _Words(dict):
 class WordBpe:
     """Encoder and decoder for a byte-level BPE with a word-end suffix and lower-casing."""
 
-    def __init__(self, path: str, cache_size: int = 300_000):
+    def __init__(self, path: str, cache_size: int = 80_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, steps = spec["model"], [s["type"] for s in spec["normalizer"]["normalizers"]]
@@ -172,11 +172,14 @@ class WordBpe:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+keeps_tables(__name__, tokenizer.cache_clear)
+
+
 def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
                    ) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row (one map, no shuffle).

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -57,7 +59,32 @@ def ship_package(spark: SparkSession) -> None:
     sc._stationdw_shipped = True
 
 
-def pieces(batches, target: int = 4 << 20):
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: What empties a module's tables in a Python worker, by module.
+_TABLES: dict[str, Callable[[], None]] = {}
+
+
+def keeps_tables(module: str, clear: Callable[[], None]) -> None:
+    """Name what empties the tables a module's functions keep in a worker between batches."""
+    _TABLES[module] = clear
+
+
+def only_tables_of(module: str) -> None:
+    """Workers are used again by later stages: empty what functions of other modules have kept."""
+    emptied = [clear() for name, clear in _TABLES.items() if name != module]
+    if emptied:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a worker gets at once by 4 MB, since texts differ in length; a bound that the
+    session has set itself (other than Spark's default) stays."""
+    if spark.conf.get(_BATCH, "64MB").upper() in ("64MB", "64M", str(64 << 20)):
+        spark.conf.set(_BATCH, str(4 << 20))
+
+
+def pieces(batches, target: int = 1 << 20):
     """Arrow batches cut into pieces of about ``target`` bytes, so that the Python objects made
     of a piece stay small whatever the size of a batch."""
     for batch in batches:
@@ -69,12 +96,14 @@ def pieces(batches, target: int = 4 << 20):
 def arrow_map(df: DataFrame, rows, schema: str) -> DataFrame:
     """``mapInArrow`` with a function from a batch (dict of Python lists) to a dict of columns.
 
-    ``rows(columns) -> columns`` sees a piece of some megabytes at a time.
+    ``rows(columns) -> columns`` sees a piece of about a megabyte at a time.
     """
     ship_package(df.sparkSession)
-    out = to_arrow_schema(StructType.fromDDL(schema))
+    small_batches(df.sparkSession)
+    out, module = to_arrow_schema(StructType.fromDDL(schema)), rows.__module__
 
     def run(batches):
+        only_tables_of(module)
         for batch in pieces(batches):
             got = rows(batch.to_pydict())
             if got is not None:

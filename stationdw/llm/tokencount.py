@@ -17,7 +17,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, columns_of
+from .common import arrow_map, columns_of, keeps_tables
 
 SPACE = "▁"  # how the model writes a space
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -92,6 +92,9 @@ def counter(path: str) -> PieceCounter:
     return PieceCounter(path)
 
 
+keeps_tables(__name__, counter.cache_clear)
+
+
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row (one map, no shuffle).
