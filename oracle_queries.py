@@ -418,4 +418,28 @@ SELECT station_id, CAST(strftime(norm_date, '%Y%m%d') AS INTEGER) AS date_key,
        CAST(dly_tmax_normal AS DOUBLE) AS dly_tmax_normal,
        CAST(mtd_prcp_normal AS DOUBLE) AS mtd_prcp_normal
 FROM ev_staging WHERE strftime(norm_date, '%Y%m') = '202401'""",
+
+    "load_after_crash": _with(ORDERS, EVENTS) + """
+SELECT station_id, CAST(strftime(norm_date, '%Y%m%d') AS INTEGER) AS date_key,
+       strftime(norm_date, '%B') AS month_name,
+       CAST(dly_tmin_normal AS DOUBLE) AS dly_tmin_normal,
+       CAST(dly_tmax_normal AS DOUBLE) AS dly_tmax_normal,
+       CAST(mtd_prcp_normal AS DOUBLE) AS mtd_prcp_normal
+FROM (SELECT station_id, norm_date,
+             ROUND(dly_tmin_normal * CAST(0.1 AS DECIMAL(2,1)), 2) AS dly_tmin_normal,
+             ROUND(dly_tmax_normal * CAST(0.1 AS DECIMAL(2,1)), 2) AS dly_tmax_normal,
+             mtd_prcp_normal
+      FROM staging
+      UNION ALL
+      SELECT station_id, norm_date, dly_tmin_normal, dly_tmax_normal, mtd_prcp_normal
+      FROM ev_staging)""",
+
+    "read_csv": _with(ORDERS) + """
+SELECT station_id, station_name || ',' || chr(10) || '"' || station_id || '"' AS station_name,
+       CAST(NULL AS DOUBLE) AS elevation, CAST(latitude AS DOUBLE) AS latitude,
+       CAST(NULL AS DOUBLE) AS longitude, strftime(norm_date, '%Y%m%d') AS norm_date,
+       CAST(trunc(dly_tmin_normal) AS INTEGER) AS dly_tmin_normal,
+       CAST(trunc(dly_tmax_normal) AS INTEGER) AS dly_tmax_normal,
+       CAST(mtd_prcp_normal AS INTEGER) AS mtd_prcp_normal
+FROM staging""",
 }

@@ -32,13 +32,16 @@ def monthly_view(daily: DataFrame, group_cols: Sequence[str], lo: str, hi: str,
 
 
 def monthly_summary(readings: DataFrame, keys: Sequence[str] | None = None,
-                    dedupe_keys: Sequence[str] | None = None) -> DataFrame:
+                    dedupe_keys: Sequence[str] | None = None, arrival: str | None = None
+                    ) -> DataFrame:
     """Continuous monthly summary (batch or streaming input).
 
     COUNT(*) days, AVG of each temperature (nulls skipped), MAX month-to-date precipitation,
     grouped by the five month keys. Rows with a null grouping value are dropped first, as the
     stream-SQL engine does. ``dedupe_keys`` optionally drops replayed readings first (batch:
-    distinct; streaming: state-backed ``dropDuplicates`` without expiry).
+    distinct; streaming: state-backed ``dropDuplicates`` without expiry). ``arrival`` names the
+    readings' arrival order: the latest one of a group is kept in the state under the same name,
+    so that a loader knows which of two groups changed last; readings without it have no order.
     """
     keys = list(keys or ["station_id", "station_name", "norm_month", "year_num", "month_num"])
     cond = None
@@ -52,6 +55,7 @@ def monthly_summary(readings: DataFrame, keys: Sequence[str] | None = None,
         F.avg("dly_tmin_normal").alias("avg_dly_tmin_normal"),
         F.avg("dly_tmax_normal").alias("avg_dly_tmax_normal"),
         F.max("mtd_prcp_normal").alias("month_end_prcp_normal"),
+        *([F.max(arrival).alias(arrival)] if arrival in rows.columns else []),
     )
 
 

@@ -184,19 +184,11 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
         stage = f"{stages}/{epoch}"
         remove_path(spark, f"{stages}/{epoch - 1}")
         if _stage_complete(spark, stage):
-            _swap_in(spark, stage, schema, path, partition_col)
+            swap_in(spark, stage, schema, path, partition_col)
             return
     else:
         stage = scratch_dir(spark, "merge")
-    current = _read_or_none(spark, path, schema)
-    if current is None:
-        merged = upsert_latest(None, incoming, keys, order_cols, keep_first,
-                               compare_order=store_order)
-    else:
-        touched = incoming.select(partition_col).distinct()
-        current = current.join(touched, partition_col, "left_semi")
-        merged = upsert_latest(current, incoming, keys, order_cols, keep_first,
-                               compare_order=store_order)
+    merged = merged_months(incoming, path, keys, order_cols, partition_col, keep_first, store_order)
     # No repartition by the partition column before writing: a month holding a third of the
     # rows would then be written by one task. The merge output is spread by key instead and each
     # task writes its share of every touched month.
@@ -204,18 +196,32 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     # (a dynamic-overwrite write, the session default, leaves none).
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(partition_col).parquet(stage))
-    _swap_in(spark, stage, merged.schema, path, partition_col)
+    swap_in(spark, stage, merged.schema, path, partition_col)
     if not stages:
         remove_path(spark, stage)
 
 
+def merged_months(incoming: DataFrame, path: str, keys: Sequence[str], order_cols: Sequence[str],
+                  partition_col: str, keep_first: Sequence[str] = (), store_order: bool = False
+                  ) -> DataFrame:
+    """The rows that the partitions touched by ``incoming`` have after the upsert."""
+    table_cols = [c for c in incoming.columns if c not in order_cols or store_order]
+    current = _read_or_none(incoming.sparkSession, path, incoming.select(*table_cols).schema)
+    if current is not None:
+        touched = incoming.select(partition_col).distinct()
+        current = current.join(touched, partition_col, "left_semi")
+    return upsert_latest(current, incoming, keys, order_cols, keep_first,
+                         compare_order=store_order)
+
+
 def merge_stages(checkpoint: str) -> str:
     """Where a stream stages its merges: in its own checkpoint folder, so that a restart finds
     them and a stream with a new checkpoint never does."""
     return checkpoint.rstrip("/") + "/merge"
 
 
-def _swap_in(spark: SparkSession, stage: str, schema, path: str, partition_col: str) -> None:
+def swap_in(spark: SparkSession, stage: str, schema, path: str, partition_col: str) -> None:
+    """Replace the partitions that ``stage`` has by its rows; others stay."""
     staged = spark.read.schema(schema).parquet(stage)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))

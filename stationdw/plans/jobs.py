@@ -22,14 +22,13 @@ from pyspark.sql.utils import AnalysisException
 
 from stationdw.operators.aggregate import monthly_summary
 from stationdw.operators.clean import pick_fields, split_valid
-from stationdw.operators.upsert import merge_into_path, merge_stages
-from stationdw.plans import olap
+from stationdw.operators.upsert import merge_into_path, merge_stages, merged_months, swap_in
+from stationdw.plans import commit, olap
 from stationdw.plans.star import load_report, load_star
 from stationdw.plans.views import daily_view, monthly_climate, monthly_from_star
 from stationdw.schemas import (DIM_DATE, DIM_STATION, FACT, FACT_KEY, LENGTH_LIMITS,
                                MONTHLY_SUMMARY, NOT_NULL, PRCP, STAGING, SUMMARY_GROUP,
                                SUMMARY_KEY, SUMMARY_KEY_ALIASES, SUMMARY_VALUE_ALIASES, TEMP)
-from stationdw.session import scratch_dir
 from stationdw.sources.csv_daily import read_daily_csv
 from stationdw.sources.messages import read_raw_stream
 from stationdw.sources.sinks import (epoch_folder, reported, write_changelog_stream,
@@ -40,6 +39,10 @@ from stationdw.streaming.jobs import clean_stream, write_staging_stream, write_s
 STAGING_COLUMNS = [f.name for f in STAGING.fields if f.name != "created_at"]
 # The stored fact carries its month (a function of the date key) as partition column.
 FACT_STORED = T.StructType(FACT.fields + [T.StructField("date_month", T.IntegerType())])
+# What the last load of a month brought.
+DIGESTS = T.StructType([T.StructField("date_month", T.IntegerType()),
+                        T.StructField("n", T.LongType()), T.StructField("x1", T.LongType()),
+                        T.StructField("x2", T.LongType())])
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
@@ -51,17 +54,6 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
-def _overwrite_small(df: DataFrame, path: str) -> DataFrame:
-    """Replace a small table: stage under the checkpoint folder, then overwrite the target
-    (never overwrite a path the same plan reads)."""
-    spark = df.sparkSession
-    stage = scratch_dir(spark, "swap")
-    df.write.mode("overwrite").parquet(stage)
-    staged = spark.read.schema(df.schema).parquet(stage)
-    staged.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def publish_daily_csv(spark: SparkSession, csv_path: str, target: str, sink: str = "files",
                       options: dict | None = None) -> int:
     """Producer: every CSV row becomes one JSON message. Returns the number sent."""
@@ -90,34 +82,97 @@ def star_paths(warehouse: str) -> dict[str, str]:
     """Locations of the star tables under ``warehouse`` (a folder or a catalog's table root)."""
     base = warehouse.rstrip("/")
     return {"dim_station": f"{base}/dim_station", "dim_date": f"{base}/dim_date",
-            "fact": f"{base}/fact_daily_climate_normal"}
+            "fact": f"{base}/fact_daily_climate_normal",
+            "fact_digests": f"{base}/_fact_digests"}
 
 
-def load_warehouse(spark: SparkSession, staging_path: str, warehouse: str) -> DataFrame:
-    """Load dimensions and fact from staging into ``warehouse`` and return the load report.
+def _digest(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Row count and two 64-bit digests of all rows, in any order, per value of ``by``."""
+    cols = sorted(df.columns)
+    return df.groupBy(*(by or [])).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*cols)).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit(1), *reversed(cols))).alias("x2"))
 
-    Dimensions are small and replaced as a whole (keys kept); the fact is merged keyed by
-    (station_key, date_key), touching only the months present in staging.
+
+def _replacements(spark: SparkSession, warehouse: str) -> dict:
+    """How each star table takes over its rows from a load's journal."""
+    paths = star_paths(warehouse)
+
+    def whole(path, schema):
+        return lambda logged: spark.read.schema(schema).parquet(logged).write.mode(
+            "overwrite").parquet(path)
+
+    return {"dim_station": whole(paths["dim_station"], DIM_STATION),
+            "dim_date": whole(paths["dim_date"], DIM_DATE),
+            "fact": lambda logged: swap_in(spark, logged, FACT_STORED, paths["fact"],
+                                           "date_month"),
+            "fact_digests": whole(paths["fact_digests"], DIGESTS)}
+
+
+def recover_warehouse(spark: SparkSession, warehouse: str) -> bool:
+    """Finish or drop what a load that ended early has left; True if it was finished."""
+    return commit.recover(spark, warehouse, _replacements(spark, warehouse))
+
+
+def prepare_load(spark: SparkSession, staging_path: str, warehouse: str
+                 ) -> tuple[DataFrame, dict[str, DataFrame], DataFrame] | None:
+    """Write to the journal what a load changes, and commit it, without touching a table.
+
+    Returns staging, the dimensions and the fact rows of the load; None if staging is empty. A
+    dimension is written if its rows change, the fact for those months alone whose incoming rows
+    differ from what the last load of the month brought (one digest a month is kept beside the
+    fact): merging equal rows again changes nothing, so such months are neither read nor written.
     """
     paths = star_paths(warehouse)
-    current = {
-        "dim_station": _read(spark, paths["dim_station"], DIM_STATION),
-        "dim_date": _read(spark, paths["dim_date"], DIM_DATE),
-        "fact": None,
-    }
+    current = {"dim_station": _read(spark, paths["dim_station"], DIM_STATION),
+               "dim_date": _read(spark, paths["dim_date"], DIM_DATE)}
     current = {k: v for k, v in current.items() if v is not None}
     staging = read_staging(spark, staging_path)
     star = load_star(staging, current, materialize=True)
-    if not star:
-        return spark.createDataFrame([], "stage string, row_count bigint")
-    dim_station = _overwrite_small(star["dim_station"], paths["dim_station"])
-    dim_date = _overwrite_small(star["dim_date"], paths["dim_date"])
-    # written once: the merge looks at its batch several times, and the report counts it
+    if not star or "fact" not in star:
+        return None
+    # written once: digests, merge and report look at it
     incoming = materialize(star["fact"].withColumn(
         "date_month", (F.col("date_key") / 100).cast("int")), "fact-incoming")
-    merge_into_path(incoming.withColumn("_order", F.lit(1)), paths["fact"], FACT_KEY, ["_order"],
-                    "date_month")
-    return load_report(staging, {"dim_station": dim_station, "dim_date": dim_date}, incoming)
+    digests = materialize(_digest(incoming, ["date_month"]), "fact-digests")
+    known = _read(spark, paths["fact_digests"], DIGESTS)
+    changed = digests
+    if known is not None:
+        changed = digests.join(known, DIGESTS.names, "left_anti")
+        digests = known.join(digests, "date_month", "left_anti").unionByName(digests)
+    changed = materialize(changed.select("date_month"), "changed-months")
+    logged = False
+    for name in ("dim_station", "dim_date"):
+        columns = star[name].columns
+        if name not in current or _digest(current[name].select(*columns)).first() \
+                != _digest(star[name]).first():
+            commit.log(star[name], warehouse, name)
+            logged = True
+    if not changed.isEmpty():
+        rows = incoming.join(changed, "date_month", "left_semi").withColumn("_order", F.lit(1))
+        commit.log(merged_months(rows, paths["fact"], FACT_KEY, ["_order"], "date_month"),
+                   warehouse, "fact", "date_month")
+        commit.log(digests, warehouse, "fact_digests")
+        logged = True
+    if logged:
+        commit.commit(spark, warehouse)
+    return staging, star, incoming
+
+
+def load_warehouse(spark: SparkSession, staging_path: str, warehouse: str) -> DataFrame:
+    """Load dimensions and fact from staging into ``warehouse`` and return the load report.
+
+    Dimensions are small and replaced as a whole (keys kept); the fact is merged keyed by
+    (station_key, date_key), for the months that changed. All tables change together: a load that
+    ends anywhere leaves a journal that the next one finishes or drops (``plans.commit``).
+    """
+    recover_warehouse(spark, warehouse)
+    prepared = prepare_load(spark, staging_path, warehouse)
+    if prepared is None:
+        return spark.createDataFrame([], "stage string, row_count bigint")
+    recover_warehouse(spark, warehouse)
+    staging, star, incoming = prepared
+    return load_report(staging, star, incoming)
 
 
 def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
@@ -145,7 +200,8 @@ def summary_changelog(spark: SparkSession, source: str, options: dict, target: s
                       checkpoint: str, sink: str = "files", sink_options: dict | None = None
                       ) -> StreamingQuery:
     """Continuous monthly aggregate of the raw topic, emitted as a keyed JSON changelog."""
-    summary = monthly_summary(clean_stream(read_raw_stream(spark, source, options)))
+    summary = monthly_summary(clean_stream(read_raw_stream(spark, source, options)),
+                              arrival="_arrival")
     return write_changelog_stream(summary, SUMMARY_GROUP, checkpoint, sink, target,
                                   sink_options)
 
@@ -178,26 +234,30 @@ def load_summary_changelog(spark: SparkSession, changelog: str, table_path: str,
     """Summary loader: keyed changelog -> monthly summary table, keyed (station_id, norm_month),
     later message wins.
 
-    ``files``: a folder of JSON lines with ``key``/``value``/``_epoch``. ``kafka``: topic
+    ``files``: a folder of JSON lines with ``key``/``value``/``_epoch`` and, where two groups of one
+    month can be in an epoch, ``_arrival``. ``kafka``: topic
     ``changelog`` with ``options`` such as the bootstrap servers, in the topic's own order.
     Messages without one of the five month keys go with their reason to ``rejects_path`` (by
     default ``<table_path>_rejected``), one folder of JSON lines per micro-batch."""
     rejects = rejects_path or table_path.rstrip("/") + "_rejected"
     if source == "files":
-        order = "_epoch"
-        msgs = (spark.readStream.schema("key string, value string, _epoch long")
+        order = ["_epoch", "_arrival"]
+        # an arrival is a number or, from Kafka, an object of fixed-width parts: text either way
+        msgs = (spark.readStream.schema("key string, value string, _epoch long, _arrival string")
                 .option("recursiveFileLookup", "true").options(**(options or {})).json(changelog))
     else:
-        order = "_arrival"
+        order = ["_arrival"]
         msgs = read_raw_stream(spark, source, {"subscribe": changelog, **(options or {})})
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         rows, rejected = summary_from_changelog(batch)
         # Arrival order: the loader's batch first (a restarted producer begins its epochs at 0
         # again), then the producer's epoch within one batch.
-        rows = rows.withColumn("_order", F.struct(F.lit(epoch_id).alias("batch"),
-                                                  F.col(order).alias("order")))
-        merge_into_path(rows.drop(order), table_path, SUMMARY_KEY, ["_order"],
+        parts = [F.col(c) for c in order]
+        if source == "files":  # by value if it is a number
+            parts.insert(1, F.expr("try_cast(_arrival AS DECIMAL(38, 0))").alias("_number"))
+        rows = rows.withColumn("_order", F.struct(F.lit(epoch_id).alias("batch"), *parts))
+        merge_into_path(rows.drop(*order), table_path, SUMMARY_KEY, ["_order"],
                         "norm_month", stages=merge_stages(checkpoint), epoch=epoch_id)
         rejected.write.mode("overwrite").json(epoch_folder(rejects, checkpoint, epoch_id))
 

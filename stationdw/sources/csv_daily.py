@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 from stationdw.functions.numeric import strip_ws, to_float, to_int
 from stationdw.schemas import DAILY_CSV_RENAME, FLOAT_FIELDS, INT_FIELDS
 
+# Records, not lines: a quoted field may hold line breaks. A file is then read by one task, so
+# large inputs come as many files.
 _CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
-                "mode": "PERMISSIVE"}
+                "mode": "PERMISSIVE", "multiLine": "true"}
 
 
 def header_columns(spark: SparkSession, path: str | list[str]) -> list[str]:

@@ -58,11 +58,12 @@ def changelog_messages(summary: DataFrame, keys: list[str]) -> DataFrame:
     """Keyed changelog of an aggregate: JSON key of the group columns, JSON value of all
     columns with upper-case names and ``<KEY>_V`` copies of the keys in the value."""
     opts = {"ignoreNullFields": "false"}
-    measures = [c for c in summary.columns if c not in keys]
+    measures = [c for c in summary.columns if c not in keys and not c.startswith("_")]
     key = F.to_json(F.struct(*[F.col(k).alias(k.upper()) for k in keys]), opts)
     value = F.to_json(F.struct(*[F.col(k).alias(k.upper() + "_V") for k in keys],
                                *[F.col(m).alias(m.upper()) for m in measures]), opts)
-    return summary.select(key.alias("key"), value.alias("value"))
+    return summary.select(key.alias("key"), value.alias("value"),
+                          *[c for c in summary.columns if c == "_arrival"])
 
 
 def write_changelog_stream(summary: DataFrame, keys: list[str], checkpoint: str,
@@ -70,15 +71,18 @@ def write_changelog_stream(summary: DataFrame, keys: list[str], checkpoint: str,
                            options: dict | None = None) -> StreamingQuery:
     """Stream every change of an aggregate as keyed JSON messages (update mode).
 
-    ``files``: each micro-batch of changes as JSON lines (``key``/``value``) in its own folder
-    under ``target`` (a retried epoch replaces it); ``kafka``: to topic ``target``.
+    ``files``: each micro-batch of changes as JSON lines (``key``/``value``, ``_epoch`` and, if the
+    aggregate has it, ``_arrival``) in its own folder under ``target`` (a retried epoch replaces
+    it); ``kafka``: to topic ``target``.
     """
     out = changelog_messages(summary, keys)
     writer = reported(out.writeStream.outputMode("update")
                       .option("checkpointLocation", checkpoint), out.sparkSession, checkpoint)
     if sink == "kafka":
-        return (writer.format("kafka").options(**(options or {})).option("topic", target)
-                .start())
+        messages = out.drop("_arrival")  # the topic has an order of its own
+        return (reported(messages.writeStream.outputMode("update")
+                         .option("checkpointLocation", checkpoint), out.sparkSession, checkpoint)
+                .format("kafka").options(**(options or {})).option("topic", target).start())
 
     def append(batch: DataFrame, epoch_id: int) -> None:
         (batch.withColumn("_epoch", F.lit(epoch_id)).write.mode("overwrite")

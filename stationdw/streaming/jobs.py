@@ -43,6 +43,7 @@ def summary_rows(summary: DataFrame) -> DataFrame:
         F.col("avg_dly_tmin_normal").cast(TEMP).alias("avg_dly_tmin_normal"),
         F.col("avg_dly_tmax_normal").cast(TEMP).alias("avg_dly_tmax_normal"),
         F.col("month_end_prcp_normal").cast(PRCP).alias("month_end_prcp_normal"),
+        *[c for c in summary.columns if c == "_arrival"],
     )
 
 
@@ -59,12 +60,17 @@ def _trigger(writer, available_now: bool, processing_time: str | None, spark: Sp
 def write_summary_stream(raw: DataFrame, table_path: str, checkpoint: str,
                          dedupe_keys: list[str] | None = None, available_now: bool = False,
                          processing_time: str | None = None) -> StreamingQuery:
-    """Continuous monthly summary of a raw message stream, upserted into ``table_path``."""
-    summary = monthly_summary(clean_stream(raw), dedupe_keys=dedupe_keys)
+    """Continuous monthly summary of a raw message stream, upserted into ``table_path``.
+
+    A month that has readings under two names of its station has two groups and one row: that of
+    the group whose latest reading arrived last.
+    """
+    summary = monthly_summary(clean_stream(raw), dedupe_keys=dedupe_keys, arrival="_arrival")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         rows = summary_rows(batch).withColumn("_epoch", F.lit(epoch_id))
-        merge_into_path(rows, table_path, SUMMARY_KEY, ["_epoch"], "norm_month",
+        order = [c for c in ("_epoch", "_arrival") if c in rows.columns]
+        merge_into_path(rows, table_path, SUMMARY_KEY, order, "norm_month",
                         stages=merge_stages(checkpoint), epoch=epoch_id)
 
     writer = (summary.writeStream.outputMode("update").option("checkpointLocation", checkpoint)

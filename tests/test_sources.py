@@ -157,3 +157,13 @@ def test_kafka_source_without_connector_says_so(spark):
         assert "connector" in str(exc)
     except Exception:  # the connector is present: the source is built lazily, nothing to check
         pass
+
+
+def test_csv_fields_hold_line_breaks_and_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        'STATION,STATION_NAME,DATE\nS1,"one,\nof ""two""\r\nlines",20100101\nS2,plain,20100102\n')
+    (tmp_path / "b.csv").write_text('DATE,STATION\n20100103,S3\n')
+    got = {r["station_id"]: (r["station_name"], r["norm_date"])
+           for r in read_daily_csv(spark, str(tmp_path)).collect()}
+    assert got.keys() == {"S1", "S2", "S3"} and got["S3"] == (None, "20100103")
+    assert got["S1"][0].replace("\r", "") == 'one,\nof "two"\nlines' and got["S2"][0] == "plain"
