@@ -35,6 +35,17 @@ def json_fields(df: DataFrame, text: Column | str, names: Sequence[str], prefix:
     return out, {n: F.col(o) for n, o in zip(names, outs)}
 
 
+def settled(df: DataFrame, cols: dict[str, Column], prefix: str
+            ) -> tuple[DataFrame, dict[str, Column]]:
+    """Add the columns through a generator of one row. Their expressions are then evaluated once
+    a row, and not again in every filter and projection that uses them."""
+    if not cols:
+        return df, {}
+    outs = {n: f"{prefix}{i}" for i, n in enumerate(cols)}
+    row = F.struct(*[c.alias(outs[n]) for n, c in cols.items()])
+    return df.select("*", F.inline(F.array(row))), {n: F.col(o) for n, o in outs.items()}
+
+
 def first_present(keys: Column, values: dict[str, Column], names: Sequence[str]) -> Column:
     """Value of the first name present among ``keys``, even when that value is null."""
     expr = None

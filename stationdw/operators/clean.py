@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stationdw.functions.dates import month_key
 from stationdw.functions.json_fields import (first_present, json_fields, json_keys, json_types,
-                                             pick_or)
+                                             pick_or, settled)
 
 
 def clean_readings(df: DataFrame) -> DataFrame:
@@ -76,16 +76,17 @@ def pick_fields(df: DataFrame, value_aliases: Mapping[str, Sequence[str]],
     k_cols = {}
     if k_names:
         parsed, k_cols = json_fields(parsed, "_key", k_names, "_k")
-    v_types = json_types("_value", [a for n in value_aliases if n in key_aliases
-                                    for a in value_aliases[n]])
-    out = []
+    parsed, v_types = settled(parsed, json_types("_value", [
+        a for n in value_aliases if n in key_aliases for a in value_aliases[n]]), "_t")
+    out = {}
     for name, aliases in value_aliases.items():
         primary = first_present(F.col("_vkeys"), v_cols, list(aliases))
         if name in key_aliases:
             fallback = first_present(F.col("_kkeys"), k_cols, list(key_aliases[name]))
             kind = first_present(F.col("_vkeys"), v_types, list(aliases))
-            out.append(pick_or(primary, fallback, kind).alias(name))
+            out[name] = pick_or(primary, fallback, kind)
         else:
-            out.append(primary.alias(name))
+            out[name] = primary
+    parsed, picked = settled(parsed, out, "_p")
     blank = F.col("_value").isNull() | F.trim("_value").isin("", "null")
-    return parsed.select(*out, blank.alias("tombstone"), *extra)
+    return parsed.select(*[c.alias(n) for n, c in picked.items()], blank.alias("tombstone"), *extra)

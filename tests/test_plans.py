@@ -1,4 +1,4 @@
-"""Plan shape: pruning, pushdown, broadcast of size-checked dimensions, no cross joins."""
+"""Plan shape: pruning, pushdown, joins by measured size, generated code, no cross joins."""
 
 import pytest
 
@@ -104,3 +104,13 @@ def test_annual_profile_has_no_window_per_year(spark):
     df = entry.queries()["q5_annual_profile"](spark, SF_SMALL)
     windows = [line for line in (optimized(df) + plan_text(df)).splitlines() if "Window" in line]
     assert not any("year_num" in line for line in windows)
+
+
+@pytest.mark.parametrize("name", ["pick_fields", "summary_rejected"])
+def test_picked_fields_compile(spark, name):
+    """A plan whose generated code does not compile fails instead of running interpreted."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        assert entry.queries()[name](spark, SF_SMALL).count() > 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
