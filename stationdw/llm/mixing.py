@@ -2,9 +2,12 @@
 
 1. Count documents by exact length per source (and hashed bucket, for step 4).
 2. Share the budget over the sources by weight; a source stops at a multiple of its size and
-   the excess is shared again among the others.
+   the excess is shared again among the others. Sources stay a table: they are numbered in order
+   for their weights, and running sums over the sources by size for weight give the words per
+   unit of weight at which the budget is spent.
 3. Fit each source's budget on its length counts alone: a proportional bulk first, then bounded
    knapsack dynamic programming picks how many more documents of which length fill the rest.
+   The documents taken are fitted from below and the ones left out likewise; the nearer is used.
 4. Pick that many documents of each length, by seeded hash. A (source, length) group is ranked
    over 1,024 hash buckets: whole buckets are taken or left by their counts, and rows are sorted
    only inside a bucket, so no group, however hot, is sorted in one task.
@@ -13,10 +16,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationdw.operators.ranking import dense_index
+
 from .common import WORD, ship_package, stage
 
 
@@ -82,6 +86,68 @@ def fit_lengths(lengths, counts, budget: int, exact_below: int = 1 << 14) -> np.
     return taken
 
 
+def fit_nearest(lengths, counts, target: float, exact_below: int = 1 << 14) -> np.ndarray:
+    """As ``fit_lengths``, but as near ``target`` as can be from either side (below on a tie).
+
+    The least sum from ``target`` on leaves out the greatest one up to what lies beyond it, so
+    the same fit, of the documents left out, serves from above.
+    """
+    lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
+    total = int((lengths * counts).sum())
+    below = fit_lengths(lengths, counts, int(target), exact_below)
+    if target >= total:
+        return below
+    above = counts - fit_lengths(lengths, counts, int(total - target), exact_below)
+    gap = [abs(int((lengths * taken).sum()) - target) for taken in (below, above)]
+    return above if gap[1] < gap[0] else below
+
+
+def sums_before(df: DataFrame, order: str, cols: list[str]) -> DataFrame:
+    """``df``, whose ``order`` values are distinct, with ``before_<col>``: the sum of ``col`` over
+    all rows of smaller ``order``. Rows are range-partitioned; only the partitions' totals (one
+    row each) come together in one task."""
+    ranged = stage(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()),
+                   "ordered")
+    offsets = ranged.groupBy("_part").agg(*[F.sum(c).alias(f"_{c}") for c in cols]).select(
+        "_part", *[F.coalesce(F.sum(f"_{c}").over(
+            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            .alias(f"_offset_{c}") for c in cols])
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_local_{c}")
+                                 for c in cols])
+    return local.join(offsets, "_part").select(
+        *df.columns, *[(F.col(f"_offset_{c}") + F.col(f"_local_{c}")).alias(f"before_{c}")
+                       for c in cols])
+
+
+def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
+    """``_key, source_size, target`` for ``sizes`` (``_none, _key, size``; one row per source).
+
+    The targets of ``water_fill`` without a loop over sources: a source is full at ``full`` words
+    per unit of weight (most * size / weight). By ascending ``full``, what the fuller sources
+    leave of the budget, over the weight from here on, is the unit if this source is not full; the
+    first such unit holds for all sources. One number of it reaches the driver.
+    """
+    numbered = sizes.join(dense_index(sizes, ["_none", "_key"], "_nth"), ["_none", "_key"])
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
+                          ((F.col("_nth") - 1) % len(weights) + 1).cast("int"))
+    sources = stage(
+        numbered.withColumn("weight", weight)
+        .withColumn("most", F.col("size") * F.lit(float(most)))
+        .withColumn("full", F.col("most") / F.col("weight")), "source-sizes")
+    whole = sources.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
+    left = min(share, most) * (whole["size"] or 0)
+    steps = sums_before(sources.groupBy("full").agg(F.sum("most").alias("most"),
+                                                    F.sum("weight").alias("weight")),
+                        "full", ["most", "weight"])
+    unit = (F.lit(float(left)) - F.col("before_most")) / (
+        F.lit(float(whole["weight"] or 0)) - F.col("before_weight"))
+    unit = (steps.withColumn("unit", unit).where("unit <= full")
+            .agg(F.min_by("unit", "full")).first()[0])
+    target = F.col("most") if unit is None else F.least("most", F.lit(unit) * F.col("weight"))
+    return sources.select("_key", F.col("size").alias("source_size"), target.alias("target"))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5,
         most: int = 2, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -91,8 +157,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     ``weights`` in turn and share ``share`` times all sizes, each at most ``most`` times its
     size (``most`` is 1 or 2: a document is taken at most that often). ``taken`` = copies * size.
     A source without words has target 0 and takes nothing. Rows with equal id and text rank
-    equally and are interchangeable; reruns give the same rows. One row per distinct source is
-    gathered on the driver (its size); documents and length counts never are.
+    equally and are interchangeable; reruns give the same rows. Neither sources nor documents nor
+    length counts are gathered on the driver.
     """
     if most not in (1, 2):
         raise ValueError("a document can be taken once or twice")
@@ -110,19 +176,15 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     group = ["_key", "_size", "_bucket"]
     buckets = stage(read.groupBy(*group).agg(F.first("_source").alias("_source"),
                                              F.count("*").alias("n")), "length-buckets")
-    sizes = buckets.groupBy("_key").agg(F.first("_source").alias("source"),
-                                        F.sum(F.col("_size") * F.col("n")).alias("size")).collect()
-    sizes.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    targets = water_fill([r["size"] for r in sizes],
-                         [weights[i % len(weights)] for i in range(len(sizes))], share, most)
-    plan = spark.createDataFrame(
-        [(r["_key"], r["size"], t) for r, t in zip(sizes, targets)],
-        "_key string, source_size long, target double")
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    sizes = buckets.groupBy("_key").agg(
+        F.max(F.col("_source").isNull().cast("int")).alias("_none"),
+        F.sum(F.col("_size") * F.col("n")).alias("size"))
+    plan = targets(sizes, weights, share, most)
+
+    def fit(pdf):
         size, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
         whole = int(target >= size > 0)
-        extra = fit_lengths(pdf["_size"], pdf["n"], int(target - whole * size + 0.5))
+        extra = fit_nearest(pdf["_size"], pdf["n"], target - whole * size)
         return pdf.assign(whole=whole, extra=np.where(pdf["_size"] > 0, extra, 0) if size else 0)[
             ["_key", "_size", "source_size", "target", "whole", "extra"]]
 

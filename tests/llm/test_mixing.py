@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -24,6 +25,35 @@ def test_fit_is_best_from_below(hist, budget, exact_below):
         assert total == max(s for s in sums if s <= budget)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(0, 12), st.integers(1, 4), min_size=1, max_size=4),
+       st.floats(0, 100))
+def test_fit_is_nearest_of_both_sides(hist, target):
+    lengths, counts = zip(*sorted(hist.items()))
+    taken = mixing.fit_nearest(lengths, counts, target)
+    assert all(0 <= t <= c for t, c in zip(taken, counts))
+    sums = {sum(x * n for x, n in zip(pick, lengths)) for pick in itertools.product(
+        *[range(c + 1) for c in counts])}
+    total = sum(t * n for t, n in zip(taken.tolist(), lengths))
+    assert abs(total - target) == pytest.approx(min(abs(s - target) for s in sums))
+
+
+def test_targets_equal_the_loop_over_sources(spark):
+    rng = random.Random(5)
+    for n, weights, share in [(1, (5, 2, 1), 1.5), (40, (5, 2, 1), 1.5), (40, (7, 0.5), 3),
+                              (300, (5, 2, 1), 0.3), (9, (1,), 2)]:
+        names = sorted({f"h{rng.randrange(10 ** 6)}" for _ in range(n)})
+        sizes = [rng.choice([0, 3, 50, 50, 10 ** 4, 10 ** 7]) for _ in names]
+        rows = [(0, "s" + x, s) for x, s in zip(names, sizes)] + [(1, "", 17)]
+        rng.shuffle(rows)
+        got = mixing.targets(spark.createDataFrame(rows, "_none int, _key string, size long"),
+                             weights, share, 2).toPandas().set_index("_key")
+        every = [weights[i % len(weights)] for i in range(len(names) + 1)]
+        want = mixing.water_fill(sizes + [17], every, share, 2)
+        assert got.loc[["s" + x for x in names] + [""], "target"].tolist() == pytest.approx(want)
+        assert got.loc["", "source_size"] == 17
+
+
 def test_water_fill():
     assert mixing.water_fill([100, 100, 100], [5, 2, 1], 1.5, 2) == [200, 500 / 3, 250 / 3]
     got = mixing.water_fill([10, 1000, 0, 7], [5, 2, 1, 5], 1.5, 2)
