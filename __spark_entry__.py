@@ -412,6 +412,17 @@ def stream_clean(spark, sf):
     return spark.read.parquet(out).select(*CLEAN_OUT, F.col("_arrival").alias("event_id"))
 
 
+def watch_latest(spark, sf):
+    """Continuous query over the cleaned readings, watched as a bucketed table of the latest reading
+    per station and month."""
+    from stationdw.sources.sinks import watch
+    clean = clean_readings(parse_raw(_topic_stream(spark, _event_topic(spark, sf))))
+    q = watch(clean, "latest_readings", keys=["station_id", "norm_month"], buckets=16,
+              available_now=True)
+    q.awaitTermination()
+    return spark.table("latest_readings").select(*CLEAN_OUT, F.col("_arrival").alias("event_id"))
+
+
 def stream_staging(spark, sf):
     """Staging consumer stream: keyed keep-latest upsert per micro-batch, quarantine aside."""
     table = scratch_dir(spark, "staging")
@@ -513,6 +524,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_changelog": stream_changelog,
         "stream_replay": stream_replay,
         "stream_two_subscribers": stream_two_subscribers,
+        "watch_latest": watch_latest,
         **_training_data()[0],
     }
 

@@ -394,6 +394,9 @@ all_dates AS (SELECT norm_date FROM staging UNION SELECT norm_date FROM ev_stagi
 
     "stream_monthly": _with(EVENTS) + SUMMARY_TABLE_SELECT,
 
+    "watch_latest": _with(EVENTS) + CLEAN_SELECT + """
+QUALIFY ROW_NUMBER() OVER (PARTITION BY station_id, norm_month ORDER BY event_id DESC) = 1""",
+
     "stream_staging": _with(EVENTS) + STAGING_SELECT,
 
     "stream_changelog": _with(EVENTS) + SUMMARY_TABLE_SELECT,

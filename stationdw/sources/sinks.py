@@ -5,13 +5,15 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 from pyspark.sql.utils import AnalysisException
 
-from stationdw.session import write_text
+from stationdw.operators.upsert import merge_into_path, merge_stages
+from stationdw.session import scratch_dir, write_text
 from stationdw.sources.messages import to_raw_messages
 
 
@@ -91,11 +93,52 @@ def write_changelog_stream(summary: DataFrame, keys: list[str], checkpoint: str,
     return writer.foreachBatch(append).start()
 
 
-def watch(stream_df: DataFrame, name: str, output_mode: str = "append") -> StreamingQuery:
-    """A continuous query whose current output can be read as table ``name`` (memory sink,
-    for interactive inspection of small results only)."""
-    return (stream_df.writeStream.format("memory").queryName(name).outputMode(output_mode)
-            .start())
+def watch(stream_df: DataFrame, name: str, output_mode: str = "append",
+          keys: Sequence[str] | None = None, order_col: str = "_arrival",
+          table: str | None = None, checkpoint: str | None = None, buckets: int = 64,
+          available_now: bool = False) -> StreamingQuery:
+    """A continuous query whose current output can be read as the view ``name``.
+
+    The output is a Parquet table (``table``, by default a scratch folder), never driver memory.
+    ``append`` and ``update`` keep the rows of every micro-batch, ``complete`` those of the last
+    one. With ``keys`` the view holds the latest row per key by ``order_col``, whatever the order
+    of the micro-batches (null keys equal each other): the table is hash-bucketed by key into
+    ``buckets`` folders, and a micro-batch reads and rewrites only the buckets its keys fall in.
+    ``table`` and ``checkpoint`` continue an earlier watch, with the same keys and buckets.
+    """
+    spark = stream_df.sparkSession
+    table = table or scratch_dir(spark, "watch")
+    checkpoint = checkpoint or scratch_dir(spark, "watch-ck")
+    bucketed = stream_df
+    if keys:
+        bucketed = stream_df.withColumn(
+            "_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+    def show(path: str) -> None:
+        # a view lists its files when it is made, so each micro-batch makes it anew
+        (spark.read.schema(bucketed.schema).option("recursiveFileLookup", str(not keys).lower())
+         .parquet(path).select(*stream_df.columns).createOrReplaceTempView(name))
+
+    def store(batch: DataFrame, epoch_id: int) -> None:
+        if keys:
+            merge_into_path(batch, table, keys, [order_col], "_bucket", store_order=True,
+                            stages=merge_stages(checkpoint), epoch=epoch_id)
+            show(table)
+            return
+        folder = epoch_folder(table, checkpoint, epoch_id)
+        batch.write.mode("overwrite").parquet(folder)
+        show(folder if output_mode == "complete" else table)
+
+    spark.createDataFrame([], stream_df.schema).createOrReplaceTempView(name)
+    if output_mode != "complete":
+        try:
+            show(table)  # of an earlier watch
+        except AnalysisException:  # no folder yet
+            pass
+    writer = reported(bucketed.writeStream.outputMode(output_mode)
+                      .option("checkpointLocation", checkpoint).foreachBatch(store),
+                      spark, checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 _REPORT = "batch_id long, input_rows long, rows_per_second double, state_rows long"
