@@ -25,8 +25,7 @@ from stationdw.operators.aggregate import monthly_summary  # noqa: E402
 from stationdw.operators.clean import clean_readings, pick_fields, split_valid  # noqa: E402
 from stationdw.operators.ranking import global_rank, first_per_group  # noqa: E402
 from stationdw.operators.upsert import insert_ignore, upsert_dim  # noqa: E402
-from stationdw.plans import olap  # noqa: E402
-from stationdw.plans import jobs  # noqa: E402
+from stationdw.plans import catalog, jobs, olap  # noqa: E402
 from stationdw.plans.bridge import event_messages, event_readings  # noqa: E402
 from stationdw.plans.output import plain_types  # noqa: E402
 from stationdw.plans.star import (build_dim_date, distinct_stations, load_report,  # noqa: E402
@@ -38,7 +37,8 @@ from stationdw.schemas import (COORD, DAILY_CSV_RENAME, ELEVATION, MONTHLY_SUMMA
 from stationdw.session import scratch_dir  # noqa: E402
 from stationdw.sources.csv_daily import read_daily_csv  # noqa: E402
 from stationdw.sources.messages import parse_raw, read_raw_stream, to_raw_messages  # noqa: E402
-from stationdw.sources.tables import read_table  # noqa: E402
+from stationdw.sources.sinks import write_report_csv  # noqa: E402
+from stationdw.sources.tables import materialize, read_table  # noqa: E402
 from stationdw.streaming.jobs import (write_clean_stream, write_staging_stream,  # noqa: E402
                                       write_summary_stream)
 
@@ -326,6 +326,47 @@ def read_csv(spark, sf):
     return read_daily_csv(spark, folder)
 
 
+def shared_views(spark, sf):
+    """The orders loaded into the tables of a database; its monthly view, read by name in another
+    session of the catalog."""
+    base, database = scratch_dir(spark, "views").rsplit("/", 1)
+    database = database.replace("-", "_")
+    locations = catalog.ensure_tables(spark, database, base)
+    tenth = F.lit(Decimal("0.1"))  # order totals pass the largest reading
+    jobs.load_warehouse(spark, _staging_table(spark, orders_warehouse(spark, sf)["staging"].withColumns(
+        {c: F.col(c) * tenth for c in ("dly_tmin_normal", "dly_tmax_normal")})),
+        locations["dim_date"].rsplit("/", 1)[0])
+    catalog.create_views(spark, database)
+    catalog.refresh_tables(spark, database)
+    other = spark.newSession()
+    catalog.use_database(other, database)
+    return plain_types(other.table("vw_monthly_climate_imperial"))
+
+
+def report_csv(spark, sf):
+    """The first report written as header CSV files and read back."""
+    report = q1_monthly(spark, sf)
+    folder = scratch_dir(spark, "report-csv")
+    write_report_csv(report, folder)
+    return spark.read.schema(report.schema).csv(folder, header=True)
+
+
+def created_at_kept(spark, sf):
+    """The event topic consumed into staging, then again from its start by a new consumer: whether
+    each row still has the time of its first insert."""
+    topic, table = _event_topic(spark, sf), scratch_dir(spark, "staging")
+    stored = []
+    for _ in range(2):
+        _consume(spark, topic, table, batches=None).awaitTermination()
+        stored.append(materialize(spark.read.parquet(table).select(
+            "station_id", "norm_date", "created_at"), "created-at"))
+    first, second = stored
+    return second.join(first.withColumnRenamed("created_at", "inserted_at"),
+                       ["station_id", "norm_date"], "left").select(
+        "station_id", "norm_date",
+        F.coalesce(F.col("created_at") == F.col("inserted_at"), F.lit(False)).alias("kept"))
+
+
 def load_after_crash(spark, sf):
     """The orders loaded; a load of the events that ends when it is committed, before it replaces
     any table; then the orders again. The warehouse has both, each fact row with its station."""
@@ -355,11 +396,13 @@ def _event_topic(spark, sf):
     return topic
 
 
-def _topic_stream(spark, topic):
-    """A file topic as a stream of about four micro-batches."""
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return read_raw_stream(spark, "files", {"path": topic, "arrival_field": "event_order",
-                                            "maxFilesPerTrigger": max(1, files // 4)})
+def _topic_stream(spark, topic, batches=4):
+    """A file topic as a stream of about four micro-batches (one if ``batches`` is None)."""
+    options = {"path": topic, "arrival_field": "event_order"}
+    if batches:
+        files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        options["maxFilesPerTrigger"] = max(1, files // batches)
+    return read_raw_stream(spark, "files", options)
 
 
 def _event_stream(spark, sf):
@@ -430,8 +473,8 @@ def stream_staging(spark, sf):
     return plain_types(spark.read.parquet(table).select(*STAGING_OUT))  # no partition in output
 
 
-def _consume(spark, topic, table):
-    return write_staging_stream(_topic_stream(spark, topic), table,
+def _consume(spark, topic, table, batches=4):
+    return write_staging_stream(_topic_stream(spark, topic, batches), table,
                                 scratch_dir(spark, "quarantine"),
                                 scratch_dir(spark, "staging-ck"), available_now=True)
 
@@ -505,6 +548,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary_rejected": summary_rejected,
         "month_slice": month_slice,
         "load_after_crash": load_after_crash,
+        "shared_views": shared_views,
+        "report_csv": report_csv,
+        "created_at_kept": created_at_kept,
         "read_csv": read_csv,
         "first_per_group": first_per_group_q,
         "global_rank": global_rank_q,

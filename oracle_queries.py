@@ -437,6 +437,35 @@ FROM (SELECT station_id, norm_date,
       SELECT station_id, norm_date, dly_tmin_normal, dly_tmax_normal, mtd_prcp_normal
       FROM ev_staging)""",
 
+    "shared_views": _with(ORDERS, """
+scaled AS (
+  SELECT * REPLACE (CAST(dly_tmin_normal * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(7,2)) AS dly_tmin_normal,
+                    CAST(dly_tmax_normal * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(7,2)) AS dly_tmax_normal)
+  FROM staging
+),
+shared_daily AS (
+  SELECT station_id, station_name, latitude, longitude, norm_date,
+         ROUND(dly_tmin_normal * CAST(0.1 AS DECIMAL(2,1)), 2) AS lo,
+         ROUND(dly_tmax_normal * CAST(0.1 AS DECIMAL(2,1)), 2) AS hi,
+         ROUND(mtd_prcp_normal * CAST(0.01 AS DECIMAL(3,2)), 2) AS wet
+  FROM scaled
+  WHERE dly_tmin_normal IS NOT NULL AND dly_tmax_normal IS NOT NULL
+    AND mtd_prcp_normal IS NOT NULL
+)""") + """
+SELECT station_id, station_name, CAST(latitude AS DOUBLE) AS latitude,
+       CAST(longitude AS DOUBLE) AS longitude,
+       CAST(year(norm_date) AS INTEGER) AS year_num,
+       CAST(month(norm_date) AS INTEGER) AS month_num, strftime(norm_date, '%B') AS month_name,
+       COUNT(*) AS num_days,
+       CAST(ROUND(CAST(AVG((lo + hi) * CAST(0.5 AS DECIMAL(2,1))) AS DECIMAL(38,7)), 2) AS DOUBLE)
+         AS monthly_avg_temperature_f,
+       CAST(MAX(hi) AS DOUBLE) AS monthly_max_temperature_f,
+       CAST(MIN(lo) AS DOUBLE) AS monthly_min_temperature_f,
+       CAST(MAX(wet) AS DOUBLE) AS monthly_total_precipitation_in
+FROM shared_daily GROUP BY ALL""",
+
+    "created_at_kept": _with(EVENTS) + "SELECT station_id, norm_date, TRUE AS kept FROM ev_staging",
+
     "read_csv": _with(ORDERS) + """
 SELECT station_id, station_name || ',' || chr(10) || '"' || station_id || '"' AS station_name,
        CAST(NULL AS DOUBLE) AS elevation, CAST(latitude AS DOUBLE) AS latitude,
@@ -446,3 +475,5 @@ SELECT station_id, station_name || ',' || chr(10) || '"' || station_id || '"' AS
        CAST(mtd_prcp_normal AS INTEGER) AS mtd_prcp_normal
 FROM staging""",
 }
+# The same report, through its files.
+ORACLE_SQL["report_csv"] = ORACLE_SQL["q1_monthly"]

@@ -10,7 +10,7 @@ Every path and endpoint can come from an option or an environment variable (opti
   STATIONDW_CHECKPOINTS  folder for streaming checkpoints (default: <warehouse>/_checkpoints)
   STATIONDW_MAX_FILES    files per micro-batch for paced replay of a file topic
 
-Commands: prepare, publish, consume, load, summary, summary-changelog, load-summary, report.
+Commands: prepare, publish, consume, load, summary, summary-changelog, load-summary, report, query.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def _source_options(args) -> tuple[str, dict]:
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="stationdw")
     p.add_argument("command", choices=["prepare", "publish", "consume", "load", "summary",
-                                       "summary-changelog", "load-summary", "report"])
+                                       "summary-changelog", "load-summary", "report", "query"])
     p.add_argument("--csv", help="input CSV for publish")
     p.add_argument("--topic", default=_env("STATIONDW_TOPIC"))
     p.add_argument("--source", default=_env("STATIONDW_SOURCE", "files"))
@@ -55,20 +55,24 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--pair", nargs=4, metavar=("LEFT", "RIGHT", "LEFT_LABEL", "RIGHT_LABEL"))
     p.add_argument("--season", nargs="+", metavar="STATION")
     p.add_argument("--gap", nargs=4, metavar=("FIRST", "SECOND", "FIRST_LABEL", "SECOND_LABEL"))
-    p.add_argument("--out", help="report output folder (header CSV per report)")
+    p.add_argument("--sql", help="statement for query, over the tables and views of --database")
+    p.add_argument("--out", help="output folder of report (header CSV per report) or query")
     p.add_argument("--rows", type=int, help="print this many rows of each report instead")
     args = p.parse_args(argv)
     if (args.source == "kafka" and args.command in ("summary-changelog", "load-summary")
             and not args.changelog_topic):
         p.error(f"{args.command} from Kafka needs --changelog-topic")
-    if args.command == "report" and not args.out and args.rows is None:
-        p.error("report needs --out (whole reports) or --rows N (the first N rows, printed)")
+    if args.command in ("report", "query") and not args.out and args.rows is None:
+        p.error(f"{args.command} needs --out (whole result) or --rows N (the first N, printed)")
+    if args.command == "query" and not args.sql:
+        p.error("query needs --sql")
 
     wh = (args.warehouse or "").rstrip("/")
     spark = build_session()
-    # Every command registers the tables at their fixed locations in its own session, so
-    # the catalog, the jobs and SQL all see the same files.
+    # Every command registers the tables at their fixed locations, and the views over them, in
+    # its own session, so the catalog, the jobs and SQL all see the same files.
     locations = catalog.ensure_tables(spark, args.database, wh)
+    catalog.create_views(spark, args.database)
     paths = catalog.table_paths(wh, args.database)
     ck = args.checkpoints or paths["checkpoints"]
     staging = paths["climate_normal_daily_raw"]
@@ -117,6 +121,15 @@ def main(argv: list[str] | None = None) -> int:
                 write_report_csv(df, f"{args.out.rstrip('/')}/{name}")
             else:
                 df.show(args.rows, truncate=False)
+    elif args.command == "query":
+        from stationdw.sources.sinks import write_report_csv
+        catalog.refresh_tables(spark, args.database)
+        catalog.use_database(spark, args.database)
+        found = spark.sql(args.sql)
+        if args.out:
+            write_report_csv(found, args.out)
+        else:
+            found.show(args.rows, truncate=False)
     if args.command in ("consume", "load", "summary", "load-summary"):
         catalog.refresh_tables(spark, args.database)
     spark.stop()

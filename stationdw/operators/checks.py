@@ -24,6 +24,27 @@ def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(cond).withColumn("null_columns", names)
 
 
+class ConstraintViolation(ValueError):
+    """Rows that a table's declared constraints do not allow."""
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], table: str) -> None:
+    """Raise ``ConstraintViolation`` if a key of ``df`` is null in part or occurs twice.
+
+    Only the key columns are read; counts combine before the shuffle, and one violating key is
+    all that reaches the driver.
+    """
+    bad = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("dup_count"))
+           .where((F.col("dup_count") > 1)
+                  | F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)))
+           .limit(1).collect())
+    if bad:
+        row = bad[0].asDict()
+        count = row.pop("dup_count")
+        raise ConstraintViolation(f"{table}: key {row} occurs {count} times"
+                                  if None not in row.values() else f"{table}: null in key {row}")
+
+
 def check_fk(child: DataFrame, parent: DataFrame, child_key: str,
              parent_key: str | None = None) -> DataFrame:
     """Child rows whose (non-null) key has no parent row."""

@@ -188,7 +188,13 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
             return
     else:
         stage = scratch_dir(spark, "merge")
-    merged = merged_months(incoming, path, keys, order_cols, partition_col, keep_first, store_order)
+    # The touched partitions, the rows to keep and the rows to add all look at the batch: it is
+    # reduced to its latest rows once and written.
+    latest = f"{stage}-batch"
+    reduced = keep_latest(incoming, keys, order_cols)
+    reduced.write.mode("overwrite").parquet(latest)
+    merged = merged_months(spark.read.schema(reduced.schema).parquet(latest), path, keys,
+                           order_cols, partition_col, keep_first, store_order, True)
     # No repartition by the partition column before writing: a month holding a third of the
     # rows would then be written by one task. The merge output is spread by key instead and each
     # task writes its share of every touched month.
@@ -197,21 +203,24 @@ def merge_into_path(incoming: DataFrame, path: str, keys: Sequence[str],
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(partition_col).parquet(stage))
     swap_in(spark, stage, merged.schema, path, partition_col)
+    remove_path(spark, latest)
     if not stages:
         remove_path(spark, stage)
 
 
 def merged_months(incoming: DataFrame, path: str, keys: Sequence[str], order_cols: Sequence[str],
-                  partition_col: str, keep_first: Sequence[str] = (), store_order: bool = False
-                  ) -> DataFrame:
-    """The rows that the partitions touched by ``incoming`` have after the upsert."""
+                  partition_col: str, keep_first: Sequence[str] = (), store_order: bool = False,
+                  incoming_unique: bool = False) -> DataFrame:
+    """The rows that the partitions touched by ``incoming`` have after the upsert.
+
+    ``incoming`` is read several times: callers pass a written table."""
     table_cols = [c for c in incoming.columns if c not in order_cols or store_order]
     current = _read_or_none(incoming.sparkSession, path, incoming.select(*table_cols).schema)
     if current is not None:
         touched = incoming.select(partition_col).distinct()
         current = current.join(touched, partition_col, "left_semi")
     return upsert_latest(current, incoming, keys, order_cols, keep_first,
-                         compare_order=store_order)
+                         incoming_unique=incoming_unique, compare_order=store_order)
 
 
 def merge_stages(checkpoint: str) -> str:

@@ -92,6 +92,45 @@ def register_views(star: Mapping[str, DataFrame], prefix: str = "") -> dict[str,
     return views
 
 
+#: The shared views as SQL over a database's tables; the same rows and types as
+#: ``views.daily_view`` and ``views.monthly_climate``.
+VIEWS = {
+    "vw_daily_climate_imperial": """
+        SELECT s.station_id, s.station_name, s.latitude, s.longitude, d.year_num, d.month_num,
+               d.month_name, d.quarter_num, d.full_date,
+               ROUND(f.dly_tmin_normal * CAST(0.1 AS DECIMAL(2,1)), 2) AS dly_tmin_normal_f,
+               ROUND(f.dly_tmax_normal * CAST(0.1 AS DECIMAL(2,1)), 2) AS dly_tmax_normal_f,
+               ROUND(f.mtd_prcp_normal * CAST(0.01 AS DECIMAL(3,2)), 2) AS mtd_prcp_normal_in
+        FROM {db}.fact_daily_climate_normal f
+        JOIN {db}.dim_date d ON d.date_key = f.date_key
+        JOIN {db}.dim_station s ON s.station_key = f.station_key
+        WHERE f.dly_tmin_normal IS NOT NULL AND f.dly_tmax_normal IS NOT NULL
+          AND f.mtd_prcp_normal IS NOT NULL""",
+    "vw_monthly_climate_imperial": """
+        SELECT station_id, station_name, latitude, longitude, year_num, month_num, month_name,
+               COUNT(*) AS num_days,
+               ROUND(AVG((dly_tmin_normal_f + dly_tmax_normal_f) * CAST(0.5 AS DECIMAL(2,1))), 2)
+                 AS monthly_avg_temperature_f,
+               ROUND(MAX(dly_tmax_normal_f), 2) AS monthly_max_temperature_f,
+               ROUND(MIN(dly_tmin_normal_f), 2) AS monthly_min_temperature_f,
+               ROUND(MAX(mtd_prcp_normal_in), 2) AS monthly_total_precipitation_in
+        FROM {db}.vw_daily_climate_imperial
+        GROUP BY station_id, station_name, latitude, longitude, year_num, month_num, month_name""",
+}
+
+
+def create_views(spark: SparkSession, database: str) -> list[str]:
+    """``CREATE OR REPLACE VIEW`` of the shared views in ``database``, over its tables.
+
+    Unlike ``register_views`` these are catalog objects: every session of the application sees
+    them, and with a persistent catalog every later application. Returns their full names.
+    """
+    for name, sql in VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS "
+                  + sql.format(db=f"`{database}`"))
+    return [f"{database}.{name}" for name in VIEWS]
+
+
 def refresh_tables(spark: SparkSession, database: str) -> None:
     """Pick up partitions and files written by jobs since the tables were registered."""
     for name, (_, part) in TABLES.items():

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from stationdw.operators.aggregate import monthly_summary
+from stationdw.operators.checks import ConstraintViolation, require_unique
 from stationdw.operators.clean import pick_fields, split_valid
 from stationdw.operators.upsert import merge_into_path, merge_stages, merged_months, swap_in
 from stationdw.plans import commit, olap
@@ -39,6 +40,8 @@ from stationdw.streaming.jobs import clean_stream, write_staging_stream, write_s
 STAGING_COLUMNS = [f.name for f in STAGING.fields if f.name != "created_at"]
 # The stored fact carries its month (a function of the date key) as partition column.
 FACT_STORED = T.StructType(FACT.fields + [T.StructField("date_month", T.IntegerType())])
+# UNIQUE and NOT NULL columns of the dimensions.
+DIMENSION_KEYS = {"dim_station": ["station_key", "station_id"], "dim_date": ["date_key", "full_date"]}
 # What the last load of a month brought.
 DIGESTS = T.StructType([T.StructField("date_month", T.IntegerType()),
                         T.StructField("n", T.LongType()), T.StructField("x1", T.LongType()),
@@ -122,6 +125,8 @@ def prepare_load(spark: SparkSession, staging_path: str, warehouse: str
     dimension is written if its rows change, the fact for those months alone whose incoming rows
     differ from what the last load of the month brought (one digest a month is kept beside the
     fact): merging equal rows again changes nothing, so such months are neither read nor written.
+    What is to be written must keep the tables' keys unique and not null; else the load raises
+    ``ConstraintViolation`` before its journal is committed, and the tables stay as they were.
     """
     paths = star_paths(warehouse)
     current = {"dim_station": _read(spark, paths["dim_station"], DIM_STATION),
@@ -141,16 +146,22 @@ def prepare_load(spark: SparkSession, staging_path: str, warehouse: str
         changed = digests.join(known, DIGESTS.names, "left_anti")
         digests = known.join(digests, "date_month", "left_anti").unionByName(digests)
     changed = materialize(changed.select("date_month"), "changed-months")
+    if not changed.where(F.col("date_month").isNull()).isEmpty():
+        raise ConstraintViolation("climate_normal_daily_raw: null in key norm_date")
     logged = False
     for name in ("dim_station", "dim_date"):
         columns = star[name].columns
+        for key in DIMENSION_KEYS[name]:
+            require_unique(star[name], [key], name)
         if name not in current or _digest(current[name].select(*columns)).first() \
                 != _digest(star[name]).first():
             commit.log(star[name], warehouse, name)
             logged = True
     if not changed.isEmpty():
         rows = incoming.join(changed, "date_month", "left_semi").withColumn("_order", F.lit(1))
-        commit.log(merged_months(rows, paths["fact"], FACT_KEY, ["_order"], "date_month"),
+        require_unique(rows, FACT_KEY, "fact_daily_climate_normal")
+        commit.log(merged_months(rows, paths["fact"], FACT_KEY, ["_order"], "date_month",
+                                 incoming_unique=True),
                    warehouse, "fact", "date_month")
         commit.log(digests, warehouse, "fact_digests")
         logged = True

@@ -29,6 +29,11 @@ def test_cli_flow(tmp_path):
     for step in steps:
         res = run(step, env)
         assert res.returncode == 0, (step, res.stderr[-2000:])
+    res = run(["query", "--out", str(tmp_path / "mine"), "--sql", "SELECT month_num, num_days "
+               "FROM vw_monthly_climate_imperial WHERE month_num = 2"], env)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert [r for f in glob.glob(str(tmp_path / "mine" / "*.csv"))
+            for r in csv.DictReader(open(f))] == [{"month_num": "2", "num_days": "28"}]
     files = glob.glob(str(tmp_path / "reports" / "query1" / "*.csv"))
     rows = [r for f in files for r in csv.DictReader(open(f))]
     assert len(rows) == 12

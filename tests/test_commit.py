@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
+from stationdw.operators.checks import ConstraintViolation, require_unique
 from stationdw.plans import commit, jobs
 from stationdw.schemas import STAGING
 from stationdw.session import scratch_dir
+from stationdw.sources.tables import materialize
 
 
 class Ended(Exception):
@@ -110,6 +112,24 @@ def test_only_changed_months_are_written(spark):
     assert ("A", 20100201, 7) in facts(spark, warehouse) and len(facts(spark, warehouse)) == 6
 
 
+@pytest.mark.parametrize("broken", ["repeated", "null_date"])
+def test_a_load_that_breaks_a_key_leaves_the_tables_as_they_were(spark, broken):
+    warehouse = scratch_dir(spark, "dw")
+    jobs.load_warehouse(spark, staging(spark, ["A"], JANUARY, 1), warehouse)
+    was = files(spark, warehouse)
+    bad = staging(spark, ["A", "B"], FEBRUARY, 7)
+    again = spark.read.parquet(bad).limit(1)
+    if broken == "null_date":
+        again = again.withColumn("norm_date", F.lit(None).cast("date"))
+    materialize(again, "again").write.mode("append").partitionBy("norm_month").parquet(bad)
+    with pytest.raises(ConstraintViolation):
+        jobs.load_warehouse(spark, bad, warehouse)
+    now = files(spark, warehouse)
+    assert {f: t for f, t in now.items() if "/_load/" not in f} == was
+    assert jobs.load_warehouse(spark, staging(spark, ["A"], FEBRUARY, 7), warehouse).count() == 6
+    assert facts(spark, warehouse) == [("A", 20100101, 1), ("A", 20100102, 1), ("A", 20100201, 7)]
+
+
 def test_a_journal_without_its_marker_is_dropped(spark):
     warehouse = scratch_dir(spark, "dw")
     jobs.load_warehouse(spark, staging(spark, ["A"], JANUARY, 1), warehouse)
@@ -119,6 +139,15 @@ def test_a_journal_without_its_marker_is_dropped(spark):
     assert facts(spark, warehouse) == was
 
 
+def test_require_unique(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, v string")
+    require_unique(rows.where("v IS NOT NULL"), ["k", "v"], "t")
+    with pytest.raises(ConstraintViolation, match="occurs 2 times"):
+        require_unique(rows, ["k"], "t")
+    with pytest.raises(ConstraintViolation, match="null"):
+        require_unique(rows, ["k", "v"], "t")
+
+
 @pytest.mark.parametrize("names", [("OLD", "NEW"), ("NEW", "OLD")])
 @pytest.mark.parametrize("files_a_batch", [1, 5])
 def test_the_later_of_two_names_of_a_month_stays(spark, names, files_a_batch):

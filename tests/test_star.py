@@ -132,6 +132,29 @@ def test_catalog_tables_and_sql_views(spark, four_station, tmp_path):
     assert by_name["PETERSBURG 2 N ND US"] == (12, Decimal("38.61"))
 
 
+def test_stored_views_equal_the_dataframe_views_in_another_session(spark, four_station, tmp_path):
+    from stationdw.plans.catalog import create_views, refresh_tables
+    star = four_station["star"]
+    database = "views_test"
+    locations = ensure_tables(spark, database, str(tmp_path))
+    for name, key in (("dim_station", "dim_station"), ("dim_date", "dim_date"),
+                      ("fact_daily_climate_normal", "fact")):
+        df = star[key]
+        if key == "fact":
+            df = df.withColumn("date_month", (F.col("date_key") / 100).cast("int"))
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy("date_month") if key == "fact" else writer).parquet(locations[name])
+    assert create_views(spark, database) == create_views(spark, database)
+    refresh_tables(spark, database)
+    views = register_views(star, prefix="frame_")
+    other = spark.newSession()
+    use_database(other, database)
+    for name in ("vw_daily_climate_imperial", "vw_monthly_climate_imperial"):
+        got, want = other.table(name), views[name]
+        assert got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_monthly_from_star_equals_view_rollup(four_station):
     from stationdw.plans.views import daily_view, monthly_climate, monthly_from_star
     star = four_station["star"]
